@@ -7,9 +7,20 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 
+EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+
+
 def from_unixtime_tz(seconds: Column, pattern: str, zone: str) -> Column:
-    """Unix seconds as text in a named zone (session zone is UTC)."""
-    return F.date_format(F.from_utc_timestamp(F.timestamp_seconds(seconds), zone), pattern)
+    """Unix seconds as text in a named zone, whatever the session zone is."""
+    utc = F.timestamp_add("SECOND", seconds, F.expr(EPOCH))
+    return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), utc), pattern)
+
+
+def epoch_millis(stamp: Column, zoneless: bool) -> Column:
+    """Milliseconds since 1970; a zone-less time is read as UTC."""
+    if zoneless:
+        return F.timestamp_diff("MILLISECOND", F.expr(EPOCH), stamp)
+    return F.unix_millis(stamp)
 
 
 def datediff_unit(start: Column, end: Column, unit: str = "DAY") -> Column:

@@ -24,6 +24,7 @@ from millrace.envelope import (
     quoted,
     require_columns,
 )
+from millrace.functions.scalar import epoch_millis
 from millrace.options import single_choice
 from millrace.schema import schema_from_fields
 
@@ -263,7 +264,7 @@ def decode_ogg(
         | ((op == "U") & before.isNotNull() & after.isNotNull())
         | ((op == "D") & before.isNotNull())
     )
-    event_ms = F.unix_millis(F.try_to_timestamp(m["op_ts"]))
+    event_ms = epoch_millis(m["op_ts"].try_cast("timestamp_ntz"), zoneless=True)
     return _without_message(_decoded(parsed, value, images, m["table"], event_ms, fields, ignore_errors, understood))
 
 

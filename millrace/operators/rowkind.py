@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.envelope import (
     DELAY_MS,
@@ -18,6 +18,7 @@ from millrace.envelope import (
     refuse_columns,
     require_columns,
 )
+from millrace.functions.scalar import epoch_millis
 from millrace.options import exactly_one, single_choice
 
 
@@ -81,13 +82,16 @@ def add_metadata(df: DataFrame, *, metadata_fields: Mapping[str, str]) -> DataFr
     return df.withColumns(columns)
 
 
-def event_time_and_delay(df: DataFrame, *, ts_col: str, extracted_at: Column | None = None) -> DataFrame:
+def event_time_and_delay(df: DataFrame, *, ts_col: str, extracted_at_ms: Column | None = None) -> DataFrame:
     """Fill event time (record time in milliseconds, when not negative) and delay (extraction minus event)."""
     require_columns(df, [ts_col], "event_time_and_delay")
     stamp = F.col(quoted(ts_col))
-    kind = df.schema[ts_col].dataType.simpleString()
-    ms = F.unix_millis(stamp.cast("timestamp")) if kind.startswith("timestamp") else stamp.cast("bigint")
-    now_ms = F.unix_millis((F.current_timestamp() if extracted_at is None else extracted_at).cast("timestamp"))
+    kind = df.schema[ts_col].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        ms = epoch_millis(stamp, isinstance(kind, T.TimestampNTZType))
+    else:
+        ms = stamp.cast("bigint")
+    now_ms = F.unix_millis(F.current_timestamp()) if extracted_at_ms is None else extracted_at_ms
     event = F.when(ms >= 0, ms)
     return df.withColumns({EVENT_MS: event, DELAY_MS: now_ms - event})
 

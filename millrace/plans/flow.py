@@ -62,8 +62,9 @@ def _options(entry: Mapping[str, Any]) -> dict[str, Any]:
 
 
 def set_parallelism(df: DataFrame, n: int) -> DataFrame:
-    """Ask for ``n`` partitions: fewer are merged without a shuffle, more need one."""
-    return df.coalesce(n) if df.rdd.getNumPartitions() > n else df.repartition(n)
+    """Read with at most ``n`` tasks: input splits are merged, never shuffled. More tasks come from smaller splits
+    (``spark.sql.files.maxPartitionBytes``) or more JDBC partitions, not from a repartition."""
+    return df.coalesce(n)
 
 
 def _inputs(entry: Mapping[str, Any], datasets: Mapping[str, DataFrame], last: DataFrame | None) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,7 @@ REQUIRED_CONF = {
 }
 
 _local_scratch: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
@@ -33,6 +36,17 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, which Python functions running there import."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    home = Path(__file__).resolve().parent
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="millrace-code-"), home.name), "zip", home.parent, home.name)
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach. ``spark.checkpoint.dir`` names it on a cluster; a machine-local
     folder is made only for a local master where nothing is set."""

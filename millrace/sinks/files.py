@@ -63,14 +63,12 @@ def write_files(
     root_tag: str = "rows",
     partition_by: Sequence[str] = (),
     is_partition_field_write_in_file: bool = False,
-    single_file: bool = False,
     mode: str = "error",
 ) -> None:
     """Write chosen columns in order. Spark's commit protocol publishes a finished job or nothing.
 
     A partition column leaves the file unless ``is_partition_field_write_in_file``; then the directory is named by a
-    copy. An empty input still writes one file with the schema. ``single_file`` funnels all rows through one task, as
-    the feature asks; it is for small outputs.
+    copy. An empty input still writes one file with the schema (delimited files need ``header`` for that).
     """
     single_choice({"fmt": fmt}, "fmt", ("parquet", "orc", "csv", "text", "json", "xml"))
     rows, directories = sink_rows(
@@ -79,9 +77,6 @@ def write_files(
         partition_by=partition_by,
         is_partition_field_write_in_file=is_partition_field_write_in_file,
     )
-    if single_file:
-        # A shuffle in front keeps the upstream work parallel; only the write is a single task.
-        rows = rows.repartition(1)
     writer = rows.write.mode(mode).options(**_writer_options(fmt, field_delimiter, row_delimiter, header, null_format))
     if fmt == "xml":
         writer = writer.options(rowTag=row_tag, rootTag=root_tag)

@@ -29,11 +29,14 @@ def _elements(text: Column, path: str) -> Column:
     def members(value: Column) -> Column:
         return F.from_json(value, _TEXTS)
 
+    def inner(values: Column, piece: list) -> Column:
+        return F.transform(values, lambda x: F.get_json_object(x, _render(piece)))
+
     first, rest = pieces[0], pieces[1:]
     found = F.array(F.get_json_object(text, _render(first))) if not rest else members(F.get_json_object(text, _render(first)))
     for i, piece in enumerate(rest):
         if piece:
-            found = F.transform(found, lambda x, p=piece: F.get_json_object(x, _render(p)))
+            found = inner(found, piece)
         if i < len(rest) - 1:
             found = F.flatten(F.transform(found, members))
     return found

@@ -88,7 +88,7 @@ def _value(kind: T.DataType, salt: Sequence[Column], options: Mapping[str, Any])
         return day
     if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
         seconds = F.pmod(F.xxhash64(*salt, F.lit("seconds")), F.lit(86400))
-        return F.timestamp_seconds(F.unix_date(day).cast("bigint") * 86400 + seconds).cast(kind)
+        return F.timestamp_add("SECOND", seconds, day.cast("timestamp_ntz")).cast(kind)
     if isinstance(kind, T.ArrayType):
         return _sequence(kind.elementType, salt, options, int(options["array.size"]))
     if isinstance(kind, T.MapType):
@@ -192,8 +192,10 @@ def literal_rows(
         if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
             return F.from_json(text, field.dataType)
         value = text.try_cast(field.dataType)
+        written = {row[i + 2] for row in texts}
         for word, now in _NOW.items():
-            value = F.when(text == word, now().cast(field.dataType)).otherwise(value)
+            if word in written:
+                value = F.when(text == word, now().cast(field.dataType)).otherwise(value)
         return value
 
     return df.select(*[read(i, f).alias(f.name) for i, f in enumerate(fields)], KIND, SEQ)

@@ -8,7 +8,7 @@ on the JVM again. Everything is local to the document's row, so nothing is shuff
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.envelope import quoted, require_columns
 
@@ -77,9 +77,18 @@ def outline(classes) -> list[dict]:
     return elements
 
 
-@F.pandas_udf(
-    "array<struct<type:string,level:int,first:int,count:int,parent:int,children:array<int>>>"
+_OUTLINE = T.ArrayType(
+    T.StructType()
+    .add("type", T.StringType())
+    .add("level", T.IntegerType())
+    .add("first", T.IntegerType())
+    .add("count", T.IntegerType())
+    .add("parent", T.IntegerType())
+    .add("children", T.ArrayType(T.IntegerType()))
 )
+
+
+@F.pandas_udf(_OUTLINE)
 def _outline(classes: pd.Series) -> pd.Series:
     return classes.map(lambda row: None if row is None else outline(row))
 
