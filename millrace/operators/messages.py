@@ -92,8 +92,8 @@ def decode_debezium(
     """``op`` c and r insert, u is a before- and an after-image, d deletes. ``include_schema`` reads the message
     from its ``payload`` wrapper."""
     fields = _schema(schema)
-    source = T.StructType().add("db", "string").add("schema", "string").add("table", "string").add("ts_ms", "bigint")
-    kind = T.StructType().add("before", fields).add("after", fields).add("source", source).add("op", "string").add("ts_ms", "bigint")
+    source = T.StructType().add("db", "string").add("schema", "string").add("table", "string").add("ts_ms", "long")
+    kind = T.StructType().add("before", fields).add("after", fields).add("source", source).add("op", "string").add("ts_ms", "long")
     parsed, m = _parsed(df, value, kind, include_schema)
     op, before, after = m["op"], m["before"], m["after"]
     images = (
@@ -106,8 +106,8 @@ def decode_debezium(
         | ((op == "u") & before.isNotNull() & after.isNotNull())
         | ((op == "d") & before.isNotNull())
     )
-    event_ms = F.coalesce(m["source.ts_ms"], m["ts_ms"])
-    table = _full_table(m["source.db"], m["source.table"])
+    event_ms = F.coalesce(m["source"]["ts_ms"], m["ts_ms"])
+    table = _full_table(m["source"]["db"], m["source"]["table"])
     return _without_message(_decoded(parsed, value, images, table, event_ms, fields, ignore_errors, understood))
 
 
@@ -157,8 +157,8 @@ def decode_canal(
         .add("database", "string")
         .add("table", "string")
         .add("type", "string")
-        .add("es", "bigint")
-        .add("ts", "bigint")
+        .add("es", "long")
+        .add("ts", "long")
         .add("isDdl", "boolean")
     )
     parsed, m = _parsed(df, value, kind)
@@ -207,7 +207,7 @@ def decode_maxwell(
         .add("database", "string")
         .add("table", "string")
         .add("type", "string")
-        .add("ts", "bigint")
+        .add("ts", "long")
     )
     parsed, m = _parsed(df, value, kind)
     parsed = _matching(parsed, m, database_include, table_include)
@@ -274,7 +274,7 @@ def decode_connect_json(
     """Connect envelopes (``{"schema": ..., "payload": ...}``): a Debezium payload by its ``op``, any other payload
     is the row itself, an insert."""
     fields = _schema(schema)
-    event = T.StructType().add("before", fields).add("after", fields).add("op", "string").add("ts_ms", "bigint")
+    event = T.StructType().add("before", fields).add("after", fields).add("op", "string").add("ts_ms", "long")
     both = T.StructType().add("payload", "string")
     parsed, m = _parsed(df, value, both)
     change, row = F.from_json(m["payload"], event), F.from_json(m["payload"], fields)

@@ -49,6 +49,9 @@ def create_table(
     df.sparkSession.sql(ddl)
 
 
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
 def insert_table(df: DataFrame, name: str, *, overwrite: bool = False) -> None:
     """Append by column name to a (partitioned) table; ``overwrite`` replaces only the partitions that have rows."""
     spark = df.sparkSession
@@ -57,8 +60,13 @@ def insert_table(df: DataFrame, name: str, *, overwrite: bool = False) -> None:
     if missing:
         raise ValueError(f"insert_table: the input has no {missing}")
     rows = df.select(*[F.col(quoted(field.name)).cast(field.dataType).alias(field.name) for field in target.fields])
-    writer = rows.write.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(table_name(name), overwrite=overwrite)
+    # A catalog table takes the overwrite mode from the session, not from writer options.
+    before = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        rows.write.insertInto(table_name(name), overwrite=overwrite)
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, before)
 
 
 def prepare_target(

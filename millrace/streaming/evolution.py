@@ -82,16 +82,25 @@ class EvolvingTable:
             arrived.coalesce(1).write.mode("overwrite").json(f"{self.path}/events/batch={batch_id}")
         cuts = [row[SEQ] for row in rows]
         schemas = self._schemas([*known, *[parse_event(row["value"]) for row in rows]])
-        data = marked.where(~F.col("is_event"))
-        for i in range(len(cuts) + 1):
-            part = data
-            if i > 0:
-                part = part.where(F.col(SEQ) > cuts[i - 1])
-            if i < len(cuts):
-                part = part.where(F.col(SEQ) < cuts[i])
-            version = len(known) + i
-            parsed = part.select(F.from_json("value", schemas[version]).alias("row"), SEQ).select("row.*", SEQ)
-            parsed.write.mode("overwrite").parquet(f"{self.path}/rows/version={version}/batch={batch_id}")
+        if not cuts:
+            self._write(marked.where(~F.col("is_event")), schemas[-1], len(known), batch_id)
+            return
+        # The micro-batch is read once, however many events cut it.
+        data = marked.where(~F.col("is_event")).persist()
+        try:
+            for i in range(len(cuts) + 1):
+                part = data
+                if i > 0:
+                    part = part.where(F.col(SEQ) > cuts[i - 1])
+                if i < len(cuts):
+                    part = part.where(F.col(SEQ) < cuts[i])
+                self._write(part, schemas[len(known) + i], len(known) + i, batch_id)
+        finally:
+            data.unpersist()
+
+    def _write(self, rows: DataFrame, schema: T.StructType, version: int, batch_id: int) -> None:
+        parsed = rows.select(F.from_json("value", schema).alias("row"), SEQ).select("row.*", SEQ)
+        parsed.write.mode("overwrite").parquet(f"{self.path}/rows/version={version}/batch={batch_id}")
 
     def read(self) -> DataFrame:
         """All rows under the newest schema."""
@@ -104,5 +113,5 @@ class EvolvingTable:
                 paths = [folder.rsplit("/", 1)[0] for folder in folders]
                 parts.append(evolve_schema(self.spark.read.schema(stored).parquet(*paths), events[version:]))
         if not parts:
-            return self.spark.createDataFrame([], self._schemas(events)[-1].add(SEQ, "bigint"))
+            return self.spark.createDataFrame([], self._schemas(events)[-1].add(SEQ, "long"))
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -5,6 +5,10 @@ from importlib import import_module
 MODULES = (
     "fields",
     "sources",
+    "changes",
+    "sinks",
+    "functions",
+    "flows",
 )
 
 

@@ -203,7 +203,7 @@ def regex_extract(spark, sf):
 @query(
     "json_path",
     """SELECT event_id, props, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-              json_extract_string(props, '$.k') AS k_text, CAST(NULL AS BIGINT) AS absent
+              json_extract_string(props, '$.k') AS k_text, json_extract_string(props, '$.z') IS NULL AS absent
        FROM events""",
 )
 def json_path(spark, sf):
@@ -213,7 +213,7 @@ def json_path(spark, sf):
             {"src_field": "props", "path": ["$.k", "$['k']"], "dest_field": ["k", "k_text"], "dest_type": ["int", "string"]},
             {"src_field": "props", "path": "$.z", "dest_field": "absent", "dest_type": "bigint", "column_error_handle_way": "SKIP"},
         ],
-    )
+    ).withColumn("absent", F.col("absent").isNull())
 
 
 @query(

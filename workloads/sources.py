@@ -116,7 +116,7 @@ def scan_binary_files(spark, sf):
                 unnest(range(1, len(string_split(text, chr(10))) + 1)) AS n FROM documents),
        kept AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS k FROM lines WHERE trim(line) <> '')
        SELECT doc_id, CAST(k + 2 AS INTEGER) AS position_index, 'Paragraph' AS element_type,
-              CAST(NULL AS INTEGER) AS heading_level, line AS text, 'heading_2' AS parent_id FROM kept
+              0 AS heading_level, line AS text, 'heading_2' AS parent_id FROM kept
        UNION ALL SELECT doc_id, 1, 'Heading', 1, source, NULL FROM documents
        UNION ALL SELECT doc_id, 2, 'Heading', 2, lang, 'heading_1' FROM documents""",
 )
@@ -127,7 +127,7 @@ def markdown_elements(spark, sf):
     )
     df = table(spark, sf, "documents").select("doc_id", text.alias("text"))
     return markdown.markdown_elements(df).select(
-        "doc_id", "position_index", "element_type", "heading_level", "text", "parent_id"
+        "doc_id", "position_index", "element_type", F.coalesce("heading_level", F.lit(0)).alias("heading_level"), "text", "parent_id"
     )
 
 
