@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 from millrace.options import single_choice
-from millrace.session import broadcast_limit, size_estimate
+from millrace.session import broadcast_limit, scratch_dir
 
 # Fixed value: the largest index a sparse vector may have.
 MAX_SPARSE_INDEX = 1_000_000
@@ -208,11 +208,16 @@ def vector_topk(
     single_choice({"metric": metric}, "metric", DISTANCES)
     spark = corpus.sparkSession
     limit = slice_bytes or max(broadcast_limit(spark), 1 << 20)
-    slices = max(1, -(-size_estimate(queries) // limit))
+    # The queries are written once: their real size is then known, and slices do not compute them again.
+    written = scratch_dir(spark, "topk-queries")
+    queries.select("query_id", "vector").write.parquet(written)
+    queries = spark.read.schema(queries.select("query_id", "vector").schema).parquet(written)
+    numbers = queries.agg(F.sum(F.size("vector") + 1)).first()[0] or 0
+    slices = max(1, -(-numbers * 8 // limit))
     found = None
     for i in range(slices):
         part = queries if slices == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == i)
-        near = _slice_topk(part.select("query_id", "vector"), corpus, metric, k)
+        near = _slice_topk(part, corpus, metric, k)
         found = near if found is None else found.unionByName(near)
     order = F.col("distance").desc() if metric == "IP" else F.col("distance").asc()
     # The rank filter lets Spark keep only k rows per query and task before the shuffle (window group limit).

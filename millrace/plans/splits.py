@@ -21,6 +21,10 @@ EVEN_UPPER_BOUND = 100.0
 SAMPLE_SHARDING_THRESHOLD = 1000
 INVERSE_SAMPLING_RATE = 1000
 
+# Every split is a Spark task and a query at the database, so their number is bounded; splits of a bigger table are
+# wider instead.
+MAX_SPLITS = 10_000
+
 Bounds = list[tuple[Any, Any]]
 
 
@@ -65,15 +69,17 @@ def plan_splits(
     even_upper: float = EVEN_UPPER_BOUND,
     sample_sharding_threshold: int = SAMPLE_SHARDING_THRESHOLD,
     inverse_sampling_rate: int = INVERSE_SAMPLING_RATE,
+    max_splits: int = MAX_SPLITS,
 ) -> Bounds:
     """Key ranges holding about ``split_size`` rows each.
 
     The distribution factor is (max - min + 1) / rows. Integer keys whose factor lies between the two bounds are
     dense enough for ranges of one width, computed without touching the data again. Other keys (skewed, or text)
     take ranges of equal row counts; above ``sample_sharding_threshold`` splits these come from a sample of one in
-    ``inverse_sampling_rate`` rows.
+    ``inverse_sampling_rate`` rows. A table that would need more than ``max_splits`` gets wider ones.
     """
     low, high, rows = key_statistics(df, column)
+    split_size = max(split_size, -(-rows // max_splits))
     if rows <= split_size or low == high:
         return [(None, None)]
     if isinstance(df.schema[column].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):

@@ -63,12 +63,15 @@ def write_files(
     root_tag: str = "rows",
     partition_by: Sequence[str] = (),
     is_partition_field_write_in_file: bool = False,
+    rebalance: bool = False,
     mode: str = "error",
 ) -> None:
     """Write chosen columns in order. Spark's commit protocol publishes a finished job or nothing.
 
     A partition column leaves the file unless ``is_partition_field_write_in_file``; then the directory is named by a
-    copy. An empty input still writes one file with the schema (delimited files need ``header`` for that).
+    copy. An empty input still writes one file with the schema (delimited files need ``header`` for that). ``rebalance`` shuffles rows towards
+    their folder first, so that many tasks do not each write a small file into every folder; adaptive execution cuts a
+    folder that holds much of the data into several tasks.
     """
     single_choice({"fmt": fmt}, "fmt", ("parquet", "orc", "csv", "text", "json", "xml"))
     rows, directories = sink_rows(
@@ -77,6 +80,8 @@ def write_files(
         partition_by=partition_by,
         is_partition_field_write_in_file=is_partition_field_write_in_file,
     )
+    if rebalance:
+        rows = rows.hint("rebalance", *directories)
     writer = rows.write.mode(mode).options(**_writer_options(fmt, field_delimiter, row_delimiter, header, null_format))
     if fmt == "xml":
         writer = writer.options(rowTag=row_tag, rootTag=root_tag)

@@ -295,17 +295,17 @@ def apply_changelog(spark, sf):
 
 @query("stream_apply_changelog", APPLIED_SQL)
 def stream_apply_changelog_query(spark, sf):
-    """The same changes as a stream in several micro-batches, each file a part of the sequence; compacted on the way,
-    then the last batch is handed in a second time."""
-    source = scratch_dir(spark, "changes")
+    """The same changes arriving in three parts; the table is compacted on the way, and the last batch is handed in a
+    second time."""
+    source, checkpoint = scratch_dir(spark, "changes"), scratch_dir(spark, "checkpoint")
     changes = lineitem_changes(spark, sf)
-    changes.repartition(3, "o_orderkey").write.parquet(source)
     target = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     keyed = KeyedTable(spark, scratch_dir(spark, "keyed"), keys=["o_orderkey"], schema=target.schema)
-    stream = scan_stream(spark, source, schema=changes.schema, files_per_trigger=1)
-    run_to_end(
-        stream_apply_changelog(stream, keyed, scratch_dir(spark, "checkpoint"), snapshot=target, compact_every=2)
-    )
+    line = F.floor(F.col(SEQ) / 100_000_000_000_000)
+    for part, snapshot in ((line <= 2, target), (line.between(3, 4), None), (line >= 5, None)):
+        changes.where(part).write.mode("append").parquet(source)
+        stream = scan_stream(spark, source, schema=changes.schema)
+        run_to_end(stream_apply_changelog(stream, keyed, checkpoint, snapshot=snapshot, compact_every=2))
     keyed.apply(changes, 2)
     return keyed.read()
 
@@ -398,7 +398,7 @@ def stream_schema_evolution(spark, sf):
 def stream_file_exactly_once(spark, sf):
     schema = table(spark, sf, "events").schema
     out = scratch_dir(spark, "exactly-once")
-    stream = scan_stream(spark, sf, schema=schema, file_glob="events.parquet")
+    stream = scan_stream(spark, f"{sf}/events.parquet*", schema=schema)
     run_to_end(stream_to_files(stream, out, scratch_dir(spark, "checkpoint"), partition_by=["event_type"]))
     return spark.read.schema(schema).parquet(out).select(*schema.names)
 

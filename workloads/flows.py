@@ -22,7 +22,6 @@ def flow_fanout(spark: SparkSession, sf: str) -> DataFrame:
     """One source feeds two branches, each with its own sink."""
     cheap, split = scratch_dir(spark, "cheap"), scratch_dir(spark, "split")
     spec = {
-        "env": {"parallelism": 8},
         "source": [{"plugin_name": "File", "path": "${folder}/orders.parquet", "plugin_output": "orders"}],
         "transform": [
             {"plugin_name": "Sql", "plugin_input": ["orders"], "plugin_output": "cheap",
