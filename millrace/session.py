@@ -20,6 +20,9 @@ REQUIRED_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# Writer options of folders that are read only once their ``_SUCCESS`` mark is there.
+MARK_FINISHED = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
+
 _local_scratch: dict[str, str] = {}
 _shipped: set[str] = set()
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.envelope import KIND, SEQ, quoted
 from millrace.operators.changelog import apply_changelog, latest_changes
-from millrace.session import list_paths
+from millrace.session import MARK_FINISHED, list_paths
 
 _BATCH = "__batch"
 
@@ -30,7 +30,7 @@ class KeyedTable:
     def load(self, snapshot: DataFrame) -> None:
         """The initial snapshot; it precedes every batch."""
         rows = snapshot.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-        rows.write.mode("overwrite").parquet(f"{self.path}/base=-1")
+        rows.write.mode("overwrite").options(**MARK_FINISHED).parquet(f"{self.path}/base=-1")
 
     def apply(self, changes: DataFrame, batch_id: int) -> None:
         """Record one batch, the last change per key. Safe to repeat with the same batch id."""
@@ -38,7 +38,7 @@ class KeyedTable:
             return
         last = latest_changes(changes, keys=self.keys)
         columns = [F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        last.select(*columns, KIND, SEQ).write.mode("overwrite").parquet(f"{self.path}/delta={batch_id}")
+        last.select(*columns, KIND, SEQ).write.mode("overwrite").options(**MARK_FINISHED).parquet(f"{self.path}/delta={batch_id}")
 
     def _changes_after(self, base: int) -> DataFrame | None:
         batches = [batch for batch in self._finished("delta") if batch > base]
@@ -66,4 +66,4 @@ class KeyedTable:
         """Write a new base that contains every finished batch; older folders are no longer read."""
         batches = self._finished("delta")
         if batches and batches[-1] not in self._finished("base"):
-            self.read().write.mode("overwrite").parquet(f"{self.path}/base={batches[-1]}")
+            self.read().write.mode("overwrite").options(**MARK_FINISHED).parquet(f"{self.path}/base={batches[-1]}")

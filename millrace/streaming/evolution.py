@@ -24,7 +24,7 @@ from millrace.operators.evolve import (
     evolve_schema,
     evolved_schema,
 )
-from millrace.session import list_paths
+from millrace.session import MARK_FINISHED, list_paths
 
 # The event names in messages.
 EVENT_TYPES = {
@@ -79,7 +79,7 @@ class EvolvingTable:
         arrived = marked.where("is_event").orderBy(SEQ).select(SEQ, "value")
         rows = arrived.collect()
         if rows:
-            arrived.coalesce(1).write.mode("overwrite").json(f"{self.path}/events/batch={batch_id}")
+            arrived.coalesce(1).write.mode("overwrite").options(**MARK_FINISHED).json(f"{self.path}/events/batch={batch_id}")
         cuts = [row[SEQ] for row in rows]
         schemas = self._schemas([*known, *[parse_event(row["value"]) for row in rows]])
         if not cuts:
@@ -100,7 +100,7 @@ class EvolvingTable:
 
     def _write(self, rows: DataFrame, schema: T.StructType, version: int, batch_id: int) -> None:
         parsed = rows.select(F.from_json("value", schema).alias("row"), SEQ).select("row.*", SEQ)
-        parsed.write.mode("overwrite").parquet(f"{self.path}/rows/version={version}/batch={batch_id}")
+        parsed.write.mode("overwrite").options(**MARK_FINISHED).parquet(f"{self.path}/rows/version={version}/batch={batch_id}")
 
     def read(self) -> DataFrame:
         """All rows under the newest schema."""
@@ -113,5 +113,6 @@ class EvolvingTable:
                 paths = [folder.rsplit("/", 1)[0] for folder in folders]
                 parts.append(evolve_schema(self.spark.read.schema(stored).parquet(*paths), events[version:]))
         if not parts:
-            return self.spark.createDataFrame([], self._schemas(events)[-1].add(SEQ, "long"))
+            newest = self._schemas(events)[-1]
+            return self.spark.createDataFrame([], T.StructType([*newest.fields, T.StructField(SEQ, T.LongType())]))
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
