@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.envelope import (
     DELETE,
@@ -21,7 +21,7 @@ from millrace.envelope import (
     require_columns,
 )
 
-_ROW = "__row"
+_PLACE = "__place"
 _COUNT = "__count"
 
 
@@ -35,21 +35,15 @@ def _kind_order() -> Column:
 def latest_changes(changes: DataFrame, *, keys: Sequence[str], order_by: str | Sequence[str] = SEQ) -> DataFrame:
     """The last change of each key, deletes included; UPDATE_BEFORE says nothing about a keyed table.
 
-    ``max_by`` combines on the map side, so a key holding most of the changes is reduced before the shuffle.
+    Ranking with a limit of one row per key: Spark ranks before the shuffle as well, so each task sends at most one
+    row per key and a key holding most of the changes costs no more than another.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     require_columns(changes, [*keys, *order, KIND], "latest_changes")
-    carried = [name for name in changes.columns if name not in keys]
-    row = F.struct(*[F.col(quoted(name)) for name in carried])
-    position = F.struct(*[F.col(quoted(name)) for name in order], _kind_order().alias("__kind_order"))
-    folded = (
-        changes.where(F.col(KIND) != UPDATE_BEFORE)
-        .groupBy(*[F.col(quoted(key)) for key in keys])
-        .agg(F.max_by(row, position).alias(_ROW))
-    )
-    return folded.select(
-        *[F.col(quoted(name)) if name in keys else F.col(f"{_ROW}.{quoted(name)}").alias(name) for name in changes.columns]
-    )
+    newest_first = [F.col(quoted(name)).desc() for name in order]
+    place = Window.partitionBy(*[F.col(quoted(key)) for key in keys]).orderBy(*newest_first, _kind_order().desc())
+    ranked = changes.where(F.col(KIND) != UPDATE_BEFORE).withColumn(_PLACE, F.row_number().over(place))
+    return ranked.where(F.col(_PLACE) == 1).drop(_PLACE)
 
 
 def fold_changelog(changes: DataFrame, *, keys: Sequence[str], order_by: str | Sequence[str] = SEQ) -> DataFrame:
@@ -97,20 +91,24 @@ def apply_changelog(
 ) -> DataFrame:
     """The target after keyed upserts and deletes. Applying the same changes again changes nothing.
 
-    The folded changes are joined away from the target and added back: when they fit the broadcast threshold the
-    (large) target is only filtered in place, never shuffled; otherwise both sides meet on the key. Without
+    Rows with a changed key are taken out of the target and the folded changes added. When the changed keys fit the
+    broadcast threshold the (large) target is only filtered in place, never shuffled; otherwise both sides meet on
+    the key. Without
     ``enable_delete`` a delete is ignored, and the last image before it counts.
     """
     require_columns(target, keys, "apply_changelog")
     if not enable_delete:
         changes = changes.where(F.col(KIND) != DELETE)
-    last = latest_changes(changes, keys=keys, order_by=order_by)
     columns = payload_columns(target)
+    # The keys alone are enough to take rows out of the target: a hash aggregate over the key columns.
+    changed = changes.where(F.col(KIND) != UPDATE_BEFORE).select(
+        *[F.col(quoted(key)).alias(f"__changed_{i}") for i, key in enumerate(keys)]
+    )
     same_key = F.lit(True)
-    changed = last.select(*[F.col(quoted(key)).alias(f"__changed_{i}") for i, key in enumerate(keys)])
     for i, key in enumerate(keys):
         same_key = same_key & (F.col(quoted(key)) == F.col(f"__changed_{i}"))
-    untouched = target.select(*[F.col(quoted(n)) for n in columns]).join(changed, same_key, "left_anti")
+    untouched = target.select(*[F.col(quoted(n)) for n in columns]).join(changed.distinct(), same_key, "left_anti")
+    last = latest_changes(changes, keys=keys, order_by=order_by)
     upserts = last.where(F.col(KIND) != DELETE).select(*[F.col(quoted(n)) for n in columns])
     return untouched.unionByName(upserts)
 

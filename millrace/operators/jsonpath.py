@@ -110,22 +110,25 @@ def json_path(df: DataFrame, *, columns: Sequence[Mapping], row_error_handle_way
     entries = _flat(columns)
     require_columns(df, [entry["src_field"] for entry in entries], "json_path")
     refuse_columns(df, [entry["dest_field"] for entry in entries], "json_path")
+    sources = [_source_value(df, entry["src_field"], entry["path"]) for entry in entries]
+    # The extracted texts are columns of their own first, so each path is evaluated once per row however often the
+    # checks below look at it.
+    values = {f"__path_{i}": value for i, (value, _, _) in enumerate(sources)}
+    df = df.withColumns(values)
     outputs: dict[str, Column] = {}
-    drops: list[Column] = []
-    for entry in entries:
+    keep = F.lit(True)
+    for name, entry, (_, there, native) in zip(values, entries, sources):
         way = entry.get("column_error_handle_way")
         single_choice({"way": way}, "way", ("FAIL", "SKIP", "SKIP_ROW"))
         way = way or {"FAIL": "FAIL", "SKIP": "SKIP_ROW"}[row_error_handle_way]
-        field, dest = entry["src_field"], entry["dest_field"]
-        value, there, native = _source_value(df, field, entry["path"])
+        field, dest, value = entry["src_field"], entry["dest_field"], F.col(name)
         typed = _typed(value, spark_type(entry["dest_type"]), native)
-        bad = F.col(quoted(field)).isNotNull() & F.when(value.isNull(), ~there).otherwise(typed.isNull())
+        bad = F.when(value.isNotNull(), typed.isNull()).otherwise(F.col(quoted(field)).isNotNull() & ~there)
         if way == "FAIL":
             message = F.lit(f"json_path: {field} has no usable {entry['path']} for {dest}")
             typed = F.when(bad, F.raise_error(message)).otherwise(typed)
         elif way == "SKIP_ROW":
-            drops.append(bad)
+            keep = keep & ~bad
         outputs[dest] = typed
-    for bad in drops:
-        df = df.where(~bad)
-    return df.withColumns(outputs)
+    # A dropped row must not raise for its other columns, so the drop comes first.
+    return df.where(keep).withColumns(outputs).drop(*values)

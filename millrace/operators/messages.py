@@ -49,12 +49,15 @@ def _decoded(
     schema: T.StructType,
     ignore_errors: bool,
     understood: Column,
+    wanted: Column | None = None,
 ) -> DataFrame:
-    """One generator over the images of each message; messages not understood raise or vanish."""
+    """One generator over the images of each message. Messages not understood raise or vanish; those not wanted
+    vanish. Both are decided inside the generator: a filter would be pushed below the parse and parse again."""
     none = F.array().cast(T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("row", schema)])))
     text = F.col(quoted(value)).cast("string")
     broken = none if ignore_errors else F.raise_error(F.concat(F.lit("cannot decode change message: "), text))
-    rows = F.when(text.isNull(), none).when(F.coalesce(understood, F.lit(False)), images).otherwise(broken)
+    unread = text.isNull() if wanted is None else text.isNull() | ~wanted
+    rows = F.when(unread, none).when(F.coalesce(understood, F.lit(False)), images).otherwise(broken)
     kept = [name for name in df.columns if name != value and name not in schema.names]
     kept = [name for name in kept if name not in (KIND, TABLE, EVENT_MS)]
     out = df.select(
@@ -111,32 +114,43 @@ def decode_debezium(
     return _without_message(_decoded(parsed, value, images, table, event_ms, fields, ignore_errors, understood))
 
 
-def _from_texts(texts: Column, fields: T.StructType, ignore_errors: bool) -> Column:
-    """A row from a map of texts; a text that is not of its field's type raises, or is NULL when errors are
-    ignored."""
+def _texts_of(fields: T.StructType) -> T.StructType:
+    """The same fields, all as text."""
+    return T.StructType([T.StructField(field.name, T.StringType()) for field in fields.fields])
+
+
+def _read_text(text: Column, kind: T.DataType, ignore_errors: bool) -> Column:
+    """A text as its field's type; one that does not parse raises, or is NULL when errors are ignored."""
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.from_json(text, kind)
+    if isinstance(kind, T.StringType):
+        return text
+    return text.try_cast(kind) if ignore_errors else text.cast(kind)
 
-    def read(field: T.StructField) -> Column:
-        text = F.try_element_at(texts, F.lit(field.name))
-        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            return F.from_json(text, field.dataType)
-        return text.try_cast(field.dataType) if ignore_errors else text.cast(field.dataType)
 
-    return F.struct(*[read(field).alias(field.name) for field in fields.fields])
+def _now(data: Column, fields: T.StructType, ignore_errors: bool) -> Column:
+    """The row a change leads to, from its texts."""
+    return F.struct(*[_read_text(data[f.name], f.dataType, ignore_errors).alias(f.name) for f in fields.fields])
 
 
-def _overlay(data: Column, old: Column) -> Column:
+def _before(data: Column, old: Column, fields: T.StructType, ignore_errors: bool) -> Column:
     """The before-image: ``old`` holds only the changed fields, so a key present there (even as JSON null) wins."""
-    return F.transform_values(
-        data, lambda key, text: F.when(F.map_contains_key(old, key), F.try_element_at(old, key)).otherwise(text)
-    )
 
+    def read(field: T.StructField) -> Column:
+        changed = F.coalesce(F.map_contains_key(old, F.lit(field.name)), F.lit(False))
+        text = F.when(changed, F.try_element_at(old, F.lit(field.name))).otherwise(data[field.name])
+        return _read_text(text, field.dataType, ignore_errors).alias(field.name)
+
+    return F.struct(*[read(field) for field in fields.fields])
 
-def _matching(df: DataFrame, m: Column, database_include: str | None, table_include: str | None) -> DataFrame:
-    """Only records whose database and table names fully match; unparsed ones stay for error handling."""
+
+def _names_match(m: Column, database_include: str | None, table_include: str | None) -> Column:
+    """Database and table names match their patterns in full; a message without names is not judged here."""
+    wanted = F.lit(True)
     for name, pattern in (("database", database_include), ("table", table_include)):
         if pattern:
-            df = df.where(m[name].isNull() | m[name].rlike(f"^(?:{pattern})$"))
-    return df
+            wanted = wanted & F.coalesce(m[name].rlike(f"^(?:{pattern})$"), F.lit(True))
+    return wanted
 
 
 def decode_canal(
@@ -150,9 +164,10 @@ def decode_canal(
 ) -> DataFrame:
     """``type`` with ``data[]`` and, for updates, ``old[]`` (changed fields only). DDL records carry no rows."""
     fields = _schema(schema)
+    data_type = T.ArrayType(_texts_of(fields))
     kind = (
         T.StructType()
-        .add("data", T.ArrayType(_TEXTS))
+        .add("data", data_type)
         .add("old", T.ArrayType(_TEXTS))
         .add("database", "string")
         .add("table", "string")
@@ -162,30 +177,33 @@ def decode_canal(
         .add("isDdl", "boolean")
     )
     parsed, m = _parsed(df, value, kind)
-    parsed = _matching(parsed, m, database_include, table_include)
-    action, data, old = F.upper(m["type"]), m["data"], m["old"]
-
-    def images_of(pair: Column) -> Column:
-        before = _from_texts(_overlay(pair["data"], pair["old"]), fields, ignore_errors)
-        return F.array(
-            _image(UPDATE_BEFORE, before), _image(UPDATE_AFTER, _from_texts(pair["data"], fields, ignore_errors))
-        )
-
-    pairs = F.arrays_zip(data.alias("data"), F.coalesce(old, F.array().cast(T.ArrayType(_TEXTS))).alias("old"))
-    pairs = F.transform(
-        pairs, lambda p: F.struct(p["data"].alias("data"), F.coalesce(p["old"], F.create_map().cast(_TEXTS)).alias("old"))
+    action = F.upper(m["type"])
+    ddl = F.coalesce(m["isDdl"], F.lit(False))
+    wanted = _names_match(m, database_include, table_include) & ~ddl
+    text = F.col(quoted(value)).cast("string")
+    # A message holds several rows: first one record per row, then its images in plain (compiled) expressions.
+    pairs = F.arrays_zip(m["data"].alias("data"), F.coalesce(m["old"], F.array().cast(T.ArrayType(_TEXTS))).alias("old"))
+    none = F.array().cast(T.ArrayType(T.StructType().add("data", data_type.elementType).add("old", _TEXTS)))
+    broken = none if ignore_errors else F.raise_error(F.concat(F.lit("cannot decode change message: "), text))
+    understood = action.isin("INSERT", "UPDATE", "DELETE") & m["data"].isNotNull()
+    records = F.when(text.isNull() | ~wanted, none).when(F.coalesce(understood, F.lit(False)), pairs).otherwise(broken)
+    kept = [F.col(quoted(name)) for name in df.columns]
+    table, event_ms = _full_table(m["database"], m["table"]), F.coalesce(m["es"], m["ts"])
+    exploded = parsed.select(
+        *kept, action.alias("__action"), table.alias("__from"), event_ms.alias("__at"), F.explode(records).alias("__record")
     )
+    data, old = F.col("__record.data"), F.col("__record.old")
+    now = _now(data, fields, ignore_errors)
     images = (
-        F.when(action == "INSERT", F.transform(data, lambda d: _image(INSERT, _from_texts(d, fields, ignore_errors))))
-        .when(action == "UPDATE", F.flatten(F.transform(pairs, images_of)))
-        .otherwise(F.transform(data, lambda d: _image(DELETE, _from_texts(d, fields, ignore_errors))))
-    )
-    parsed = parsed.where(~F.coalesce(m["isDdl"], F.lit(False)))
-    understood = action.isin("INSERT", "UPDATE", "DELETE") & data.isNotNull()
-    table = _full_table(m["database"], m["table"])
-    return _without_message(
-        _decoded(parsed, value, images, table, F.coalesce(m["es"], m["ts"]), fields, ignore_errors, understood)
+        F.when(F.col("__action") == "INSERT", F.array(_image(INSERT, now)))
+        .when(
+            F.col("__action") == "UPDATE",
+            F.array(_image(UPDATE_BEFORE, _before(data, old, fields, ignore_errors)), _image(UPDATE_AFTER, now)),
+        )
+        .otherwise(F.array(_image(DELETE, now)))
     )
+    decoded = _decoded(exploded, value, images, F.col("__from"), F.col("__at"), fields, ignore_errors, F.lit(True))
+    return decoded.drop("__action", "__from", "__at", "__record")
 
 
 def decode_maxwell(
@@ -202,7 +220,7 @@ def decode_maxwell(
     fields = _schema(schema)
     kind = (
         T.StructType()
-        .add("data", _TEXTS)
+        .add("data", _texts_of(fields))
         .add("old", _TEXTS)
         .add("database", "string")
         .add("table", "string")
@@ -210,20 +228,21 @@ def decode_maxwell(
         .add("ts", "long")
     )
     parsed, m = _parsed(df, value, kind)
-    parsed = _matching(parsed, m, database_include, table_include)
-    action, data = F.lower(m["type"]), m["data"]
-    old = F.coalesce(m["old"], F.create_map().cast(_TEXTS))
-    now = _from_texts(data, fields, ignore_errors)
-    before = _from_texts(_overlay(data, old), fields, ignore_errors)
+    action, data, old = F.lower(m["type"]), m["data"], m["old"]
+    now = _now(data, fields, ignore_errors)
     images = (
         F.when(action.isin("insert", "bootstrap-insert"), F.array(_image(INSERT, now)))
-        .when(action == "update", F.array(_image(UPDATE_BEFORE, before), _image(UPDATE_AFTER, now)))
+        .when(
+            action == "update",
+            F.array(_image(UPDATE_BEFORE, _before(data, old, fields, ignore_errors)), _image(UPDATE_AFTER, now)),
+        )
         .otherwise(F.array(_image(DELETE, now)))
     )
     understood = action.isin("insert", "bootstrap-insert", "update", "delete") & data.isNotNull()
+    wanted = _names_match(m, database_include, table_include)
     table = _full_table(m["database"], m["table"])
     return _without_message(
-        _decoded(parsed, value, images, table, m["ts"] * 1000, fields, ignore_errors, understood)
+        _decoded(parsed, value, images, table, m["ts"] * 1000, fields, ignore_errors, understood, wanted)
     )
 
 
@@ -247,12 +266,11 @@ def decode_ogg(
         .add("table", "string")
     )
     parsed, m = _parsed(df, value, kind)
-    if database_include:
-        owner = F.substring_index(m["table"], ".", 1)
-        parsed = parsed.where(m["table"].isNull() | owner.rlike(f"^(?:{database_include})$"))
-    if table_include:
-        own = F.substring_index(m["table"], ".", -1)
-        parsed = parsed.where(m["table"].isNull() | own.rlike(f"^(?:{table_include})$"))
+    wanted = F.lit(True)
+    for pattern, place in ((database_include, 1), (table_include, -1)):
+        if pattern:
+            part = F.substring_index(m["table"], ".", place)
+            wanted = wanted & F.coalesce(part.rlike(f"^(?:{pattern})$"), F.lit(True))
     op, before, after = m["op_type"], m["before"], m["after"]
     images = (
         F.when(op == "I", F.array(_image(INSERT, after)))
@@ -265,7 +283,9 @@ def decode_ogg(
         | ((op == "D") & before.isNotNull())
     )
     event_ms = epoch_millis(m["op_ts"].try_cast("timestamp_ntz"), zoneless=True)
-    return _without_message(_decoded(parsed, value, images, m["table"], event_ms, fields, ignore_errors, understood))
+    return _without_message(
+        _decoded(parsed, value, images, m["table"], event_ms, fields, ignore_errors, understood, wanted)
+    )
 
 
 def decode_connect_json(

@@ -90,17 +90,8 @@ def _rule(
     return value.isNull() | passes, message
 
 
-def validation_errors(
-    df: DataFrame,
-    *,
-    field_rules: Sequence[Mapping[str, Any]],
-    functions: Mapping[str, Callable[[Column], Column]] | None = None,
-    fail_fast: bool = False,
-) -> Column:
-    """One array of ``{field_name, error_message}`` per row; empty when the row is valid.
-
-    A field's rules are nested (``rules=[...]``) or given flat on the entry itself.
-    """
+def _rules(df: DataFrame, field_rules: Sequence[Mapping[str, Any]], functions) -> list[tuple[str, Column, Column]]:
+    """(field, passes, message) of every rule; a field's rules are nested (``rules=[...]``) or flat on the entry."""
     require_columns(df, [entry["field_name"] for entry in field_rules], "validate")
     found = []
     for entry in field_rules:
@@ -109,12 +100,36 @@ def validation_errors(
             passes, message = _rule(field, df.schema[field].dataType, rule, functions or {})
             if rule.get("custom_message"):
                 message = F.lit(rule["custom_message"])
-            problem = F.struct(F.lit(field).alias("field_name"), message.alias("error_message"))
-            found.append(F.when(~F.coalesce(passes, F.lit(False)), problem))
-    errors = F.array_compact(F.array(*found))
+            found.append((field, passes, message))
+    return found
+
+
+def _valid(rules: Sequence[tuple[str, Column, Column]]) -> Column:
+    """True when every rule passes. Plain comparisons joined by AND, which Catalyst pushes into the scan."""
+    return _all([passes for _, passes, _ in rules])
+
+
+def _errors(rules: Sequence[tuple[str, Column, Column]], fail_fast: bool) -> Column:
+    """One array of ``{field_name, error_message}``; empty when the row is valid."""
+    problems = [
+        F.when(~F.coalesce(passes, F.lit(False)), F.struct(F.lit(field).alias("field_name"), message.alias("error_message")))
+        for field, passes, message in rules
+    ]
+    errors = F.array_compact(F.array(*problems))
     return F.slice(errors, 1, 1) if fail_fast else errors
 
 
+def validation_errors(
+    df: DataFrame,
+    *,
+    field_rules: Sequence[Mapping[str, Any]],
+    functions: Mapping[str, Callable[[Column], Column]] | None = None,
+    fail_fast: bool = False,
+) -> Column:
+    """The errors of each row as one array column."""
+    return _errors(_rules(df, field_rules, functions), fail_fast)
+
+
 class Validated(NamedTuple):
     """Rows that pass, in the input's schema, and one error row per rejected row."""
 
@@ -122,9 +137,6 @@ class Validated(NamedTuple):
     errors: DataFrame
 
 
-_ERRORS = "__errors"
-
-
 def validate(
     df: DataFrame,
     *,
@@ -135,12 +147,13 @@ def validate(
 ) -> DataFrame:
     """FAIL raises with the row's errors; SKIP drops invalid rows. For routing see :func:`validate_route`."""
     single_choice({"way": row_error_handle_way}, "way", ("FAIL", "SKIP"))
-    errors = validation_errors(df, field_rules=field_rules, functions=functions, fail_fast=fail_fast)
+    rules = _rules(df, field_rules, functions)
     if row_error_handle_way == "SKIP":
-        return df.where(F.size(errors) == 0)
-    # assert_true sits in the filter, so it runs in whatever action reads the rows, whichever columns are read.
-    message = F.concat(F.lit("validation failed: "), F.to_json(errors))
-    return df.where(F.when(F.size(errors) == 0, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+        return df.where(_valid(rules))
+    # The check sits in the filter, so it runs in whatever action reads the rows, whichever columns are read.
+    message = F.concat(F.lit("validation failed: "), F.to_json(_errors(rules, fail_fast)))
+    valid = F.coalesce(_valid(rules), F.lit(False))
+    return df.where(F.when(valid, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def validate_route(
@@ -154,19 +167,19 @@ def validate_route(
 ) -> Validated:
     """ROUTE_TO_TABLE: valid rows keep their schema, each rejected row becomes one row of the fixed error table."""
     path = TablePath.parse(table) if isinstance(table, str) else table
-    errors = validation_errors(df, field_rules=field_rules, functions=functions, fail_fast=fail_fast)
-    checked = df.withColumn(_ERRORS, errors)
-    columns = payload_columns(df)
-    original = F.to_json(F.struct(*[F.col(quoted(n)) for n in columns]), {"ignoreNullFields": "false"})
+    rules = _rules(df, field_rules, functions)
+    valid = _valid(rules)
+    original = F.to_json(F.struct(*[F.col(quoted(n)) for n in payload_columns(df)]), {"ignoreNullFields": "false"})
     stamp = F.current_timestamp().cast("timestamp_ntz") if create_time is None else create_time
-    bad = checked.where(F.size(_ERRORS) > 0).select(
+    # The messages are made for the rejected rows only.
+    rejected = df.where(~F.coalesce(valid, F.lit(False))).select(
         F.lit(str(path)).alias("source_table_id"),
         F.lit(str(path)).alias("source_table_path"),
         original.alias("original_data"),
-        F.to_json(_ERRORS).alias("validation_errors"),
+        F.to_json(_errors(rules, fail_fast)).alias("validation_errors"),
         stamp.alias("create_time"),
     )
-    return Validated(df.where(F.size(errors) == 0), bad)
+    return Validated(df.where(valid), rejected)
 
 
 def assert_table(

@@ -7,7 +7,8 @@ on the JVM again. Everything is local to the document's row, so nothing is shuff
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.envelope import quoted, require_columns
@@ -18,8 +19,10 @@ _BLANK, _FENCE, _TILDES, _LIST, _TABLE, _DASHES, _RULE, _EQUALS, _OTHER = 0, 7,
 
 def _line_class(line: Column) -> Column:
     hashes = F.length(F.regexp_extract(line, r"^ {0,3}(#{1,6})(?:[ \t]|$)", 1))
+    # Most lines are plain text: one look at the first character settles them.
     return (
-        F.when(line.rlike(r"^\s*$"), _BLANK)
+        F.when(~line.rlike(r"^\s*(?:[-#`~*+_=|0-9]|$)"), _OTHER)
+        .when(line.rlike(r"^\s*$"), _BLANK)
         .when(hashes > 0, hashes)
         .when(line.rlike(r"^ {0,3}```"), _FENCE)
         .when(line.rlike(r"^ {0,3}~~~"), _TILDES)
@@ -33,97 +36,118 @@ def _line_class(line: Column) -> Column:
     )
 
 
-def outline(classes) -> list[dict]:
-    """Elements of one document from its line classes: type, level, first line (1-based), line count, parent (its
-    position, 0 for none) and children."""
-    elements: list[dict] = []
+# The element types.
+TYPES = ["Heading", "Paragraph", "ListItem", "CodeBlock", "Table"]
+_HEADING, _PARAGRAPH, _ITEM, _CODE, _TABLE_TYPE = range(len(TYPES))
+
+
+def outline(classes) -> list[tuple[int, int, int, int, int]]:
+    """Elements of one document from its line classes: (type, level or 0, first line counted from 1, line count,
+    position of the heading above or 0)."""
+    elements: list[tuple[int, int, int, int, int]] = []
     opened: list[tuple[int, int]] = []  # headings above the current line: (level, position)
 
-    def add(kind: str, first: int, count: int, level: int | None = None) -> None:
-        position = len(elements) + 1
-        if level is not None:
+    def add(kind: int, first: int, count: int, level: int = 0) -> None:
+        if level:
             while opened and opened[-1][0] >= level:
                 opened.pop()
-        parent = opened[-1][1] if opened else 0
-        elements.append({"type": kind, "level": level, "first": first, "count": count, "parent": parent, "children": []})
-        if parent:
-            elements[parent - 1]["children"].append(position)
-        if level is not None:
-            opened.append((level, position))
+        elements.append((kind, level, first, count, opened[-1][1] if opened else 0))
+        if level:
+            opened.append((level, len(elements)))
 
     at, total = 0, len(classes)
     while at < total:
-        kind, start = int(classes[at]), at
+        kind, start = classes[at], at
         at += 1
         if 1 <= kind <= 6:
-            add("Heading", start + 1, 1, kind)
+            add(_HEADING, start + 1, 1, kind)
         elif kind in (_FENCE, _TILDES):
             while at < total and classes[at] != kind:
                 at += 1
-            add("CodeBlock", start + 2, at - start - 1)
+            add(_CODE, start + 2, at - start - 1)
             at += 1
         elif kind == _TABLE:
             while at < total and classes[at] == _TABLE:
                 at += 1
-            add("Table", start + 1, at - start)
+            add(_TABLE_TYPE, start + 1, at - start)
         elif kind in (_LIST, _OTHER, _EQUALS):
             while at < total and classes[at] == _OTHER:
                 at += 1
             if kind != _LIST and at < total and classes[at] in (_EQUALS, _DASHES):
-                add("Heading", start + 1, at - start, 1 if classes[at] == _EQUALS else 2)
+                add(_HEADING, start + 1, at - start, 1 if classes[at] == _EQUALS else 2)
                 at += 1
             else:
-                add("ListItem" if kind == _LIST else "Paragraph", start + 1, at - start)
+                add(_ITEM if kind == _LIST else _PARAGRAPH, start + 1, at - start)
     return elements
 
 
+_FIELDS = ("type", "level", "first", "count", "parent")
 _OUTLINE = T.ArrayType(
-    T.StructType()
-    .add("type", T.StringType())
-    .add("level", T.IntegerType())
-    .add("first", T.IntegerType())
-    .add("count", T.IntegerType())
-    .add("parent", T.IntegerType())
-    .add("children", T.ArrayType(T.IntegerType()))
+    T.StructType(
+        [T.StructField(name, T.IntegerType()) for name in _FIELDS]
+        + [T.StructField("children", T.ArrayType(T.IntegerType()))]
+    )
 )
 
 
-@F.pandas_udf(_OUTLINE)
-def _outline(classes: pd.Series) -> pd.Series:
-    return classes.map(lambda row: None if row is None else outline(row))
+@F.arrow_udf(_OUTLINE)
+def _outline(classes: pa.Array) -> pa.Array:
+    found = [outline(row or ()) for row in classes.to_pylist()]
+    flat = np.array([element for row in found for element in row], dtype=np.int32).reshape(-1, len(_FIELDS))
+    counts = np.array([len(row) for row in found])
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    starts = np.repeat(ends[:-1], counts)
+    # Children grouped by their parent, in document order.
+    below = np.flatnonzero(flat[:, 4])
+    above = starts[below] + flat[below, 4] - 1
+    order = np.argsort(above, kind="stable")
+    child_ends = np.concatenate([[0], np.cumsum(np.bincount(above, minlength=len(flat)))])
+    children = pa.ListArray.from_arrays(
+        pa.array(child_ends.astype(np.int32)), pa.array((below - starts[below] + 1)[order].astype(np.int32))
+    )
+    elements = pa.StructArray.from_arrays(
+        [*[pa.array(column) for column in flat.T], children], names=[*_FIELDS, "children"]
+    )
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), elements)
 
 
 def _clean(text: Column, kind: Column) -> Column:
     heading = F.regexp_replace(F.regexp_replace(text, r"^ {0,3}#{1,6}(?:[ \t]+|$)", ""), r"(?:^|[ \t]+)#+[ \t]*$", "")
     item = F.regexp_replace(text, r"^[ \t]*(?:[-*+]|\d{1,9}[.)])[ \t]+", "")
-    return F.when(kind == "Heading", F.trim(heading)).when(kind == "ListItem", item).otherwise(text)
+    return F.when(kind == _HEADING, F.trim(heading)).when(kind == _ITEM, item).otherwise(text)
 
 
-def _element_id(elements: Column, position: Column) -> Column:
-    return F.concat(F.lower(F.get(elements, position - 1)["type"]), F.lit("_"), position.cast("string"))
+def _element_id(kind: Column, position: Column) -> Column:
+    names = F.array(*[F.lit(name.lower() + "_") for name in TYPES])
+    return F.concat(F.get(names, kind), position.cast("string"))
 
 
 def markdown_elements(df: DataFrame, *, text_col: str = "text", page_number: int = 1) -> DataFrame:
     """Every other column of the input, then ``element_id, element_type, heading_level, text, page_number,
     position_index, parent_id, child_ids`` (comma-separated), one row per element in document order."""
     require_columns(df, [text_col], "markdown_elements")
-    kept = [name for name in df.columns if name != text_col]
-    lines = df.withColumn("__lines", F.split(F.col(quoted(text_col)).cast("string"), r"\r\n|\n|\r"))
+    kept = [F.col(quoted(name)) for name in df.columns if name != text_col]
+    text = F.translate(F.replace(F.col(quoted(text_col)).cast("string"), F.lit("\r\n"), F.lit("\n")), "\r", "\n")
+    lines = df.withColumn("__lines", F.split(text, "\n"))
     outlined = lines.withColumn("__outline", _outline(F.transform("__lines", _line_class)))
-    elements = F.col("__outline")
+    names = F.array(*[F.lit(name) for name in TYPES])
+
+    def member(position: Column) -> Column:
+        return _element_id(F.get("__outline", position - 1)["type"], position)
 
-    def row(element: Column, index: Column) -> Column:
+    def row(e: Column, index: Column) -> Column:
         position = (index + 1).cast("int")
-        raw = F.array_join(F.slice("__lines", element["first"], element["count"]), "\n")
+        raw = F.array_join(F.slice("__lines", e["first"], e["count"]), "\n")
         return F.struct(
-            _element_id(elements, position).alias("element_id"),
-            element["type"].alias("element_type"),
-            element["level"].alias("heading_level"),
-            _clean(raw, element["type"]).alias("text"),
+            _element_id(e["type"], position).alias("element_id"),
+            F.get(names, e["type"]).alias("element_type"),
+            F.when(e["level"] > 0, e["level"]).alias("heading_level"),
+            _clean(raw, e["type"]).alias("text"),
             F.lit(page_number).alias("page_number"),
             position.alias("position_index"),
-            F.when(element["parent"] > 0, _element_id(elements, element["parent"])).alias("parent_id"),
-            F.array_join(F.transform(element["children"], lambda c: _element_id(elements, c)), ",").alias("child_ids"),
+            F.when(e["parent"] > 0, member(e["parent"])).alias("parent_id"),
+            F.array_join(F.transform(e["children"], member), ",").alias("child_ids"),
         )
 
-    return outlined.select(*[F.col(quoted(name)) for name in kept], F.inline(F.transform("__outline", row)))
+    # Inside the document's own row: an exploded row would carry a copy of all its lines.
+    return outlined.select(*kept, F.inline(F.transform("__outline", row)))
