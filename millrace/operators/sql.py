@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
-import uuid
+import threading
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.envelope import envelope_columns, quoted
 
+# Views have session-wide names: two threads of one session must not analyse at the same time.
+_VIEWS = threading.Lock()
 _SELECT = re.compile(r"\bselect\s", re.IGNORECASE)
 
 
@@ -36,20 +38,21 @@ def sql(
     spark = df.sparkSession
     register_functions(spark, functions or {})
     names = {table_name, "dual"}
-    for name in names:
-        df.createOrReplaceTempView(name)
-    try:
-        # spark.sql analyses the query before it returns, so the views are not needed afterwards.
-        result = spark.sql(query, args=dict(args) if args else None)
-        if carry_envelope:
-            missing = [name for name in envelope_columns(df) if name not in result.columns]
-            if missing:
-                carried = _SELECT.sub(f"SELECT {', '.join(missing)}, ", query, count=1)
-                wide = spark.sql(carried, args=dict(args) if args else None)
-                result = wide.select(*[F.col(quoted(name)) for name in result.columns + missing])
-    finally:
+    with _VIEWS:
         for name in names:
-            spark.catalog.dropTempView(name)
+            df.createOrReplaceTempView(name)
+        try:
+            # spark.sql analyses the query before it returns, so the views are not needed afterwards.
+            result = spark.sql(query, args=dict(args) if args else None)
+            if carry_envelope:
+                missing = [name for name in envelope_columns(df) if name not in result.columns]
+                if missing:
+                    carried = _SELECT.sub(f"SELECT {', '.join(missing)}, ", query, count=1)
+                    wide = spark.sql(carried, args=dict(args) if args else None)
+                    result = wide.select(*[F.col(quoted(name)) for name in result.columns + missing])
+        finally:
+            for name in names:
+                spark.catalog.dropTempView(name)
     return result
 
 
@@ -59,9 +62,3 @@ def sql_steps(df: DataFrame, *queries: str) -> DataFrame:
         df = sql(df, query)
     return df
 
-
-def unique_view(df: DataFrame, prefix: str = "mr") -> str:
-    """A temp view with a name nobody else uses."""
-    name = f"{prefix}_{uuid.uuid4().hex}"
-    df.createOrReplaceTempView(name)
-    return name

@@ -42,13 +42,22 @@ def even_bounds(low: int, high: int, step: int) -> Bounds:
     return list(zip([None, *cuts], [*cuts, None]))
 
 
-def sampled_bounds(df: DataFrame, column: str, splits: int, sample_fraction: float | None = None) -> Bounds:
-    """Ranges of about equal row counts, for skewed or text keys. Spark's range partitioner samples the keys; only the
-    smallest key of each range comes back. A key is never cut, so one hot key is one split."""
+# Keys looked at per planned range: enough for even ranges, and a bound on what is shuffled to find them.
+KEYS_PER_SPLIT = 100
+
+
+def sampled_bounds(df: DataFrame, column: str, splits: int, rows: int, fraction: float = 1.0) -> Bounds:
+    """Ranges of about equal row counts, for skewed or text keys.
+
+    At most about ``KEYS_PER_SPLIT`` keys per range are sampled, so finding the ranges stays small however large the
+    table or its hottest key is. Spark's range partitioner orders the sample; only the smallest key of each range
+    comes back. A key is never cut, so one hot key is one split.
+    """
     key = F.col(quoted(column))
     keys = df.select(key.alias("k")).where(key.isNotNull())
-    if sample_fraction is not None and sample_fraction < 1:
-        keys = keys.sample(fraction=sample_fraction, seed=7)
+    fraction = min(fraction, KEYS_PER_SPLIT * splits / max(rows, 1))
+    if fraction < 1:
+        keys = keys.sample(fraction=fraction, seed=7)
     firsts = (
         keys.repartitionByRange(max(1, splits), "k")
         .groupBy(F.spark_partition_id().alias("p"))
@@ -87,8 +96,8 @@ def plan_splits(
         if even_lower <= factor <= even_upper:
             return even_bounds(low, high, max(1, int(factor * split_size)))
     splits = -(-rows // split_size)
-    fraction = 1 / inverse_sampling_rate if splits > sample_sharding_threshold else None
-    return sampled_bounds(df, column, splits, fraction)
+    fraction = 1 / inverse_sampling_rate if splits > sample_sharding_threshold else 1.0
+    return sampled_bounds(df, column, splits, rows, fraction)
 
 
 def sql_literal(value: Any) -> str:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.envelope import quoted
 from millrace.options import exactly_one
-from millrace.plans.splits import plan_splits, split_predicates
+from millrace.plans.splits import plan_splits, sampled_bounds, split_predicates
 
 
 def _reader(spark: SparkSession, url: str, properties: Mapping[str, str] | None):
@@ -44,18 +44,26 @@ def scan_jdbc(
     reader = _reader(spark, url, options).option("dbtable", source)
     if not partition_column:
         return reader.load()
+    num = partition_num or spark.sparkContext.defaultParallelism
+    whole = reader.load()
+    if isinstance(whole.schema[partition_column].dataType, T.StringType):
+        # Text has no even ranges: ranges of equal row counts, from a sample of the keys.
+        key = whole.select(F.col(quoted(partition_column)))
+        bounds = sampled_bounds(key, partition_column, num, key.count())
+        predicates = split_predicates(partition_column, bounds)
+        return spark.read.jdbc(url, source, predicates=predicates, properties=options)
     low, high = partition_lower_bound, partition_upper_bound
     if low is None or high is None:
         bounds = f"(SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {source}) mr_bounds"
         row = _reader(spark, url, options).option("dbtable", bounds).load().first()
         low, high = (row[0] if low is None else low), (row[1] if high is None else high)
         if low is None:
-            return reader.load()
+            return whole
     return reader.options(
         partitionColumn=partition_column,
         lowerBound=str(low),
         upperBound=str(high),
-        numPartitions=str(partition_num or spark.sparkContext.defaultParallelism),
+        numPartitions=str(num),
     ).load()
 
 

@@ -2,28 +2,74 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.envelope import TablePath, TableSet
+from millrace.envelope import TablePath, TableSet, quoted
 
-COUNTS_SCHEMA = "table string, source_received bigint, sink_written bigint"
+COUNTS_SCHEMA = (
+    "table string, source_received_count bigint, source_received_bytes bigint, source_received_qps double,"
+    " sink_write_count bigint, sink_write_bytes bigint, sink_write_qps double,"
+    " sink_committed_count bigint, sink_committed_bytes bigint"
+)
+
+# Bytes of a value of each fixed-width type.
+WIDTHS = {
+    "boolean": 1,
+    "tinyint": 1,
+    "smallint": 2,
+    "int": 4,
+    "bigint": 8,
+    "float": 4,
+    "double": 8,
+    "date": 4,
+    "timestamp": 8,
+    "timestamp_ntz": 8,
+}
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """The size of a row's values: widths of fixed types, byte lengths of texts, JSON length of nested values."""
+    total = F.lit(0).cast("bigint")
+    for field in df.schema.fields:
+        value, kind = F.col(quoted(field.name)), field.dataType.simpleString()
+        if kind in WIDTHS:
+            size = F.when(value.isNotNull(), WIDTHS[kind])
+        elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = F.octet_length(value)
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = F.octet_length(F.to_json(value))
+        else:
+            size = F.octet_length(value.cast("string"))
+        total = total + F.coalesce(size, F.lit(0))
+    return total
+
+
+def _measures(df: DataFrame) -> tuple[Column, Column]:
+    return F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")
 
 
 def job_counts(
     tables: TableSet, transform: Callable[[TablePath, DataFrame], DataFrame], write: Callable[[TablePath, DataFrame], None]
 ) -> DataFrame:
-    """Run each table through ``transform`` into ``write`` and report rows received and written. The counts ride along
-    with the write (``observe``): no second pass, no count job."""
+    """Run each table through ``transform`` into ``write`` and report rows, bytes and rates received, written and
+    committed. The counts ride along with the write (``observe``): no second pass, no count job. A write that returns
+    has committed all it wrote."""
     counted = []
     for path, df in tables.items():
         received, written = Observation(), Observation()
-        source = df.observe(received, F.count(F.lit(1)).alias("n"))
-        out = transform(path, source).observe(written, F.count(F.lit(1)).alias("n"))
-        write(path, out)
-        counted.append((str(path), received.get["n"], written.get["n"]))
+        out = transform(path, df.observe(received, *_measures(df)))
+        started = time.monotonic()
+        write(path, out.observe(written, *_measures(out)))
+        seconds = max(time.monotonic() - started, 1e-3)
+        took, gave = received.get, written.get
+        counted.append(
+            (str(path), took["n"], took["bytes"], took["n"] / seconds)
+            + (gave["n"], gave["bytes"], gave["n"] / seconds, gave["n"], gave["bytes"])
+        )
     spark = next(iter(tables.values())).sparkSession
     return spark.createDataFrame(counted, COUNTS_SCHEMA)
 

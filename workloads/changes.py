@@ -417,10 +417,18 @@ def stream_restart_no_dup(spark, sf):
     return spark.read.schema(customer.schema).parquet(out)
 
 
+_ORDER_BYTES = "32 + strlen(o_orderstatus) + strlen(o_orderpriority)"
+_CUSTOMER_BYTES = "20 + strlen(c_name) + strlen(c_mktsegment)"
+
+
 @query(
     "job_counts",
-    """SELECT 'shop.orders' AS table_path, count(*) AS source_received, count(*) FILTER (o_totalprice > 200000) AS sink_written FROM orders
-       UNION ALL SELECT 'shop.customer', count(*), count(*) FROM customer""",
+    f"""SELECT 'shop.orders' AS table_path, count(*) AS source_received_count, CAST(sum({_ORDER_BYTES}) AS BIGINT) AS source_received_bytes,
+               count(*) FILTER (o_totalprice > 200000) AS sink_write_count,
+               CAST(sum({_ORDER_BYTES}) FILTER (o_totalprice > 200000) AS BIGINT) AS sink_write_bytes,
+               count(*) FILTER (o_totalprice > 200000) AS sink_committed_count FROM orders
+        UNION ALL SELECT 'shop.customer', count(*), CAST(sum({_CUSTOMER_BYTES}) AS BIGINT), count(*),
+               CAST(sum({_CUSTOMER_BYTES}) AS BIGINT), count(*) FROM customer""",
 )
 def job_counts_query(spark, sf):
     tables = TableSet.of({"shop.orders": table(spark, sf, "orders"), "shop.customer": table(spark, sf, "customer")})
@@ -430,4 +438,11 @@ def job_counts_query(spark, sf):
         return df.where("o_totalprice > 200000") if path.table == "orders" else df
 
     counts = job_counts(tables, transform, lambda path, df: write_files(df, f"{root}/{path.table}"))
-    return counts.withColumnRenamed("table", "table_path")
+    return counts.select(
+        F.col("table").alias("table_path"),
+        "source_received_count",
+        "source_received_bytes",
+        "sink_write_count",
+        "sink_write_bytes",
+        "sink_committed_count",
+    )
