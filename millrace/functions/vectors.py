@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 from millrace.options import single_choice
-from millrace.session import broadcast_limit, scratch_dir
+from millrace.session import broadcast_limit, written
 
 # Fixed value: the largest index a sparse vector may have.
 MAX_SPARSE_INDEX = 1_000_000
@@ -209,9 +209,7 @@ def vector_topk(
     spark = corpus.sparkSession
     limit = slice_bytes or max(broadcast_limit(spark), 1 << 20)
     # The queries are written once: their real size is then known, and slices do not compute them again.
-    written = scratch_dir(spark, "topk-queries")
-    queries.select("query_id", "vector").write.parquet(written)
-    queries = spark.read.schema(queries.select("query_id", "vector").schema).parquet(written)
+    queries = written(queries.select("query_id", "vector"), "topk-queries")
     numbers = queries.agg(F.sum(F.size("vector") + 1)).first()[0] or 0
     slices = max(1, -(-numbers * 8 // limit))
     found = None

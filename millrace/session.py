@@ -69,10 +69,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(scratch_root(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def size_estimate(df: DataFrame) -> int:
-    """Catalyst's own upper estimate of the bytes ``df`` produces; no job is run."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: its lineage ends there, and its size is known from
+    the files, so Spark broadcasts it exactly when it is small."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_limit(spark: SparkSession) -> int:

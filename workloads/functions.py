@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions import murmur, scalar, vectors
 from millrace.operators.sql import sql
+from millrace.session import written
 from workloads.registry import query, table
 
 
@@ -139,31 +140,38 @@ def fn_parse_time_auto(spark, sf):
     return table(spark, sf, "events").select("event_id", scalar.parse_time_auto(text).alias("parsed"))
 
 
-def centroids(spark, sf) -> DataFrame:
-    """One vector per label: the element-wise mean, rounded so that both engines compare the same numbers."""
-    elements = table(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("pos", "x"))
-    means = elements.groupBy("label", "pos").agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("m"))
+def whole_numbers(vector) -> Column:
+    """A vector in thousandths, so that sums are exact in any order and both engines agree to the last digit."""
+    return F.transform(vector, lambda x: F.floor(x.cast("double") * 1000).cast("double"))
+
+
+def centers(spark, sf) -> DataFrame:
+    """One vector per label: the element-wise mean, rounded down."""
+    vectors_ = table(spark, sf, "embeddings").select("label", F.posexplode(whole_numbers("embedding")).alias("pos", "x"))
+    means = vectors_.groupBy("label", "pos").agg(F.floor(F.sum("x") / F.count("x")).cast("double").alias("m"))
     # At most (vector length) means per label are gathered.
     gathered = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("pairs"))
     return gathered.select("label", F.transform("pairs", lambda p: p["m"]).alias("center"))
 
 
-CENTERS_SQL = """
-    means AS (SELECT label, pos, round(avg(x::DOUBLE), 6) AS m
-              FROM (SELECT label, unnest(embedding) AS x, unnest(range(1, len(embedding) + 1)) AS pos FROM embeddings) GROUP BY 1, 2),
-    centers AS (SELECT label, list(m ORDER BY pos) AS center FROM means GROUP BY label)"""
+_WHOLE = "list_transform(embedding, lambda x: floor(x::DOUBLE * 1000))"
+CENTERS_SQL = f"""
+    means AS (SELECT label, pos, floor(sum(x) / count(x)) AS m
+              FROM (SELECT label, unnest({_WHOLE}) AS x, unnest(range(1, len(embedding) + 1)) AS pos FROM embeddings) GROUP BY 1, 2),
+    centers AS (SELECT label, list(m ORDER BY pos) AS center FROM means GROUP BY label),
+    pairs AS (SELECT vec_id, {_WHOLE} AS a, center AS b FROM embeddings JOIN centers USING (label))"""
+
+
+def with_center(spark, sf) -> DataFrame:
+    """Each vector beside its label's center."""
+    joined = table(spark, sf, "embeddings").join(written(centers(spark, sf), "centers"), "label")
+    return joined.select("vec_id", whole_numbers("embedding").alias("a"), F.col("center").alias("b"))
 
 
 def _distance_query(name: str, column, sql_pair: str):
-    @query(
-        name,
-        f"""WITH {CENTERS_SQL}
-            SELECT vec_id, round({sql_pair}, 4) AS distance
-            FROM (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS a, center AS b FROM embeddings JOIN centers USING (label))""",
-    )
+    @query(name, f"WITH {CENTERS_SQL} SELECT vec_id, {sql_pair} AS distance FROM pairs")
     def run(spark, sf):
-        joined = table(spark, sf, "embeddings").join(centroids(spark, sf), "label")
-        return joined.select("vec_id", F.round(column(F.col("embedding"), F.col("center")), 4).alias("distance"))
+        return with_center(spark, sf).select("vec_id", column(F.col("a"), F.col("b")).alias("distance"))
 
     return run
 
@@ -182,14 +190,12 @@ vector_cosine = _distance_query(
 
 def _bit_pairs(spark, sf) -> DataFrame:
     """Each vector's sign bits and those of its label's center."""
-    joined = table(spark, sf, "embeddings").join(centroids(spark, sf), "label")
-    signs = {name: F.transform(column, lambda x: x > 0) for name, column in (("a", "embedding"), ("b", "center"))}
-    return joined.select("vec_id", *[vectors.pack_bits(flags).alias(name) for name, flags in signs.items()])
+    signs = {name: F.transform(name, lambda x: x > 0) for name in ("a", "b")}
+    return with_center(spark, sf).select("vec_id", *[vectors.pack_bits(f).alias(name) for name, f in signs.items()])
 
 
 _BITS_SQL = f"""WITH {CENTERS_SQL},
-    bits AS (SELECT vec_id, list_zip(list_transform(embedding, lambda x: x > 0), list_transform(center, lambda x: x > 0)) AS p
-             FROM embeddings JOIN centers USING (label))"""
+    bits AS (SELECT vec_id, list_zip(list_transform(a, lambda x: x > 0), list_transform(b, lambda x: x > 0)) AS p FROM pairs)"""
 
 
 @query("vector_hamming", _BITS_SQL + " SELECT vec_id, CAST(len(list_filter(p, lambda b: b[1] <> b[2])) AS INTEGER) AS distance FROM bits")
@@ -200,12 +206,10 @@ def vector_hamming(spark, sf):
 @query(
     "vector_jaccard",
     _BITS_SQL
-    + " SELECT vec_id, round(1 - len(list_filter(p, lambda b: b[1] AND b[2]))::DOUBLE / len(list_filter(p, lambda b: b[1] OR b[2])), 4) AS distance FROM bits",
+    + " SELECT vec_id, 1 - len(list_filter(p, lambda b: b[1] AND b[2]))::DOUBLE / len(list_filter(p, lambda b: b[1] OR b[2])) AS distance FROM bits",
 )
 def vector_jaccard(spark, sf):
-    return _bit_pairs(spark, sf).select(
-        "vec_id", F.round(vectors.jaccard_distance(F.col("a"), F.col("b")), 4).alias("distance")
-    )
+    return _bit_pairs(spark, sf).select("vec_id", vectors.jaccard_distance(F.col("a"), F.col("b")).alias("distance"))
 
 
 @query(
@@ -237,14 +241,14 @@ def vector_roundtrip(spark, sf):
 @query(
     "vector_topk",
     f"""WITH {CENTERS_SQL},
-        pairs AS (SELECT c.label::BIGINT AS query_id, vec_id,
-                         sqrt(list_sum(list_transform(list_zip(list_transform(embedding, lambda x: x::DOUBLE), center), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS d
-                  FROM centers c, embeddings)
-        SELECT query_id, vec_id, CAST(rank AS INTEGER) AS rank FROM
-          (SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) AS rank FROM pairs) WHERE rank <= 5""",
+        scored AS (SELECT c.label::BIGINT AS query_id, vec_id,
+                          sqrt(list_sum(list_transform(list_zip(a, center), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS distance
+                   FROM centers c, pairs)
+        SELECT query_id, vec_id, distance, CAST(rank AS INTEGER) AS rank FROM
+          (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM scored) WHERE rank <= 5""",
 )
 def vector_topk(spark, sf):
     """The five vectors nearest to each label's center."""
-    queries = centroids(spark, sf).select(F.col("label").cast("bigint").alias("query_id"), F.col("center").alias("vector"))
-    corpus = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
-    return vectors.vector_topk(queries, corpus, metric="L2", k=5).select("query_id", "vec_id", "rank")
+    queries = centers(spark, sf).select(F.col("label").cast("bigint").alias("query_id"), F.col("center").alias("vector"))
+    corpus = table(spark, sf, "embeddings").select("vec_id", whole_numbers("embedding").alias("vector"))
+    return vectors.vector_topk(queries, corpus, metric="L2", k=5)
