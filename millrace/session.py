@@ -28,7 +28,8 @@ _shipped: set[str] = set()
 
 
 def build_session(app: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings above; extra settings are given as ``spark__sql__x="v"`` keywords."""
+    """A session with the settings above, and this package on its executors; extra settings are given as
+    ``spark__sql__x="v"`` keywords."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -36,7 +37,9 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -52,6 +53,17 @@ def create_table(
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
+@contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
+    """A catalog table takes the overwrite mode from the session, not from writer options."""
+    before = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, before)
+
+
 def insert_table(df: DataFrame, name: str, *, overwrite: bool = False) -> None:
     """Append by column name to a (partitioned) table; ``overwrite`` replaces only the partitions that have rows."""
     spark = df.sparkSession
@@ -60,13 +72,20 @@ def insert_table(df: DataFrame, name: str, *, overwrite: bool = False) -> None:
     if missing:
         raise ValueError(f"insert_table: the input has no {missing}")
     rows = df.select(*[F.col(quoted(field.name)).cast(field.dataType).alias(field.name) for field in target.fields])
-    # A catalog table takes the overwrite mode from the session, not from writer options.
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
+    with _overwrite_mode(spark, "dynamic"):
         rows.write.insertInto(table_name(name), overwrite=overwrite)
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
+
+
+def empty_table(spark: SparkSession, name: str) -> None:
+    """Drop the data and keep the table. Spark truncates only tables it owns; an external one is overwritten with
+    nothing."""
+    full = table_name(name)
+    if spark.catalog.getTable(full).tableType == "MANAGED":
+        spark.sql(f"TRUNCATE TABLE {full}")
+        return
+    nothing = spark.createDataFrame([], spark.table(full).schema)
+    with _overwrite_mode(spark, "static"):
+        nothing.write.insertInto(full, overwrite=True)
 
 
 def prepare_target(
@@ -99,7 +118,7 @@ def prepare_target(
             create_table(df, name, **create_options)
             created = True
     if data_save_mode == "DROP_DATA" and exists and not created:
-        spark.sql(f"TRUNCATE TABLE {full}")
+        empty_table(spark, name)
     elif data_save_mode == "ERROR_WHEN_DATA_EXISTS" and exists and not spark.table(full).isEmpty():
         raise ValueError(f"save mode: table {name} already has data")
     elif data_save_mode == "CUSTOM_PROCESSING":

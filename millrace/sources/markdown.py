@@ -127,7 +127,9 @@ def markdown_elements(df: DataFrame, *, text_col: str = "text", page_number: int
     position_index, parent_id, child_ids`` (comma-separated), one row per element in document order."""
     require_columns(df, [text_col], "markdown_elements")
     kept = [F.col(quoted(name)) for name in df.columns if name != text_col]
-    text = F.translate(F.replace(F.col(quoted(text_col)).cast("string"), F.lit("\r\n"), F.lit("\n")), "\r", "\n")
+    text, newline = F.col(quoted(text_col)).cast("string"), F.lit("\n")
+    for ending in ("\r\n", "\r"):
+        text = F.replace(text, F.lit(ending), newline)
     lines = df.withColumn("__lines", F.split(text, "\n"))
     outlined = lines.withColumn("__outline", _outline(F.transform("__lines", _line_class)))
     names = F.array(*[F.lit(name) for name in TYPES])

@@ -48,17 +48,19 @@ def flow_fanout(spark: SparkSession, sf: str) -> DataFrame:
 def sql_flow(spark, sf):
     """A source view, a table as select, an insert into a sink table, all as statements."""
     tag, path = uuid.uuid4().hex, scratch_dir(spark, "sink")
-    done = run_statements(
+    run_statements(
         spark,
         [
             f"CREATE TEMPORARY VIEW src_{tag} USING parquet OPTIONS (path '{sf}/orders.parquet')",
             f"CREATE TEMPORARY VIEW step_{tag} AS SELECT o_orderkey AS id, o_orderstatus AS label, o_custkey FROM src_{tag}",
             f"CREATE TABLE sink_{tag} (id BIGINT, label STRING) USING parquet LOCATION '{path}'",
             f"INSERT INTO sink_{tag} SELECT id, concat(label, '!') FROM step_{tag} WHERE o_custkey > 100",
-            f"SELECT * FROM sink_{tag}",
+            f"DROP TABLE sink_{tag}",
+            f"DROP VIEW step_{tag}",
+            f"DROP VIEW src_{tag}",
         ],
     )
-    return done
+    return spark.read.parquet(path)
 
 
 @query("flow_variables", "SELECT o_orderkey, 'none' AS note FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 50000")

@@ -44,8 +44,7 @@ def fn_cast(spark, sf):
 
 @query(
     "fn_from_unixtime_tz",
-    """SELECT event_id, strftime(to_timestamp(epoch(ts)::BIGINT)::TIMESTAMP + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS local
-       FROM (SELECT event_id, date_trunc('second', ts) AS ts FROM events)""",
+    """SELECT event_id, strftime(date_trunc('second', ts) + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS local FROM events""",
 )
 def fn_from_unixtime_tz(spark, sf):
     seconds = F.floor(scalar.epoch_millis(F.col("ts"), zoneless=True) / 1000)

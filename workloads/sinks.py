@@ -73,14 +73,17 @@ def save_mode_append(spark, sf):
 
 @query("save_mode_drop_data", "SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0")
 def save_mode_drop_data(spark, sf):
-    name, location = _target(spark)
     customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
     rows = customers.where("c_acctbal > 0").select("c_custkey", "c_name")
-    # Managed by the session's warehouse: truncating needs a table Spark owns.
-    sinks.save_table(customers.select("c_custkey", "c_name"), name)
-    sinks.save_table(rows, name, data_save_mode="DROP_DATA")
+    # A table Spark owns, in a database of its own, and an external one: each is emptied its own way.
+    database, (name, location) = f"mr_{uuid.uuid4().hex}", _target(spark)
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_dir(spark, 'db')}'")
+    for target, options in ((f"{database}.owned", {}), (name, {"location": location})):
+        sinks.save_table(customers.select("c_custkey", "c_name"), target, **options)
+        sinks.save_table(rows, target, data_save_mode="DROP_DATA", **options)
     kept = scratch_dir(spark, "kept")
-    spark.table(name).write.parquet(kept)
+    spark.table(f"{database}.owned").intersectAll(spark.table(name)).write.parquet(kept)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
     spark.sql(f"DROP TABLE {name}")
     return spark.read.parquet(kept)
 

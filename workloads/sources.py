@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.envelope import KIND, SEQ, TABLE
 from millrace.operators import changelog, tables
 from millrace.plans import splits
-from millrace.session import scratch_dir
+from millrace.session import scratch_dir, written
 from millrace.sinks.files import write_files
 from millrace.sources import documents, files, generate, markdown
 from millrace.sources.tables import scan_many, scan_tables
@@ -91,10 +91,11 @@ def scan_csv_skip_lines(spark, sf):
 def scan_binary_files(spark, sf):
     path = scratch_dir(spark, "binary")
     # One line per document, so that lines can be counted again in the bytes.
-    flat = table(spark, sf, "documents").select(F.translate("text", "\n", "\x02").alias("value"))
+    flat = table(spark, sf, "documents").select(F.replace("text", F.lit("\n"), F.lit("\x02")).alias("value"))
     flat.write.text(path)
     found = files.scan_file(spark, path, fmt="binary", extension="txt")
-    newlines = F.length(F.col("content").cast("string")) - F.length(F.translate(F.col("content").cast("string"), "\n", ""))
+    content = F.col("content").cast("string")
+    newlines = F.length(content) - F.length(F.replace(content, F.lit("\n"), F.lit("")))
     return found.agg(
         F.sum("length").cast("double").alias("size_listed"),
         F.sum(F.octet_length("content")).cast("double").alias("size_read"),
@@ -176,7 +177,9 @@ def scan_tables_regex(spark, sf):
     for path, df in found.items():
         one = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(path.table).alias("table_name"), "n_rows")
         out = one if out is None else out.unionByName(one)
-    return out
+    counts = written(out, "counts")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return counts
 
 
 @query(
