@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from millrace.envelope import TablePath, payload_columns, quoted, require_columns
+from millrace.envelope import TablePath, TableSet, payload_columns, quoted, require_columns
 from millrace.options import require, single_choice
 from millrace.schema import spark_type
 
@@ -243,6 +244,30 @@ def assert_table(
     return totals.select(F.inline(F.array(*rows)))
 
 
+def assert_tables(tables: TableSet, *, tables_configs: Sequence[Mapping[str, Any]]) -> DataFrame:
+    """Rules for several tables, each entry with a ``table_path``, row and field rules, and optionally the
+    ``primary_key`` the table must have. The result of :func:`assert_table` with the table in front."""
+    parts = []
+    for entry in tables_configs:
+        path = TablePath.parse(entry["table_path"])
+        if path not in tables.frames:
+            raise ValueError(f"assert_tables: no table {path}")
+        rules = {key: entry[key] for key in ("row_rules", "field_rules") if entry.get(key)}
+        df = tables[path]
+        if rules:
+            parts.append(assert_table(df, **rules).select(F.lit(str(path)).alias("table_path"), "*"))
+        if entry.get("primary_key"):
+            same = tuple(entry["primary_key"]) == tables.meta(path).primary_key
+            known = df.sparkSession.createDataFrame(
+                [(str(path), "PRIMARY_KEY", ",".join(entry["primary_key"]), same, 0)],
+                "table_path string, rule string, field string, ok boolean, observed bigint",
+            )
+            parts.append(known)
+    if not parts:
+        raise ValueError("assert_tables: no rules")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def require_assertions(results: DataFrame) -> None:
     """Raise if any rule of an :func:`assert_table` result failed (a handful of rows, one per rule)."""
     failed = results.where(~F.col("ok")).collect()

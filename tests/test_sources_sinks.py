@@ -65,6 +65,23 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "GreaterThan(l_quantity,30.0)" in text and "l_shipdate" not in text
 
 
+def test_choosing_files(spark):
+    path = scratch_dir(spark, "chosen")
+    spark.range(3).write.parquet(path)
+    assert files.scan_file(spark, path, modified_after="2000-01-01T00:00:00").count() == 3
+    assert files.scan_file(spark, path, schema={"id": "bigint"}, modified_before="2000-01-01T00:00:00").count() == 0
+    assert files.scan_file(spark, path, file_filter_pattern=r"part-.*\.parquet").count() == 3
+    assert files.scan_file(spark, path, file_filter_pattern=r"part").count() == 0
+    assert files.scan_file(spark, path, schema={"id": "bigint"}, extension="orc").count() == 0
+
+
+def test_key_ranges(spark):
+    df = spark.range(10)
+    assert rows(files.key_range_scan(df, "id", 2, 4)) == [(2,), (3,)]
+    assert rows(files.key_range_scan(df, "id", 2, 4, start_inclusive=False, end_inclusive=True)) == [(3,), (4,)]
+    assert files.key_range_scan(df, "id", None, 3).count() == 3 and files.key_range_scan(df, "id").count() == 10
+
+
 def test_skip_lines_of_every_file(spark):
     path = scratch_dir(spark, "lines")
     for part in range(3):

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.envelope import TableMeta, TableSet
 from millrace.operators import validate as v
 from tests.conftest import plan_of, rows
 
@@ -117,3 +118,25 @@ def test_assert_table(users):
     }
     with pytest.raises(AssertionError):
         v.require_assertions(result)
+
+
+def test_assert_tables(spark, users):
+    tables = TableSet.of({"db.users": users, "db.ids": spark.range(3)}, {"db.ids": TableMeta(primary_key=("id",))})
+    result = v.assert_tables(
+        tables,
+        tables_configs=[
+            {"table_path": "db.users", "row_rules": [{"rule_type": "MIN_ROW", "rule_value": 4}]},
+            {"table_path": "db.ids", "primary_key": ["id"], "field_rules": [{"field_name": "id", "field_value": [{"rule_type": "MAX", "rule_value": 2}]}]},
+        ],
+    )
+    assert rows(result.select("table_path", "rule", "ok")) == [
+        ("db.ids", "MAX", True), ("db.ids", "PRIMARY_KEY", True), ("db.users", "MIN_ROW", False),
+    ]
+    with pytest.raises(ValueError):
+        v.assert_tables(tables, tables_configs=[{"table_path": "db.nope"}])
+
+
+def test_decimal_type_rule(spark):
+    df = spark.sql("select cast(1 as decimal(10,2)) as d")
+    for kind, ok in (("decimal(10,2)", True), ("decimal(10,3)", False)):
+        assert v.assert_table(df, field_rules=[{"field_name": "d", "field_type": kind}]).first()["ok"] is ok
