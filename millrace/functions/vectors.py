@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
@@ -58,7 +58,7 @@ def pack_vector(vector: Column, element: str = "float") -> Column:
         packed = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(column), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]
         )
-        return pa.compute.if_else(column.is_valid(), packed, pa.scalar(None, pa.large_binary())).cast(pa.binary())
+        return pc.if_else(column.is_valid(), packed, pa.scalar(None, pa.large_binary())).cast(pa.binary())
 
     return pack(vector)
 
@@ -69,7 +69,7 @@ def unpack_vector(packed: Column, element: str = "float") -> Column:
 
     @F.arrow_udf(T.ArrayType(_SPARK[element]))
     def unpack(column: pa.Array) -> pa.Array:
-        sizes = np.asarray(pa.compute.binary_length(column).fill_null(0)).astype(np.int64)
+        sizes = np.asarray(pc.binary_length(column).fill_null(0)).astype(np.int64)
         if (sizes % fmt.itemsize).any():
             raise ValueError(f"packed length is not a multiple of {fmt.itemsize}")
         raw = b"".join(value for value in column.to_pylist() if value is not None)
@@ -107,26 +107,39 @@ def cosine_distance(a: Column, b: Column) -> Column:
     return F.when(norms > 0, F.lit(1.0) - inner_product(a, b) / norms)
 
 
-def _bits(column: pa.Array) -> list[np.ndarray | None]:
-    return [None if v is None else np.unpackbits(np.frombuffer(v, np.uint8)) for v in column.to_pylist()]
+def _bytes_of(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of both columns, end to end, where neither is NULL; the row of each byte; which rows count."""
+    valid = pc.and_(a.is_valid(), b.is_valid()).to_numpy(zero_copy_only=False)
+    a, b = a.filter(pa.array(valid)), b.filter(pa.array(valid))
+    sizes = np.asarray(pc.binary_length(a)).astype(np.int64)
+    if (sizes != np.asarray(pc.binary_length(b))).any():
+        raise ValueError("bit vectors of different lengths have no distance")
+    flat = [np.frombuffer(b"".join(column.to_pylist()), np.uint8) for column in (a, b)]
+    return flat[0], flat[1], np.repeat(np.arange(len(sizes)), sizes), valid
+
+
+def _set_bits(flat: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    return np.bincount(row, weights=np.bitwise_count(flat), minlength=rows).astype(np.int64)
+
+
+def _spread(values: np.ndarray, valid: np.ndarray, kind: pa.DataType) -> pa.Array:
+    out = np.zeros(len(valid), values.dtype)
+    out[valid] = values
+    return pa.array(out, kind, mask=~valid)
 
 
 @F.arrow_udf(T.IntegerType())
 def _hamming(a: pa.Array, b: pa.Array) -> pa.Array:
-    out = [None if x is None or y is None else int((x != y).sum()) for x, y in zip(_bits(a), _bits(b))]
-    return pa.array(out, pa.int32())
+    x, y, row, valid = _bytes_of(a, b)
+    return _spread(_set_bits(x ^ y, row, int(valid.sum())).astype(np.int32), valid, pa.int32())
 
 
 @F.arrow_udf(T.DoubleType())
 def _jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
-    out = []
-    for x, y in zip(_bits(a), _bits(b)):
-        if x is None or y is None:
-            out.append(None)
-        else:
-            union = int((x | y).sum())
-            out.append(1.0 - int((x & y).sum()) / union if union else 0.0)
-    return pa.array(out, pa.float64())
+    x, y, row, valid = _bytes_of(a, b)
+    shared, either = (_set_bits(bits, row, int(valid.sum())) for bits in (x & y, x | y))
+    distance = np.where(either > 0, 1.0 - shared / np.maximum(either, 1), 0.0)
+    return _spread(distance, valid, pa.float64())
 
 
 def hamming_distance(a: Column, b: Column) -> Column:
@@ -141,8 +154,19 @@ def jaccard_distance(a: Column, b: Column) -> Column:
 
 @F.arrow_udf(T.BinaryType())
 def _pack_bits(flags: pa.Array) -> pa.Array:
-    out = [None if row is None else np.packbits(np.asarray(row, dtype=bool)).tobytes() for row in flags.to_pylist()]
-    return pa.array(out, pa.binary())
+    sizes = np.asarray(flags.value_lengths().fill_null(0))
+    bits = flags.flatten().to_numpy(zero_copy_only=False).astype(bool)
+    # Every row starts at a byte of its own.
+    bytes_needed = -(-sizes // 8)
+    starts = np.concatenate([[0], np.cumsum(bytes_needed)]).astype(np.int64)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(bits)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    wide = np.zeros(int(starts[-1]) * 8, bool)
+    wide[starts[row] * 8 + place] = bits
+    packed = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(sizes), [None, pa.py_buffer(starts), pa.py_buffer(np.packbits(wide).tobytes())]
+    )
+    return pc.if_else(flags.is_valid(), packed, pa.scalar(None, pa.large_binary())).cast(pa.binary())
 
 
 def pack_bits(flags: Column) -> Column:
@@ -175,11 +199,14 @@ def _slice_topk(queries: DataFrame, corpus: DataFrame, metric: str, k: int) -> D
     vectors = np.asarray(rows["vector"].to_pylist(), dtype=np.float64)
     shared = corpus.sparkSession.sparkContext.broadcast((query_ids, vectors))
 
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix = shared.value
         for batch in batches:
-            vec_ids = batch["vec_id"].to_numpy()
-            block = np.stack(batch["vector"].to_numpy()).astype(np.float64)
+            if not batch.num_rows:
+                continue
+            vec_ids = batch.column(0).to_numpy()
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            block = flat.reshape(len(vec_ids), -1)
             scores = _scores(matrix, block, metric)
             keep = min(k, len(vec_ids))
             cut = np.partition(scores, keep - 1, axis=1)[:, keep - 1 : keep]
@@ -188,12 +215,14 @@ def _slice_topk(queries: DataFrame, corpus: DataFrame, metric: str, k: int) -> D
             q, c = q[order], c[order]
             place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
             q, c = q[place < keep], c[place < keep]  # the smaller id wins a tie
-            distance = scores[q, c]
-            yield pd.DataFrame(
-                {"query_id": ids[q], "vec_id": vec_ids[c], "distance": -distance if metric == "IP" else distance}
+            distance = -scores[q, c] if metric == "IP" else scores[q, c]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[q], pa.int64()), pa.array(vec_ids[c], pa.int64()), pa.array(distance, pa.float64())],
+                ["query_id", "vec_id", "distance"],
             )
 
-    return corpus.select("vec_id", "vector").mapInPandas(best, "query_id bigint, vec_id bigint, distance double")
+    pairs = corpus.select(F.col("vec_id").cast("bigint"), "vector").where("vector is not null")
+    return pairs.mapInArrow(best, "query_id bigint, vec_id bigint, distance double")
 
 
 def vector_topk(

@@ -342,7 +342,7 @@ def encode_changelog(df: DataFrame, *, fmt: str) -> DataFrame:
     return df.select(F.to_json(message, _JSON).alias("value"))
 
 
-def _beside(df: DataFrame, value: str, parsed: Column, fields: T.StructType, ignore_errors: bool) -> DataFrame:
+def _beside(df: DataFrame, value: str, parsed: Column, fields: T.StructType) -> DataFrame:
     rows = df.withColumn("__message", parsed)
     kept = [name for name in df.columns if name != value and name not in fields.names]
     row = F.col("__message")
@@ -355,7 +355,7 @@ def decode_json(df: DataFrame, *, value: str = "value", schema: Schema, ignore_e
     fields = _schema(schema)
     mode = {"mode": "PERMISSIVE" if ignore_errors else "FAILFAST"}
     parsed = F.from_json(F.col(quoted(value)).cast("string"), fields, mode)
-    return _beside(df, value, parsed, fields, ignore_errors)
+    return _beside(df, value, parsed, fields)
 
 
 def decode_text(
@@ -364,8 +364,9 @@ def decode_text(
     """Delimited message text to columns."""
     fields = _schema(schema)
     options = {"sep": delimiter, "mode": "PERMISSIVE" if ignore_errors else "FAILFAST"}
-    parsed = F.from_csv(F.col(quoted(value)).cast("string"), fields.simpleString()[len("struct<"):-1].replace(":", " "), options)
-    return _beside(df, value, parsed, fields, ignore_errors)
+    ddl = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields.fields)
+    parsed = F.from_csv(F.col(quoted(value)).cast("string"), ddl, options)
+    return _beside(df, value, parsed, fields)
 
 
 def to_messages(

@@ -2,7 +2,8 @@
 
 A micro-batch writes only its own changes (work grows with the changes, not with the table); reading folds them over
 the base; compacting writes a new base now and then. A folder counts once Spark's ``_SUCCESS`` mark is there, and a
-replayed batch rewrites its own folder, so a failed or repeated batch changes nothing.
+replayed batch rewrites its own folder, so a failed or repeated batch changes nothing. A table belongs to one stream
+and its checkpoint: batch ids are what tells batches apart.
 """
 
 from __future__ import annotations

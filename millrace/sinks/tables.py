@@ -29,6 +29,11 @@ def column_ddl(df: DataFrame) -> list[tuple[str, str]]:
     ]
 
 
+def _text(value: str) -> str:
+    """A SQL text literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_table(
     df: DataFrame,
     name: str,
@@ -39,14 +44,17 @@ def create_table(
     comment: str | None = None,
 ) -> None:
     """An empty table with the DataFrame's columns."""
-    columns = ", ".join(f"{quoted(column)} {kind}" for column, kind in column_ddl(df))
-    ddl = f"CREATE TABLE {table_name(name)} ({columns}) USING {fmt}"
+    columns = []
+    for column, kind in column_ddl(df):
+        note = df.schema[column].metadata.get("comment")
+        columns.append(f"{quoted(column)} {kind}" + (f" COMMENT {_text(note)}" if note else ""))
+    ddl = f"CREATE TABLE {table_name(name)} ({', '.join(columns)}) USING {fmt}"
     if partition_by:
         ddl += f" PARTITIONED BY ({', '.join(quoted(column) for column in partition_by)})"
     if comment:
-        ddl += " COMMENT '" + comment.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        ddl += f" COMMENT {_text(comment)}"
     if location:
-        ddl += f" LOCATION '{location}'"
+        ddl += f" LOCATION {_text(location)}"
     df.sparkSession.sql(ddl)
 
 

@@ -168,3 +168,16 @@ def test_topk_against_brute_force(spark, metric, slice_bytes):
         assert [round(scores[j], 6) for j in mine] == [round(scores[j], 6) for j in best]
         if metric != "COSINE":
             assert mine == best
+
+
+def test_bit_vectors_of_any_length(spark):
+    flags = [[True] * 9, [False, True, True], [], None, [True, False] * 20]
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(flags)], "i int, f array<boolean>")
+    packed = df.select("i", vectors.pack_bits(F.col("f")).alias("p"))
+    want = [None if f is None else np.packbits(np.array(f, bool)).tobytes() for f in flags]
+    assert [None if r["p"] is None else bytes(r["p"]) for r in packed.orderBy("i").collect()] == want
+    flipped = df.select("i", vectors.pack_bits(F.transform("f", lambda x: ~x)).alias("q"))
+    both = packed.join(flipped, "i").select("i", vectors.hamming_distance(F.col("p"), F.col("q")).alias("h"))
+    assert [r["h"] for r in both.orderBy("i").collect()] == [9, 3, 0, None, 40]
+    with pytest.raises(Exception, match="different lengths"):
+        spark.sql("select X'00' as a, X'0000' as b").select(vectors.hamming_distance(F.col("a"), F.col("b"))).collect()

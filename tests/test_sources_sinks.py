@@ -505,3 +505,11 @@ def test_flow(spark, sf_dir):
     failing = {**spec, "sink": [{"plugin_name": "Assert", "row_rules": [{"rule_type": "MAX_ROW", "rule_value": 1}]}]}
     with pytest.raises(AssertionError):
         run_flow(spark, failing)
+
+
+def test_column_comments_and_quotes(spark):
+    schema = schema_from_spec({"columns": [{"name": "id", "type": "int", "comment": "the 'key'"}]})
+    ts.create_table(spark.createDataFrame([], schema), "commented", comment="it's \\ here")
+    found = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE commented").collect()}
+    assert found["id"] == "the 'key'"
+    spark.sql("DROP TABLE commented")
