@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -59,17 +61,19 @@ def create_table(
 
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_OVERWRITE_LOCK = threading.Lock()
 
 
 @contextmanager
 def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
     """A catalog table takes the overwrite mode from the session, not from writer options."""
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
+    with _OVERWRITE_LOCK:
+        before = spark.conf.get(_OVERWRITE_MODE)
+        spark.conf.set(_OVERWRITE_MODE, mode)
+        try:
+            yield
+        finally:
+            spark.conf.set(_OVERWRITE_MODE, before)
 
 
 def insert_table(df: DataFrame, name: str, *, overwrite: bool = False) -> None:
@@ -188,8 +192,10 @@ def write_many(
     *,
     database: str | None = "${database_name}",
     table: str = "${table_name}",
+    at_once: int = 1,
 ) -> dict[TablePath, str]:
-    """One sink per table: ``write(df, resolved name)`` runs for each; the names are returned."""
+    """One sink per table: ``write(df, resolved name)`` runs for each, ``at_once`` of them side by side (small tables
+    then share the cluster); the names are returned."""
     names: dict[TablePath, str] = {}
     for path, df in tables.items():
         meta = tables.meta(path)
@@ -197,8 +203,9 @@ def write_many(
         names[path] = ".".join(part for part in parts if part)
     if len(set(names.values())) != len(names):
         raise ValueError(f"write_many: several tables would go to one target: {sorted(names.values())}")
-    for path, df in tables.items():
-        write(df, names[path])
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        for done in [pool.submit(write, df, names[path]) for path, df in tables.items()]:
+            done.result()
     return names
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.sinks.files import sink_rows
 from millrace.sinks.keyed import KeyedTable
 
 
+_ROUTE = "__route"
+
+
 def checkpointed(writer: DataStreamWriter, checkpoint: str, interval_ms: int | None = None) -> DataStreamWriter:
     """Attach the checkpoint folder. ``interval_ms`` is the time between consistent snapshots (one per micro-batch);
     without it the query takes what is there now, in as many batches as the rate limit asks, and stops."""
@@ -74,3 +77,29 @@ def stream_apply_changelog(
             table.compact()
 
     return stream_for_each(stream, handle, checkpoint, interval_ms=interval_ms)
+
+
+def stream_route_changelog(
+    stream: DataFrame,
+    routes: Mapping[str, tuple[Callable[[DataFrame], DataFrame], KeyedTable]],
+    checkpoint: str,
+    *,
+    table_of: Column,
+    interval_ms: int | None = None,
+) -> StreamingQuery:
+    """One stream carrying changes of many tables into one keyed table each.
+
+    ``table_of`` tells a message's table; ``routes`` gives, per table, how its messages are decoded and where they go.
+    Messages of other tables are left alone. The micro-batch is read once, and each table parses only its own
+    messages.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        marked = batch.withColumn(_ROUTE, table_of).where(F.col(_ROUTE).isin(list(routes))).persist()
+        try:
+            for name, (decode, table) in routes.items():
+                table.apply(decode(marked.where(F.col(_ROUTE) == name).drop(_ROUTE)), batch_id)
+        finally:
+            marked.unpersist()
+
+    return stream_for_each(stream, handle, checkpoint, interval_ms=interval_ms)

@@ -8,13 +8,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.envelope import EVENT_MS, KIND, SEQ, TABLE, TableSet
 from millrace.operators import changelog, evolve, messages
+from millrace.schema import schema_from_fields
 from millrace.session import scratch_dir
 from millrace.sinks.files import write_files
 from millrace.sinks.keyed import KeyedTable
 from millrace.streaming.evolution import EvolvingTable, event_message
 from millrace.streaming.metrics import job_counts
 from millrace.streaming.scan import scan_stream
-from millrace.streaming.sinks import run_to_end, stream_apply_changelog, stream_for_each, stream_to_files
+from millrace.streaming.sinks import (
+    run_to_end,
+    stream_apply_changelog,
+    stream_for_each,
+    stream_route_changelog,
+    stream_to_files,
+)
 from workloads.registry import query, table
 
 CUSTOMER = {"c_custkey": "bigint", "c_name": "string", "c_acctbal": "double"}
@@ -446,3 +453,37 @@ def job_counts_query(spark, sf):
         "sink_write_bytes",
         "sink_committed_count",
     )
+
+
+@query(
+    "stream_route_tables",
+    """SELECT 'customer' AS table_name, count(*) AS n_rows, CAST(sum(c_custkey) AS BIGINT) AS key_sum FROM customer WHERE c_mktsegment <> 'BUILDING'
+       UNION ALL SELECT 'supplier', count(*), CAST(sum(s_suppkey) AS BIGINT) FROM supplier""",
+)
+def stream_route_tables(spark, sf):
+    """Change messages of two tables in one stream, each folded into its own table; a third table's are left alone."""
+    supplier = {"s_suppkey": "bigint", "s_name": "string"}
+    body = """to_json(named_struct('after', named_struct('s_suppkey', s_suppkey, 's_name', s_name), 'op', 'c',
+                                   'source', named_struct('db', 'shop', 'table', '{}')))"""
+    suppliers = table(spark, sf, "supplier")
+    messages_ = debezium_messages(spark, sf)
+    for name in ("supplier", "unknown"):
+        messages_ = messages_.unionByName(suppliers.select(F.expr(body.format(name)).cast("binary").alias("value")))
+    source = scratch_dir(spark, "messages")
+    messages_.withColumn(SEQ, F.monotonically_increasing_id()).write.parquet(source)
+
+    def keyed(name: str, schema: dict) -> tuple:
+        key = next(iter(schema))
+        target = KeyedTable(spark, scratch_dir(spark, name), keys=[key], schema=schema_from_fields(schema))
+        return lambda rows: messages.decode_debezium(rows, schema=schema), target
+
+    routes = {"customer": keyed("customer", CUSTOMER), "supplier": keyed("supplier", supplier)}
+    stream = scan_stream(spark, source, schema=T.StructType().add("value", "binary").add(SEQ, "long"))
+    table_of = F.get_json_object(F.col("value").cast("string"), "$.source.table")
+    run_to_end(stream_route_changelog(stream, routes, scratch_dir(spark, "checkpoint"), table_of=table_of))
+    out = None
+    for name, (_, target) in routes.items():
+        one = target.read().agg(F.count(F.lit(1)).alias("n_rows"), F.sum(target.keys[0]).alias("key_sum"))
+        one = one.select(F.lit(name).alias("table_name"), "n_rows", "key_sum")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -171,6 +171,7 @@ def multi_table_sink(spark, sf):
         lambda df, name: files.write_files(df, f"{root}/{name}"),
         database="ods_${database_name:none}",
         table="${table_name}_v1",
+        at_once=3,
     )
     out = None
     for name in names.values():
