@@ -31,7 +31,8 @@ def parse_path(path: str) -> list[str | int]:
     return steps
 
 
-def _render(steps: Sequence[str | int]) -> str:
+def render_path(steps: Sequence[str | int]) -> str:
+    """The steps as a path Spark reads."""
     out = "$"
     for step in steps:
         if step == "*":
@@ -43,12 +44,12 @@ def _render(steps: Sequence[str | int]) -> str:
 
 def _extract(text: Column, steps: Sequence[str | int]) -> tuple[Column, Column]:
     """The value as text, and whether the path exists (looked at only where the value is NULL)."""
-    value = F.get_json_object(text, _render(steps))
+    value = F.get_json_object(text, render_path(steps))
     if not steps:
         return value, value.isNotNull()
     if "*" in steps:
         return value, F.get_json_object(text, "$").isNotNull()
-    parent, leaf = F.get_json_object(text, _render(steps[:-1])), steps[-1]
+    parent, leaf = F.get_json_object(text, render_path(steps[:-1])), steps[-1]
     if isinstance(leaf, int):
         there = F.json_array_length(parent) > leaf
     else:

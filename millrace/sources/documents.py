@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.envelope import quoted, require_columns
-from millrace.operators.jsonpath import _render, parse_path
+from millrace.operators.jsonpath import render_path, parse_path
 from millrace.options import exactly_one, single_choice
 from millrace.schema import schema_from_fields, spark_type
 
@@ -30,10 +30,10 @@ def _elements(text: Column, path: str) -> Column:
         return F.from_json(value, _TEXTS)
 
     def inner(values: Column, piece: list) -> Column:
-        return F.transform(values, lambda x: F.get_json_object(x, _render(piece)))
+        return F.transform(values, lambda x: F.get_json_object(x, render_path(piece)))
 
     first, rest = pieces[0], pieces[1:]
-    found = F.array(F.get_json_object(text, _render(first))) if not rest else members(F.get_json_object(text, _render(first)))
+    found = F.array(F.get_json_object(text, render_path(first))) if not rest else members(F.get_json_object(text, render_path(first)))
     for i, piece in enumerate(rest):
         if piece:
             found = inner(found, piece)

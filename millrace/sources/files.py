@@ -32,7 +32,6 @@ def _schema(schema: Schema) -> T.StructType:
 
 
 def _selection(
-    file_filter_pattern: str | None,
     extension: str | None,
     modified_after: str | None,
     modified_before: str | None,
@@ -111,7 +110,7 @@ def scan_file(
     if fmt in ("csv", "text", "json", "xml"):
         require({"schema": schema}, "schema")
     reader = spark.read.options(
-        **_selection(file_filter_pattern, extension, modified_after, modified_before, not parse_partition_from_path)
+        **_selection(extension, modified_after, modified_before, not parse_partition_from_path)
     )
     if base_path:
         reader = reader.option("basePath", base_path)

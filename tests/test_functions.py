@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import murmur, scalar, vectors
-from tests.conftest import rows
 
 # First 64 bits of the digest of known texts.
 KNOWN = {

@@ -1,5 +1,5 @@
 import pytest
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import types as T
 
 from millrace.envelope import KIND, SEQ
 from millrace.operators import evolve as e

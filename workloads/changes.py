@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.envelope import EVENT_MS, KIND, SEQ, TABLE, TableSet
