@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from millrace.llm.decontaminate import WINDOW
 from millrace.llm.mixing import MAX_REPEATS, SEED, WEIGHTS
 from millrace.llm.quality import BASE_RULES, RULES, STOP_FORMS, SYMBOLS
 
@@ -98,3 +99,41 @@ MIX_SOURCES = f"""
 WITH {mixing_sql("documents")}
 SELECT doc_id, size, source_size, target, copies * size AS taken FROM mixed
 """
+
+
+def _folded(text: str) -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{upper}', '{lower}'), '{FOLDED_WORD}')"
+
+
+def decontamination_sql(documents: str) -> str:
+    """Common table expressions ending in ``checked``: every row of ``documents`` with its hits."""
+    return f"""
+    c_docs AS (SELECT row_number() OVER () AS k, *, {_folded("text")} AS ws FROM {documents}),
+    c_items AS (SELECT item_id, {_folded("text")} AS ws FROM benchmark),
+    c_windows AS (
+      SELECT DISTINCT item_id, l, array_to_string(ws[s : s + l - 1], ' ') AS w
+      FROM (SELECT item_id, ws, least(len(ws), {WINDOW}) AS l, unnest(generate_series(1, len(ws) - least(len(ws), {WINDOW}) + 1)) AS s
+            FROM c_items WHERE len(ws) > 0)),
+    c_lengths AS (SELECT DISTINCT l FROM c_windows),
+    c_places AS (
+      SELECT k, l, s, array_to_string(ws[s : s + l - 1], ' ') AS w
+      FROM (SELECT k, ws, l, unnest(generate_series(1, len(ws) - l + 1)) AS s FROM c_docs, c_lengths WHERE len(ws) >= l)),
+    c_hits AS (SELECT k, s, c_places.l, item_id FROM c_places JOIN c_windows USING (l, w)),
+    c_covered AS (
+      SELECT k, count(DISTINCT pos)::BIGINT AS n_hit FROM (SELECT k, unnest(generate_series(s, s + l - 1)) AS pos FROM c_hits)
+      GROUP BY k),
+    c_found AS (
+      SELECT k, count(DISTINCT item_id)::BIGINT AS n_items,
+             string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+      FROM c_hits GROUP BY k),
+    checked AS (
+      SELECT c_docs.*, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+             sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+      FROM c_docs LEFT JOIN c_covered USING (k) LEFT JOIN c_found USING (k))"""
+
+
+DECONTAMINATE = f"""
+WITH {decontamination_sql("documents")}
+SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM checked
+"""

@@ -3,13 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm import oracles
+from millrace.llm.decontaminate import contamination
 from millrace.llm.mixing import mix_plan
 from millrace.llm.quality import quality_report
 from workloads.registry import query, table
 
 
+@query("op1_decontaminate", oracles.DECONTAMINATE)
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("item_ids", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
 @query("op4_mix_sources", oracles.MIX_SOURCES)
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(table(spark, sf_dir, "documents"))
