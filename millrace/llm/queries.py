@@ -9,6 +9,7 @@ from millrace.llm import oracles
 from millrace.llm.decontaminate import contamination
 from millrace.llm.mixing import mix_plan
 from millrace.llm.quality import quality_report
+from millrace.llm.toxicity import Settings, held_out, learning_rows, train, with_score
 from workloads.registry import query, table
 
 
@@ -19,6 +20,15 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, settings = table(spark, sf_dir, "documents"), Settings()
+    model = train(learning_rows(docs, table(spark, sf_dir, "labels")), settings)
+    scored = with_score(docs.select("doc_id", "text"), model)
+    predicted = (F.col("score") >= settings.threshold).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted)
+
+
 @query("op4_mix_sources", oracles.MIX_SOURCES)
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(table(spark, sf_dir, "documents"))

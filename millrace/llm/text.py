@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +49,22 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+class WordHasher:
+    """64-bit hashes of words. Each word is hashed once and remembered until ``room`` words are known; then the memory is
+    emptied, so it stays bounded whatever the corpus holds."""
+
+    def __init__(self, room: int = 300_000) -> None:
+        self.room, self.known = room, {}
+
+    def __call__(self, words: list[str]) -> np.ndarray:
+        known = self.known
+        if len(known) > self.room:
+            known.clear()
+        try:
+            return np.array([known[w] for w in words], dtype=np.uint64)
+        except KeyError:
+            for w in set(words).difference(known):
+                known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+            return np.array([known[w] for w in words], dtype=np.uint64)
