@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.llm import oracles
 from millrace.llm.decontaminate import contamination
 from millrace.llm.mixing import mix_plan
+from millrace.llm.neardup import near_duplicates
 from millrace.llm.quality import quality_report
 from millrace.llm.toxicity import Settings, held_out, learning_rows, train, with_score
 from workloads.registry import query, table
@@ -35,6 +36,12 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op7_near_duplicates")
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id")
+
+
 @query("op10_quality_rules", oracles.QUALITY_RULES)
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality_report(table(spark, sf_dir, "documents"))
