@@ -95,7 +95,7 @@ def _shingles(docs: DataFrame, ks: list[int], mark: bool) -> DataFrame:
 
     both = docs.select("row", "id", let(folded_words(F.col("text")), hashes).alias("both"))
     split = both.select("row", "id", F.col("both.words").alias("words"), F.col("both.h").alias("hs"))
-    return split.select("row", "id", "words", F.size("words").alias("n"), F.posexplode("hs").alias("place", "h"))
+    return split.select("row", "id", "words", F.size("words").alias("n"), F.posexplode_outer("hs").alias("place", "h"))
 
 
 def _placed(candidates: DataFrame, ks: list[int]) -> DataFrame:
@@ -118,20 +118,32 @@ def _placed(candidates: DataFrame, ks: list[int]) -> DataFrame:
 POSSIBLE = "p IS NOT NULL AND n >= len AND lo <= hi"
 
 
+def _cut(found: DataFrame) -> DataFrame:
+    """Candidates with ``here``, the document words of the windows in question, in place of all words: a long document
+    may have many candidates, and each must stay small."""
+    width = F.col("hi") - F.col("lo") + F.col("len")
+    here = F.slice("words", F.col("p") - F.col("q") + F.col("lo") + 1, width)
+    return found.select(
+        "row", "id", "n", "item_id", "len", (F.col("p") - F.col("q") + F.col("lo")).alias("at"), here.alias("here"),
+        F.slice("span", F.col("lo") - F.col("first") + 1, width).alias("there"),
+    )
+
+
 def _verified() -> Column:
     """The document words ``from`` up to ``to`` that verified windows cover, null if none of them is there. All windows
     of a run contain its prefix, so what they cover has no gap."""
-    start = F.col("p") - F.col("q")
+    last = F.least(F.size("here"), F.size("there")) - F.col("len")
     same = F.filter(
-        F.sequence("lo", "hi"),
-        lambda s: F.slice(F.col("words"), start + s + 1, F.col("len"))
-        == F.slice(F.col("span"), s - F.col("first") + 1, F.col("len")),
+        F.when(last >= 0, F.sequence(F.lit(0), last)),
+        lambda s: F.slice("here", s + 1, F.col("len")) == F.slice("there", s + 1, F.col("len")),
     )
     return let(
         same,
         lambda s: F.when(
             F.size(s) > 0,
-            F.struct((start + F.array_min(s)).alias("from"), (start + F.array_max(s) + F.col("len")).alias("to")),
+            F.struct(
+                (F.col("at") + F.array_min(s)).alias("from"), (F.col("at") + F.array_max(s) + F.col("len")).alias("to")
+            ),
         ),
     )
 
@@ -184,7 +196,7 @@ def contamination(
     out = hits.groupBy("row", "id").agg(
         F.max("n").cast("long").alias("n_words"),
         F.collect_set("hit").alias("hits"),
-        F.collect_set(F.col("item_id").cast("string")).alias("item_ids"),
+        F.collect_set(F.when(F.col("hit").isNotNull(), F.col("item_id").cast("string"))).alias("item_ids"),
     )
     out = out.withColumns({"hits": F.sort_array("hits"), "item_ids": F.sort_array("item_ids")})
     return out.select(
@@ -207,15 +219,17 @@ def _fused(rows: DataFrame, prefixes: DataFrame, ks: list[int]) -> DataFrame:
         total = total + size
     is_marker = F.col("k").isNull() & (F.col("place") == total)
     found = _placed(_shingles(rows, ks, mark=True).join(probes, "h"), ks).where(is_marker | F.expr(POSSIBLE))
-    hits = found.select("row", "id", "n", "item_id", _verified().alias("hit"), is_marker.alias("marker"))
-    return hits.where("marker OR hit IS NOT NULL")
+    # No filter on the verdict here: Spark would evaluate it inside the join, which then carries all words of a document
+    # with every candidate. What is not verified has a null hit, which the grouping leaves out.
+    return _cut(found).select("row", "id", "n", "item_id", _verified().alias("hit"))
 
 
 def _shuffled(rows: DataFrame, prefixes: DataFrame, ks: list[int]) -> DataFrame:
     """The same rows by shuffles: hashes meet prefixes, then candidates meet the words of their document."""
     found = _placed(_shingles(rows, ks, mark=False).drop("words").join(prefixes, "h"), ks).where(POSSIBLE)
     words = rows.select("row", folded_words(F.col("text")).alias("words"))
-    hits = found.join(words, "row").select("row", "id", "n", "item_id", _verified().alias("hit")).where("hit IS NOT NULL")
+    cut = _cut(found.join(words, "row"))
+    hits = cut.select("row", "id", "n", "item_id", _verified().alias("hit")).where("hit IS NOT NULL")
     everyone = rows.select("row", "id", F.size(folded_words(F.col("text"))).alias("n"))
     return hits.unionByName(everyone, allowMissingColumns=True)
 
