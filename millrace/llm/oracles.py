@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from millrace.llm.chat import CLOSE, OPEN, Budget
 from millrace.llm.decontaminate import WINDOW
 from millrace.llm.mixing import MAX_REPEATS, SEED, WEIGHTS
 from millrace.llm.quality import BASE_RULES, RULES, STOP_FORMS, SYMBOLS
@@ -137,3 +138,61 @@ DECONTAMINATE = f"""
 WITH {decontamination_sql("documents")}
 SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM checked
 """
+
+
+def _chat() -> str:
+    b, extra = Budget(), len(OPEN) + 1 + len(CLOSE)
+    escaped = "length({0}) + length({0}) - length(replace(replace(replace({0}, '\\', ''), '<', ''), '#', ''))"
+    role_breaks = "length(role) - length(replace(role, chr(10), ''))"
+    return f"""
+    WITH rows AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+      UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+    placed AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+             len(regexp_extract_all(text, '{PLAIN_WORD}')) + {b.per_turn} AS tokens,
+             {escaped.format("role")} + {role_breaks} + {escaped.format("text")} + {extra} AS chars
+      FROM rows),
+    kinds AS (SELECT *, place = 1 AND role = 'system' AS system FROM placed),
+    sums AS (
+      SELECT *, coalesce(sum(CASE WHEN system THEN 0 ELSE tokens END) OVER (
+                  PARTITION BY conv_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+             max(CASE WHEN system THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS fixed
+      FROM kinds),
+    slots AS (
+      SELECT *, floor(before / greatest(1, floor(({b.tokens} - {b.history} - fixed) / 2))) AS slot FROM sums),
+    spans AS (SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY slot) - 1 AS span FROM slots),
+    starts AS (SELECT conv_id, span, min(before) AS first FROM spans GROUP BY ALL),
+    counted AS (
+      SELECT s.*, CASE WHEN system THEN max(s.span) OVER (PARTITION BY s.conv_id) + 1
+                       WHEN before >= n.first - {b.history} THEN 2 ELSE 1 END AS times
+      FROM spans s LEFT JOIN starts n ON s.conv_id IS NOT DISTINCT FROM n.conv_id AND n.span = s.span + 1)
+    SELECT conv_id, count(*)::BIGINT AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(chars * times)::BIGINT AS formatted_chars
+    FROM counted GROUP BY conv_id
+    """
+
+
+CHAT = _chat()
+
+
+# Base32 has no DuckDB function: 160 bits in groups of five, through the hexadecimal digits of the digest.
+_BITS = "list_reduce(list_transform(string_split(sha1(h), ''), lambda c: lpad(bin(('0x' || c)::INTEGER), 4, '0')), lambda a, b: a || b)"
+ARC_TO_WARC = f"""
+WITH bodies AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+bits AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, {_BITS} AS b FROM bodies),
+digests AS (
+  SELECT page_id, payload_bytes,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           list_sum(list_transform(range(5), lambda j: substr(b, (5 * i + j + 1)::BIGINT, 1)::INTEGER * (16 >> j::INTEGER)))::BIGINT + 1, 1)), '')
+           AS payload_digest
+  FROM bits),
+firsts AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM digests)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""

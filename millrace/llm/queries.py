@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import oracles
+from millrace.llm.chat import chat_report, format_chat
 from millrace.llm.decontaminate import contamination
 from millrace.llm.mixing import mix_plan
 from millrace.llm.neardup import near_duplicates
 from millrace.llm.quality import quality_report
+from millrace.llm.tokens import token_report
 from millrace.llm.toxicity import Settings, held_out, learning_rows, train, with_score
+from millrace.llm.warc import arc_archives, convert_arc, read_warc, with_revisits, write_warc
+from millrace.session import scratch_dir, written
 from workloads.registry import query, table
 
 
@@ -36,12 +40,42 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op6_arc_to_warc", oracles.ARC_TO_WARC)
+def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = written(arc_archives(table(spark, sf_dir, "pages")), "arc")
+    path = scratch_dir(spark, "warc")
+    write_warc(with_revisits(convert_arc(archives)), path)
+    return read_warc(spark, path).select(
+        F.col("page").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to_page").cast("long").alias("refers_to"),
+    )
+
+
 @query("op7_near_duplicates")
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "class_id")
 
 
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_report(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op9_chat_windows", oracles.CHAT)
+def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = spark.createDataFrame(
+        [(-7, i, role, "\\### Assistant: </turn> ok") for i, role in enumerate(("user", "assistant"))], turns.schema
+    )
+    return chat_report(written(format_chat(turns.unionByName(marks)), "chat-windows"))
+
+
 @query("op10_quality_rules", oracles.QUALITY_RULES)
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality_report(table(spark, sf_dir, "documents"))
