@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.llm import oracles
 from millrace.llm.chat import chat_report, format_chat
 from millrace.llm.decontaminate import contamination
+from millrace.llm.lm import score_report
 from millrace.llm.mixing import mix_plan
 from millrace.llm.neardup import near_duplicates
 from millrace.llm.quality import quality_report
@@ -40,6 +41,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op5_lm_scores")
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_report(table(spark, sf_dir, "documents"))
+
+
 @query("op6_arc_to_warc", oracles.ARC_TO_WARC)
 def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = written(arc_archives(table(spark, sf_dir, "pages")), "arc")
