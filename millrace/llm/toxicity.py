@@ -107,23 +107,18 @@ def learn(texts: list[str | None], labels: np.ndarray, settings: Settings) -> tu
 
 
 def train(labelled: DataFrame, settings: Settings = Settings()) -> Model:
-    """A model from a table of ``id``, ``text``, ``label`` (0 or 1; rows with another or no label are left out).
-
-    If there are more than ``max_texts`` rows, those with the smallest hashes of id and text are taken: a threshold on
-    the hash that keeps about that many, the same on every run. Repeated rows count as often as they are there. Without
-    both labels among the rows the model has no weights and gives the share of label 1.
-    """
+    """A model from a table of ``text`` and ``label`` (0 or 1; rows with another or no label are left out), which
+    ``learning_rows`` keeps bounded. Without both labels among the rows the model has no weights and gives the share of
+    label 1."""
     usable = labelled.where(F.col("label").isin(0, 1))
     totals = usable.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones")).first()
     n, ones = totals["n"], totals["ones"] or 0
     prior = float(np.log((ones + 0.5) / (n - ones + 0.5)))
     if not ones or ones == n:
         return Model(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.float32), prior, settings)
-    draw = F.xxhash64(F.lit("toxicity"), "id", "text")
-    if n > settings.max_texts:
-        usable = usable.where(F.pmod(draw, F.lit(1_000_000)) < int(1_000_000 * settings.max_texts / n))
-    shards = -(-min(n, settings.max_texts) // settings.texts_per_shard)
-    shard = F.pmod(F.xxhash64(F.lit("shard"), "id", "text"), F.lit(shards)).cast("int")
+    draw = F.xxhash64(F.lit("toxicity"), "text")
+    shards = max(2, -(-n // settings.texts_per_shard))  # an average of one learner alone would keep its noise
+    shard = F.pmod(F.xxhash64(F.lit("shard"), "text"), F.lit(shards)).cast("int")
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["draw", "label"])
@@ -165,21 +160,6 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text", score_col:
     return docs.withColumn(score_col, score(F.col(f"`{text_col}`").cast("string")))
 
 
-def labelled_texts(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
-) -> DataFrame:
-    """``id``, ``text``, ``label`` of the documents with a label; an id that is labelled both ways is left out."""
-    marks = (
-        labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label"))
-        .where("label IN (0, 1)")
-        .groupBy("id")
-        .agg(F.min("label").alias("label"), F.max("label").alias("other"))
-        .where("label = other")
-        .drop("other")
-    )
-    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(marks, "id")
-
-
 def held_out(id_col: str, folds: int = 4, fold: int = 2) -> Column:
     """Whether a row is kept from learning: by the CRC-32 of its id as text (a null id: of the empty text)."""
     return F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).cast("binary")) % folds == fold
@@ -194,12 +174,39 @@ def keep_harmless(
 ) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, with their own columns."""
     score = unused(docs, "toxicity_score")
-    model = train(learning_rows(docs, labels, id_col, text_col), settings)
+    model = train(learning_rows(docs, labels, id_col, text_col, settings=settings), settings)
     scored = with_score(docs, model, text_col, score)
     return scored.where(F.col(score) < settings.threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def learning_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The labelled texts outside the held-out fold, written once."""
-    seen = labelled_texts(docs.where(~held_out(id_col)), labels.where(~held_out(id_col)), id_col, text_col)
-    return written(seen, "toxicity-labelled")
+def learning_rows(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    settings: Settings = Settings(),
+) -> DataFrame:
+    """``id``, ``text``, ``label`` of labelled texts outside the held-out fold: about ``max_texts`` ids, those with the
+    smallest hashes, so the same on every run.
+
+    An id that is labelled both ways is left out; of an id that has several texts the smallest one counts. The sample is
+    drawn from the labels, and only its ids, whose number is bounded, are broadcast to the documents.
+    """
+    marks = (
+        labels.where(~held_out(id_col) & F.col(f"`{id_col}`").isNotNull())
+        .select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label"))
+        .where("label IN (0, 1)")
+        .groupBy("id")
+        .agg(F.min("label").alias("label"), F.max("label").alias("other"))
+        .where("label = other")
+        .drop("other")
+    )
+    marks = written(marks, "toxicity-labels")
+    n = marks.count()
+    if n > settings.max_texts:
+        parts = 1 << 40
+        marks = marks.where(F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(parts)) < parts * settings.max_texts // n)
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows = texts.join(F.broadcast(marks), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    return written(rows, "toxicity-texts")
