@@ -212,6 +212,9 @@ def keep_by_quality(docs: DataFrame, text_col: str = "text", rules: tuple[Rule,
     p = unused(docs, "q_")
     while any(c.lower().startswith(p.lower()) for c in docs.columns):
         p = f"_{p}"
-    counted = with_counts(docs, text_col, p)
+    # Spark would push the condition through the projections below and so repeat their expressions many times over; a
+    # condition on a row number stays where it is.
+    pin = f"{p}pin"
+    counted = with_counts(docs, text_col, p).withColumn(pin, F.monotonically_increasing_id())
     ok = F.size(F.concat(failing(BASE_RULES, p), failing(rules, p))) == 0
-    return counted.where(ok).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return counted.where((F.col(f"`{pin}`") >= 0) & ok).select(*[F.col(f"`{c}`") for c in docs.columns])
