@@ -35,11 +35,11 @@ class Settings:
     a shard. There is a shard for every ``texts_per_shard`` texts, so ``max_texts / texts_per_shard`` at most."""
 
     bits: int = 20
-    alpha: float = 2.0
+    alpha: float = 4.0
     beta: float = 1.0
-    l1: float = 3.0
-    l2: float = 1.0
-    epochs: int = 3
+    l1: float = 6.0
+    l2: float = 0.1
+    epochs: int = 4
     max_texts: int = 24_000
     texts_per_shard: int = 12_000
     threshold: float = 0.3
