@@ -20,6 +20,7 @@ from millrace.envelope import (
     quoted,
     require_columns,
 )
+from millrace.session import written
 
 _PLACE = "__place"
 _COUNT = "__count"
@@ -32,6 +33,12 @@ def _kind_order() -> Column:
     )
 
 
+def _known_kinds(changes: DataFrame) -> DataFrame:
+    """A row without a kind is an error, not a row to leave out."""
+    message = F.lit(f"a change has no {KIND}")
+    return changes.withColumn(KIND, F.when(F.col(KIND).isNull(), F.raise_error(message)).otherwise(F.col(KIND)))
+
+
 def latest_changes(changes: DataFrame, *, keys: Sequence[str], order_by: str | Sequence[str] = SEQ) -> DataFrame:
     """The last change of each key, deletes included; UPDATE_BEFORE says nothing about a keyed table.
 
@@ -42,7 +49,7 @@ def latest_changes(changes: DataFrame, *, keys: Sequence[str], order_by: str | S
     require_columns(changes, [*keys, *order, KIND], "latest_changes")
     newest_first = [F.col(quoted(name)).desc() for name in order]
     place = Window.partitionBy(*[F.col(quoted(key)) for key in keys]).orderBy(*newest_first, _kind_order().desc())
-    ranked = changes.where(F.col(KIND) != UPDATE_BEFORE).withColumn(_PLACE, F.row_number().over(place))
+    ranked = _known_kinds(changes).where(F.col(KIND) != UPDATE_BEFORE).withColumn(_PLACE, F.row_number().over(place))
     return ranked.where(F.col(_PLACE) == 1).drop(_PLACE)
 
 
@@ -65,7 +72,9 @@ def fold_retractions(changes: DataFrame) -> DataFrame:
     """
     columns = payload_columns(changes)
     sign = F.when(F.col(KIND).isin(INSERT, UPDATE_AFTER), F.lit(1)).otherwise(F.lit(-1))
-    counted = changes.groupBy(*[F.col(quoted(name)) for name in columns]).agg(F.sum(sign).alias(_COUNT))
+    counted = _known_kinds(changes).groupBy(*[F.col(quoted(name)) for name in columns]).agg(F.sum(sign).alias(_COUNT))
+    short = F.raise_error(F.lit("a row is retracted more often than it was added"))
+    counted = counted.withColumn(_COUNT, F.when(F.col(_COUNT) < 0, short).otherwise(F.col(_COUNT)))
     calls = F.ceil(F.col(_COUNT) / _COPIES_PER_CALL).cast("int")
     spread = (
         counted.where(F.col(_COUNT) > 0)
@@ -100,15 +109,13 @@ def apply_changelog(
     if not enable_delete:
         changes = changes.where(F.col(KIND) != DELETE)
     columns = payload_columns(target)
-    # The keys alone are enough to take rows out of the target: a hash aggregate over the key columns.
-    changed = changes.where(F.col(KIND) != UPDATE_BEFORE).select(
-        *[F.col(quoted(key)).alias(f"__changed_{i}") for i, key in enumerate(keys)]
-    )
+    # Written once: the changes are read and shuffled a single time, and Spark knows the size of their keys.
+    last = written(latest_changes(changes, keys=keys, order_by=order_by), "folded-changes")
+    changed = last.select(*[F.col(quoted(key)).alias(f"__changed_{i}") for i, key in enumerate(keys)])
     same_key = F.lit(True)
     for i, key in enumerate(keys):
         same_key = same_key & (F.col(quoted(key)) == F.col(f"__changed_{i}"))
-    untouched = target.select(*[F.col(quoted(n)) for n in columns]).join(changed.distinct(), same_key, "left_anti")
-    last = latest_changes(changes, keys=keys, order_by=order_by)
+    untouched = target.select(*[F.col(quoted(n)) for n in columns]).join(changed, same_key, "left_anti")
     upserts = last.where(F.col(KIND) != DELETE).select(*[F.col(quoted(n)) for n in columns])
     return untouched.unionByName(upserts)
 

@@ -2,8 +2,9 @@
 
 A micro-batch writes only its own changes (work grows with the changes, not with the table); reading folds them over
 the base; compacting writes a new base now and then. A folder counts once Spark's ``_SUCCESS`` mark is there, and a
-replayed batch rewrites its own folder, so a failed or repeated batch changes nothing. A table belongs to one stream
-and its checkpoint: batch ids are what tells batches apart.
+repeated batch changes nothing: a finished one is left alone, an unfinished one is rewritten. A table belongs to one
+stream and its checkpoint, whose name is stored with it: batch ids are what tells batches apart, so another stream is
+refused. Inside a key the order is ``__seq``, then the batch.
 """
 
 from __future__ import annotations
@@ -13,25 +14,47 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from millrace.envelope import KIND, SEQ, quoted
-from millrace.operators.changelog import apply_changelog, latest_changes
-from millrace.session import MARK_FINISHED, list_paths
+from millrace.envelope import DELETE, INSERT, KIND, SEQ, quoted
+from millrace.operators.changelog import latest_changes
+from millrace.session import MARK_FINISHED, list_paths, written
 
 _BATCH = "__batch"
 
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, *, keys: Sequence[str], schema: T.StructType):
+    """``arrival_order`` lets a later batch win whatever its sequence numbers, for streams whose ``__seq`` starts again."""
+
+    def __init__(
+        self, spark: SparkSession, path: str, *, keys: Sequence[str], schema: T.StructType, arrival_order: bool = False
+    ):
         self.spark, self.path, self.keys, self.schema = spark, path.rstrip("/"), list(keys), schema
+        self.order = [_BATCH, SEQ] if arrival_order else [SEQ, _BATCH]
+
+    def belongs_to(self, stream: str) -> None:
+        """Bind the table to a stream (the name of its checkpoint); raises if it is bound to another one."""
+        owner = f"{self.path}/owner"
+        if not list_paths(self.spark, f"{owner}/_SUCCESS"):
+            bound = self.spark.createDataFrame([(stream,)], "stream string").coalesce(1)
+            bound.write.mode("overwrite").options(**MARK_FINISHED).json(owner)
+            return
+        known = self.spark.read.schema("stream string").json(owner).first()[0]
+        if known != stream:
+            raise ValueError(f"the table at {self.path} belongs to the stream {known!r}, not {stream!r}")
 
     def _finished(self, folder: str) -> list[int]:
         marks = list_paths(self.spark, f"{self.path}/{folder}=*/_SUCCESS")
         return sorted(int(re.search(rf"{folder}=(-?\d+)/_SUCCESS$", mark).group(1)) for mark in marks)
 
     def load(self, snapshot: DataFrame) -> None:
-        """The initial snapshot; it precedes every batch."""
+        """The initial snapshot; it precedes every batch. A table that has one already keeps it, so a restarted stream
+        may pass it again."""
+        if self._finished("base"):
+            return
         rows = snapshot.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-        rows.write.mode("overwrite").options(**MARK_FINISHED).parquet(f"{self.path}/base=-1")
+        first = rows.withColumns(
+            {KIND: F.lit(INSERT), SEQ: F.lit(None).cast("bigint"), _BATCH: F.lit(-1).cast("bigint")}
+        )
+        first.write.mode("overwrite").options(**MARK_FINISHED).parquet(f"{self.path}/base=-1")
 
     def apply(self, changes: DataFrame, batch_id: int) -> None:
         """Record one batch, the last change per key. Safe to repeat with the same batch id."""
@@ -39,7 +62,7 @@ class KeyedTable:
             return
         last = latest_changes(changes, keys=self.keys)
         columns = [F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        last.select(*columns, KIND, SEQ).write.mode("overwrite").options(**MARK_FINISHED).parquet(f"{self.path}/delta={batch_id}")
+        last.select(*columns, KIND, F.col(SEQ).cast("bigint").alias(SEQ)).write.mode("overwrite").options(**MARK_FINISHED).parquet(f"{self.path}/delta={batch_id}")
 
     def _changes_after(self, base: int) -> DataFrame | None:
         batches = [batch for batch in self._finished("delta") if batch > base]
@@ -53,18 +76,42 @@ class KeyedTable:
 
     def read(self) -> DataFrame:
         """The table now."""
+        return self._rows(self._state())
+
+    def _stored(self) -> T.StructType:
+        return T.StructType(
+            [
+                *self.schema.fields,
+                T.StructField(KIND, T.StringType()),
+                T.StructField(SEQ, T.LongType()),
+                T.StructField(_BATCH, T.LongType()),
+            ]
+        )
+
+    def _rows(self, state: DataFrame) -> DataFrame:
+        return state.where(F.col(KIND) != DELETE).select(*[F.col(quoted(name)) for name in self.schema.names])
+
+    def _state(self) -> DataFrame:
+        """The last change of every key, deletes included: a late change must meet what it is older than."""
         bases = self._finished("base")
-        base_id = bases[-1] if bases else -1
-        reader = self.spark.read.schema(self.schema)
-        base = reader.parquet(f"{self.path}/base={base_id}") if bases else self.spark.createDataFrame([], self.schema)
-        changes = self._changes_after(base_id)
+        base_id = bases[-1] if bases else None
+        reader = self.spark.read.schema(self._stored())
+        base = reader.parquet(f"{self.path}/base={base_id}") if bases else self.spark.createDataFrame([], self._stored())
+        changes = self._changes_after(-1 if base_id is None else base_id)
         if changes is None:
             return base
-        applied = apply_changelog(base, changes, keys=self.keys, order_by=[_BATCH, SEQ])
-        return applied.select(*[F.col(quoted(name)) for name in self.schema.names])
+        # Only keys that changed are folded; the others are filtered in place where their keys fit a broadcast.
+        last = written(latest_changes(changes, keys=self.keys, order_by=self.order), "keyed-changes")
+        changed = last.select(*[F.col(quoted(key)).alias(f"__changed_{i}") for i, key in enumerate(self.keys)])
+        same = F.lit(True)
+        for i, key in enumerate(self.keys):
+            same = same & (F.col(quoted(key)) == F.col(f"__changed_{i}"))
+        untouched, met = base.join(changed, same, "left_anti"), base.join(changed, same, "left_semi")
+        folded = latest_changes(met.unionByName(last), keys=self.keys, order_by=self.order)
+        return untouched.unionByName(folded.select(*self._stored().names))
 
     def compact(self) -> None:
         """Write a new base that contains every finished batch; older folders are no longer read."""
         batches = self._finished("delta")
         if batches and batches[-1] not in self._finished("base"):
-            self.read().write.mode("overwrite").options(**MARK_FINISHED).parquet(f"{self.path}/base={batches[-1]}")
+            self._state().write.mode("overwrite").options(**MARK_FINISHED).parquet(f"{self.path}/base={batches[-1]}")

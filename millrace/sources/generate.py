@@ -72,8 +72,11 @@ def _value(kind: T.DataType, salt: Sequence[Column], options: Mapping[str, Any])
         low, high = float(options[f"{key}.min"]), float(options[f"{key}.max"])
         return (F.lit(low) + _unit(h) * (high - low)).cast(kind)
     if isinstance(kind, T.DecimalType):
-        digits = min(kind.precision, 15)
-        return (F.pmod(h, F.lit(10**digits)).cast(T.DecimalType(38, 0)) / F.lit(10**kind.scale)).cast(kind)
+        # A hash gives 15 digits; a wider number is put together from several.
+        blocks = [F.pmod(F.xxhash64(*salt, F.lit(i)) if i else h, F.lit(10**15)) for i in range(-(-kind.precision // 15))]
+        digits = F.right(F.concat(*[F.lpad(b.cast("string"), 15, "0") for b in blocks]), F.lit(kind.precision))
+        whole = F.left(digits, F.lit(kind.precision - kind.scale))
+        return F.concat(F.lit("0"), whole, F.lit("."), F.right(digits, F.lit(kind.scale)), F.lit("0")).cast(T.DecimalType(38, kind.scale)).cast(kind)
     if isinstance(kind, T.BooleanType):
         return F.pmod(h, F.lit(2)) == 1
     if isinstance(kind, T.StringType):
@@ -82,7 +85,9 @@ def _value(kind: T.DataType, salt: Sequence[Column], options: Mapping[str, Any])
         # Hex digits become letters a to p.
         return F.left(F.translate(F.concat(*blocks), "0123456789abcdef", "abcdefghijklmnop"), F.lit(length))
     if isinstance(kind, T.BinaryType):
-        return F.unhex(F.left(F.sha2(h.cast("string"), 512), F.lit(2 * min(int(options["bytes.length"]), 64))))
+        length = int(options["bytes.length"])
+        blocks = [h.cast("string") if i == 0 else F.concat_ws(":", h.cast("string"), F.lit(i)) for i in range(-(-length // 64))]
+        return F.unhex(F.left(F.concat(*[F.sha2(b, 512) for b in blocks]), F.lit(2 * length)))
     day = F.date_add(F.lit(options["date.start"]).cast("date"), F.pmod(h, F.lit(int(options["date.days"]))).cast("int"))
     if isinstance(kind, T.DateType):
         return day

@@ -66,8 +66,9 @@ def stream_apply_changelog(
     compact_every: int | None = None,
     interval_ms: int | None = None,
 ) -> StreamingQuery:
-    """A changelog stream into a keyed table: the snapshot (if any) is loaded first, then each micro-batch adds its
-    folded changes. The batch id makes a replay harmless."""
+    """A changelog stream into a keyed table: the snapshot (if any) is loaded once, then each micro-batch adds its
+    folded changes. The batch id makes a replay harmless; the table takes no other stream than that of ``checkpoint``."""
+    table.belongs_to(checkpoint.rstrip("/"))
     if snapshot is not None:
         table.load(snapshot)
 
@@ -94,6 +95,9 @@ def stream_route_changelog(
     messages.
     """
 
+    for _, table in routes.values():
+        table.belongs_to(checkpoint.rstrip("/"))
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         marked = batch.withColumn(_ROUTE, table_of).where(F.col(_ROUTE).isin(list(routes))).persist()
         try:

@@ -45,15 +45,26 @@ def test_keyed_table_replay_order_and_compaction(spark):
     # A replay of a finished batch changes nothing, even if it would now say something else.
     table.apply(_log(spark, ("-D", 1, "a1", 1)), 0)
     assert rows(table.read()) == want
-    # A later batch wins over an earlier one, whatever its sequence numbers.
-    table.apply(_log(spark, ("+I", 2, "again", 0), ("+U", 1, "a2", 0)), 1)
+    # A change that arrives late does not replace a newer one, nor bring back what was deleted after it.
+    table.apply(_log(spark, ("+I", 2, "late", 1), ("+U", 1, "late", 0)), 1)
+    assert rows(table.read()) == want
+    arrival = KeyedTable(spark, table.path, keys=["id"], schema=STATE, arrival_order=True)
+    assert rows(arrival.read()) == [(1, "late"), (2, "late"), (3, "c"), (4, "d")]
+    table.apply(_log(spark, ("+I", 2, "again", 7), ("+U", 1, "a2", 8)), 2)
     want = [(1, "a2"), (2, "again"), (3, "c"), (4, "d")]
     assert rows(table.read()) == want
     table.compact()
     table.compact()
-    assert rows(table.read()) == want and table._finished("base") == [-1, 1]
-    table.apply(_log(spark, ("-D", 4, "d", 9)), 2)
+    assert rows(table.read()) == want and table._finished("base") == [-1, 2]
+    table.apply(_log(spark, ("-D", 4, "d", 9), ("+U", 1, "older", 2)), 3)
+    assert rows(table.read()) == want[:3]
+    # A snapshot that is passed again changes nothing; another stream is refused.
+    table.load(spark.createDataFrame([(1, "first")], STATE))
     assert rows(table.read()) == want[:3]
+    table.belongs_to("one")
+    table.belongs_to("one")
+    with pytest.raises(ValueError):
+        table.belongs_to("other")
 
 
 def test_half_written_batch_is_not_seen(spark):
