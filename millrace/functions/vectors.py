@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 from millrace.options import single_choice
-from millrace.session import broadcast_limit, written
+from millrace.session import written
 
 # Fixed value: the largest index a sparse vector may have.
 MAX_SPARSE_INDEX = 1_000_000
@@ -178,74 +178,106 @@ DISTANCES = {"L2": l2_distance, "IP": inner_product, "COSINE": cosine_distance}
 
 
 def _scores(queries: np.ndarray, block: np.ndarray, metric: str) -> np.ndarray:
-    """Smaller is nearer for every metric."""
+    """Smaller is nearer for every metric; a vector without length has no cosine distance (NaN)."""
     dots = queries @ block.T
     if metric == "IP":
         return -dots
     if metric == "COSINE":
         norms = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(block, axis=1)[None, :]
         with np.errstate(invalid="ignore", divide="ignore"):
-            return np.where(norms > 0, 1.0 - dots / norms, np.inf)
+            return np.where(norms > 0, 1.0 - dots / norms, np.nan)
     squares = (queries**2).sum(1)[:, None] + (block**2).sum(1)[None, :] - 2.0 * dots
     return np.sqrt(np.maximum(squares, 0.0))
 
 
-def _slice_topk(queries: DataFrame, corpus: DataFrame, metric: str, k: int) -> DataFrame:
-    """Best ``k`` of each corpus batch per query. Only k rows per query and batch leave a task, never all pairs."""
-    rows = queries.toArrow()  # bounded: the caller checked its size
-    query_ids = rows["query_id"].to_numpy()
-    if not len(query_ids):
-        return corpus.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, distance double")
-    vectors = np.asarray(rows["vector"].to_pylist(), dtype=np.float64)
-    shared = corpus.sparkSession.sparkContext.broadcast((query_ids, vectors))
+# Rows of a packed block: a block of scores is the square of it in doubles, 8 MB.
+BLOCK_ROWS = 1024
 
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            vec_ids = batch.column(0).to_numpy()
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            block = flat.reshape(len(vec_ids), -1)
-            scores = _scores(matrix, block, metric)
-            keep = min(k, len(vec_ids))
-            cut = np.partition(scores, keep - 1, axis=1)[:, keep - 1 : keep]
-            q, c = np.nonzero(scores <= cut)  # ties on the k-th score included
-            order = np.lexsort((vec_ids[c], scores[q, c], q))
-            q, c = q[order], c[order]
-            place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
-            q, c = q[place < keep], c[place < keep]  # the smaller id wins a tie
-            distance = -scores[q, c] if metric == "IP" else scores[q, c]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[q], pa.int64()), pa.array(vec_ids[c], pa.int64()), pa.array(distance, pa.float64())],
-                ["query_id", "vec_id", "distance"],
-            )
 
-    pairs = corpus.select(F.col("vec_id").cast("bigint"), "vector").where("vector is not null")
-    return pairs.mapInArrow(best, "query_id bigint, vec_id bigint, distance double")
+def _packed(df: DataFrame, id_col: str, prefix: str, block_rows: int) -> DataFrame:
+    """Blocks of up to ``block_rows`` vectors: their ids and numbers as bytes, and their common length."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, block_rows):
+                part = batch.slice(start, block_rows)
+                sizes = pc.list_value_length(part.column(1)).to_numpy(zero_copy_only=False)
+                if (sizes != sizes[0]).any():
+                    raise ValueError("vectors of different lengths have no distance")
+                numbers = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([int(sizes[0])], pa.int32()),
+                        pa.array([part.column(0).to_numpy().tobytes()], pa.binary()),
+                        pa.array([numbers.tobytes()], pa.binary()),
+                    ],
+                    [f"{prefix}_length", f"{prefix}_ids", f"{prefix}_numbers"],
+                )
+
+    rows = df.select(F.col(id_col).cast("bigint"), F.col("vector").cast("array<double>")).where("vector is not null")
+    return rows.mapInArrow(pack, f"{prefix}_length int, {prefix}_ids binary, {prefix}_numbers binary")
+
+
+def _nearest(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The best ``k`` scores of each row and their ids; the smaller id wins a tie, NaN is no score."""
+    scores = np.where(np.isnan(scores), np.inf, scores)
+    keep = min(k, scores.shape[1])
+    cut = np.partition(scores, keep - 1, axis=1)[:, keep - 1 : keep]
+    q, c = np.nonzero((scores <= cut) & np.isfinite(scores))  # ties on the k-th score included
+    order = np.lexsort((ids[q, c], scores[q, c], q))
+    q, c = q[order], c[order]
+    place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
+    q, c, place = q[place < keep], c[place < keep], place[place < keep]
+    best, near = np.full((len(scores), k), np.inf), np.zeros((len(scores), k), dtype=np.int64)
+    best[q, place], near[q, place] = scores[q, c], ids[q, c]
+    return best, near
 
 
 def vector_topk(
-    queries: DataFrame, corpus: DataFrame, *, metric: str = "L2", k: int = 10, slice_bytes: int | None = None
+    queries: DataFrame, corpus: DataFrame, *, metric: str = "L2", k: int = 10, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Exact nearest ``k`` corpus vectors per query: ``query_id, vec_id, distance, rank``.
 
-    ``queries(query_id, vector)`` and ``corpus(vec_id, vector)``; ties go to the smaller ``vec_id``. The corpus is
-    never shuffled. The query side goes to the tasks when it fits ``slice_bytes`` (the broadcast threshold by
-    default); a bigger one is cut into hash slices that each fit, one pass over the corpus per slice.
+    ``queries(query_id, vector)`` and ``corpus(vec_id, vector)``, all vectors of one length; ties go to the smaller
+    ``vec_id``. A stated set of queries meets the whole corpus in packed blocks: Spark sends the query blocks to the
+    tasks when they are below its broadcast limit, else it pairs partitions of blocks. A task keeps a running best ``k``
+    of each query it has met and sends no more than that; a block of scores is the most it computes at once. Vectors
+    without length have no cosine distance and are left out.
     """
     single_choice({"metric": metric}, "metric", DISTANCES)
-    spark = corpus.sparkSession
-    limit = slice_bytes or max(broadcast_limit(spark), 1 << 20)
-    # The queries are written once: their real size is then known, and slices do not compute them again.
-    queries = written(queries.select("query_id", "vector"), "topk-queries")
-    numbers = queries.agg(F.sum(F.size("vector") + 1)).first()[0] or 0
-    slices = max(1, -(-numbers * 8 // limit))
-    found = None
-    for i in range(slices):
-        part = queries if slices == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == i)
-        near = _slice_topk(part, corpus, metric, k)
-        found = near if found is None else found.unionByName(near)
+    # Written, so that their size is known and no pair of blocks packs them again.
+    asked = written(_packed(queries, "query_id", "query", block_rows), "topk-queries")
+    blocks = _packed(corpus, "vec_id", "corpus", block_rows)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        running: dict[tuple[bytes, bytes], tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+            for q_length, q_ids, q_numbers, c_length, c_ids, c_numbers in zip(*columns):
+                if q_length != c_length:
+                    raise ValueError("vectors of different lengths have no distance")
+                matrix = np.frombuffer(q_numbers, np.float64).reshape(-1, q_length)
+                scores = _scores(matrix, np.frombuffer(c_numbers, np.float64).reshape(-1, c_length), metric)
+                ids = np.broadcast_to(np.frombuffer(c_ids, np.int64), scores.shape)
+                key = (q_ids, q_numbers)
+                if key in running:
+                    scores = np.concatenate([running[key][0], scores], axis=1)
+                    ids = np.concatenate([running[key][1], ids], axis=1)
+                running[key] = _nearest(scores, ids, k)
+        for (q_ids, _), (scores, near) in running.items():
+            q, c = np.nonzero(np.isfinite(scores))
+            distance = -scores[q, c] if metric == "IP" else scores[q, c]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.frombuffer(q_ids, np.int64)[q], pa.int64()),
+                    pa.array(near[q, c], pa.int64()),
+                    pa.array(distance, pa.float64()),
+                ],
+                ["query_id", "vec_id", "distance"],
+            )
+
+    met = asked.crossJoin(blocks).select(*asked.columns, *blocks.columns)
+    found = met.mapInArrow(best, "query_id bigint, vec_id bigint, distance double")
     order = F.col("distance").desc() if metric == "IP" else F.col("distance").asc()
     # The rank filter lets Spark keep only k rows per query and task before the shuffle (window group limit).
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(order, "vec_id")))

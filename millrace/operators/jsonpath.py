@@ -42,13 +42,24 @@ def render_path(steps: Sequence[str | int]) -> str:
     return out
 
 
+def _selected(text: Column, steps: Sequence[str | int]) -> Column:
+    """What a path with ``[*]`` selects, as a JSON array for none, one or many matches; NULL where what the first
+    ``[*]`` goes over is not there. Spark gives a single match without its brackets, but not where the same path runs
+    over two copies of the document: there each copy has an array of its own."""
+    first = list(steps).index("*")
+    over = F.get_json_object(text, render_path(steps[:first]))
+    twice = F.get_json_object(F.concat(F.lit("["), text, F.lit(","), text, F.lit("]")), "$[*]" + render_path(steps)[1:])
+    one = F.substring(twice, F.lit(2), ((F.char_length(twice) - 3) / 2).cast("int"))
+    return F.when(over.isNotNull(), F.coalesce(one, F.lit("[]")))
+
+
 def _extract(text: Column, steps: Sequence[str | int]) -> tuple[Column, Column]:
     """The value as text, and whether the path exists (looked at only where the value is NULL)."""
+    if "*" in steps:
+        return _selected(text, steps), F.get_json_object(text, "$").isNotNull()
     value = F.get_json_object(text, render_path(steps))
     if not steps:
         return value, value.isNotNull()
-    if "*" in steps:
-        return value, F.get_json_object(text, "$").isNotNull()
     parent, leaf = F.get_json_object(text, render_path(steps[:-1])), steps[-1]
     if isinstance(leaf, int):
         there = F.json_array_length(parent) > leaf

@@ -96,18 +96,19 @@ def decode_debezium(
     from its ``payload`` wrapper."""
     fields = _schema(schema)
     source = T.StructType().add("db", "string").add("schema", "string").add("table", "string").add("ts_ms", "long")
-    kind = T.StructType().add("before", fields).add("after", fields).add("source", source).add("op", "string").add("ts_ms", "long")
+    texts = _texts_of(fields)
+    kind = T.StructType().add("before", texts).add("after", texts).add("source", source).add("op", "string").add("ts_ms", "long")
     parsed, m = _parsed(df, value, kind, include_schema)
-    op, before, after = m["op"], m["before"], m["after"]
+    op, before, after = m["op"], _now(m["before"], fields, ignore_errors), _now(m["after"], fields, ignore_errors)
     images = (
         F.when(op.isin("c", "r"), F.array(_image(INSERT, after)))
         .when(op == "u", F.array(_image(UPDATE_BEFORE, before), _image(UPDATE_AFTER, after)))
         .otherwise(F.array(_image(DELETE, before)))
     )
     understood = (
-        (op.isin("c", "r") & after.isNotNull())
-        | ((op == "u") & before.isNotNull() & after.isNotNull())
-        | ((op == "d") & before.isNotNull())
+        (op.isin("c", "r") & m["after"].isNotNull())
+        | ((op == "u") & m["before"].isNotNull() & m["after"].isNotNull())
+        | ((op == "d") & m["before"].isNotNull())
     )
     event_ms = F.coalesce(m["source"]["ts_ms"], m["ts_ms"])
     table = _full_table(m["source"]["db"], m["source"]["table"])
@@ -115,8 +116,9 @@ def decode_debezium(
 
 
 def _texts_of(fields: T.StructType) -> T.StructType:
-    """The same fields, all as text."""
-    return T.StructType([T.StructField(field.name, T.StringType()) for field in fields.fields])
+    """The same fields, all as text; bytes stay bytes, which JSON holds as Base64."""
+    kinds = [f.dataType if isinstance(f.dataType, T.BinaryType) else T.StringType() for f in fields.fields]
+    return T.StructType([T.StructField(field.name, kind) for field, kind in zip(fields.fields, kinds)])
 
 
 def _read_text(text: Column, kind: T.DataType, ignore_errors: bool) -> Column:
@@ -259,8 +261,8 @@ def decode_ogg(
     fields = _schema(schema)
     kind = (
         T.StructType()
-        .add("before", fields)
-        .add("after", fields)
+        .add("before", _texts_of(fields))
+        .add("after", _texts_of(fields))
         .add("op_type", "string")
         .add("op_ts", "string")
         .add("table", "string")
@@ -271,16 +273,17 @@ def decode_ogg(
         if pattern:
             part = F.substring_index(m["table"], ".", place)
             wanted = wanted & F.coalesce(part.rlike(f"^(?:{pattern})$"), F.lit(True))
-    op, before, after = m["op_type"], m["before"], m["after"]
+    op = m["op_type"]
+    before, after = _now(m["before"], fields, ignore_errors), _now(m["after"], fields, ignore_errors)
     images = (
         F.when(op == "I", F.array(_image(INSERT, after)))
         .when(op == "U", F.array(_image(UPDATE_BEFORE, before), _image(UPDATE_AFTER, after)))
         .otherwise(F.array(_image(DELETE, before)))
     )
     understood = (
-        ((op == "I") & after.isNotNull())
-        | ((op == "U") & before.isNotNull() & after.isNotNull())
-        | ((op == "D") & before.isNotNull())
+        ((op == "I") & m["after"].isNotNull())
+        | ((op == "U") & m["before"].isNotNull() & m["after"].isNotNull())
+        | ((op == "D") & m["before"].isNotNull())
     )
     event_ms = epoch_millis(m["op_ts"].try_cast("timestamp_ntz"), zoneless=True)
     return _without_message(
@@ -294,15 +297,17 @@ def decode_connect_json(
     """Connect envelopes (``{"schema": ..., "payload": ...}``): a Debezium payload by its ``op``, any other payload
     is the row itself, an insert."""
     fields = _schema(schema)
-    event = T.StructType().add("before", fields).add("after", fields).add("op", "string").add("ts_ms", "long")
+    texts = _texts_of(fields)
+    event = T.StructType().add("before", texts).add("after", texts).add("op", "string").add("ts_ms", "long")
     both = T.StructType().add("payload", "string")
     parsed, m = _parsed(df, value, both)
-    change, row = F.from_json(m["payload"], event), F.from_json(m["payload"], fields)
-    op = change["op"]
+    change, plain = F.from_json(m["payload"], event), F.from_json(m["payload"], texts)
+    op, row = change["op"], _now(plain, fields, ignore_errors)
+    before, after = _now(change["before"], fields, ignore_errors), _now(change["after"], fields, ignore_errors)
     images = (
-        F.when(op.isin("c", "r"), F.array(_image(INSERT, change["after"])))
-        .when(op == "u", F.array(_image(UPDATE_BEFORE, change["before"]), _image(UPDATE_AFTER, change["after"])))
-        .when(op == "d", F.array(_image(DELETE, change["before"])))
+        F.when(op.isin("c", "r"), F.array(_image(INSERT, after)))
+        .when(op == "u", F.array(_image(UPDATE_BEFORE, before), _image(UPDATE_AFTER, after)))
+        .when(op == "d", F.array(_image(DELETE, before)))
         .otherwise(F.array(_image(INSERT, row)))
     )
     is_event = F.array_contains(F.json_object_keys(m["payload"]), "op")

@@ -6,6 +6,7 @@ import re
 import threading
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.envelope import envelope_columns, quoted
@@ -21,6 +22,26 @@ def register_functions(spark, functions: Mapping[str, Callable]) -> None:
         spark.udf.register(name, fn)
 
 
+class QueryError(ValueError):
+    """A query that cannot be parsed or analysed over its input; it names the query and Spark's error class."""
+
+
+def _analysed(spark, query: str, args: Mapping[str, object] | None) -> DataFrame:
+    try:
+        return spark.sql(query, args=dict(args) if args else None)
+    except (AnalysisException, ParseException) as error:
+        raise QueryError(f"{error.getCondition() or 'query error'} in {query!r}: {error}") from error
+
+
+def _single_select(result: DataFrame) -> None:
+    """Raise unless a query is one SELECT whose rows are input rows: elsewhere a row has no envelope of its own."""
+    plan = result._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Sort", "GlobalLimit", "LocalLimit", "Filter"):
+        plan = plan.children().head()
+    if plan.nodeName() != "Project":
+        raise QueryError(f"carry_envelope needs a plain SELECT; this query is {plan.nodeName()}")
+
+
 def sql(
     df: DataFrame,
     query: str,
@@ -32,27 +53,35 @@ def sql(
 ) -> DataFrame:
     """Run ``query`` with the input visible under ``table_name`` (and always as ``dual``).
 
-    The whole of Spark SQL is open to the query. With ``carry_envelope`` the reserved columns pass through a single
-    SELECT even when the select list does not name them.
+    The whole of Spark SQL is open to the query; one that does not parse or resolve raises ``QueryError``. A temporary
+    view of the caller with one of these names is back afterwards. With ``carry_envelope`` the reserved columns pass
+    through a single SELECT even when the select list does not name them; DISTINCT, set operations, grouping and common
+    table expressions are refused there.
     """
     spark = df.sparkSession
     register_functions(spark, functions or {})
     names = {table_name, "dual"}
     with _VIEWS:
+        catalog = spark._jsparkSession.sessionState().catalog()
+        theirs = {name: spark.table(quoted(name)) for name in names if catalog.getRawTempView(name).isDefined()}
         for name in names:
             df.createOrReplaceTempView(name)
         try:
             # spark.sql analyses the query before it returns, so the views are not needed afterwards.
-            result = spark.sql(query, args=dict(args) if args else None)
+            result = _analysed(spark, query, args)
             if carry_envelope:
                 missing = [name for name in envelope_columns(df) if name not in result.columns]
                 if missing:
+                    _single_select(result)
                     carried = _SELECT.sub(f"SELECT {', '.join(missing)}, ", query, count=1)
-                    wide = spark.sql(carried, args=dict(args) if args else None)
+                    wide = _analysed(spark, carried, args)
                     result = wide.select(*[F.col(quoted(name)) for name in result.columns + missing])
         finally:
             for name in names:
-                spark.catalog.dropTempView(name)
+                if name in theirs:
+                    theirs[name].createOrReplaceTempView(name)
+                else:
+                    spark.catalog.dropTempView(name)
     return result
 
 

@@ -24,7 +24,7 @@ DDL_NAMES = {
     "binary_vector": "binary",
     "sparse_float_vector": "map<int,float>",
 }
-_WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
+_WORD = re.compile(r"`[^`]*`|[A-Za-z_][A-Za-z0-9_]*")  # a quoted word is a field name, not a type
 _ROW_FIELD = re.compile(r'"?([A-Za-z_][A-Za-z0-9_.]*)"?\s*[:=]\s*')
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.envelope import payload_columns, quoted, require_columns
 from millrace.options import single_choice
@@ -14,23 +14,46 @@ from millrace.sources.files import DATE_FORMAT, DATETIME_FORMAT, TEXT_DELIMITER
 PARTITION_COPY = "__dir_{}"
 
 
-def _writer_options(fmt: str, field_delimiter: str | None, row_delimiter: str, header: bool, null_format: str | None) -> dict:
+def _writer_options(
+    fmt: str,
+    field_delimiter: str | None,
+    row_delimiter: str,
+    header: bool,
+    null_format: str | None,
+    date_format: str,
+    datetime_format: str,
+) -> dict:
     options = {}
     if fmt in ("csv", "text"):
         options["sep"] = field_delimiter or ("," if fmt == "csv" else TEXT_DELIMITER)
         options["lineSep"] = row_delimiter
         options["header"] = str(header).lower()
+        options.update(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
         if null_format is not None:
             options["nullValue"] = null_format
         if fmt == "text":
-            options.update(quote="", escape="")
+            options.update(quote="", escape="", emptyValue="")
         else:
             options["escape"] = "\\"
     if fmt in ("csv", "text", "json", "xml"):
-        options.update(dateFormat=DATE_FORMAT, timestampNTZFormat=DATETIME_FORMAT, timestampFormat=DATETIME_FORMAT)
+        options.update(dateFormat=date_format, timestampNTZFormat=datetime_format, timestampFormat=datetime_format)
     return options
 
 
+def _plain_texts(rows: DataFrame, directories: Sequence[str], *marks: str) -> DataFrame:
+    """Text files have no quotes: a value with a delimiter in it raises."""
+    checked = {}
+    for field in rows.schema.fields:
+        if isinstance(field.dataType, T.StringType) and field.name not in directories:
+            value = F.col(quoted(field.name))
+            bad = F.lit(False)
+            for mark in marks:
+                bad = bad | value.contains(mark)
+            message = F.lit(f"write_files: a value of {field.name} holds a delimiter, which text files cannot")
+            checked[field.name] = F.when(bad, F.raise_error(message)).otherwise(value)
+    return rows.withColumns(checked)
+
+
 def sink_rows(
     df: DataFrame,
     *,
@@ -61,6 +84,8 @@ def write_files(
     null_format: str | None = None,
     row_tag: str = "row",
     root_tag: str = "rows",
+    date_format: str = DATE_FORMAT,
+    datetime_format: str = DATETIME_FORMAT,
     partition_by: Sequence[str] = (),
     is_partition_field_write_in_file: bool = False,
     rebalance: bool = False,
@@ -68,6 +93,10 @@ def write_files(
 ) -> None:
     """Write chosen columns in order. Spark's commit protocol publishes a finished job or nothing.
 
+    ``date_format`` and ``datetime_format`` are those of ``scan_file``; the default writes whole seconds, a pattern with
+    ``SSSSSS`` keeps fractions. CSV quotes values with line breaks (``multi_line`` reads them); text files cannot hold a
+    delimiter or line break inside a value, so such a row is an error.
+
     A partition column leaves the file unless ``is_partition_field_write_in_file``; then the directory is named by a
     copy. An empty input still writes one file with the schema (delimited files need ``header`` for that). ``rebalance`` shuffles rows towards
     their folder first, so that many tasks do not each write a small file into every folder; adaptive execution cuts a
@@ -82,7 +111,11 @@ def write_files(
     )
     if rebalance:
         rows = rows.hint("rebalance", *directories)
-    writer = rows.write.mode(mode).options(**_writer_options(fmt, field_delimiter, row_delimiter, header, null_format))
+    if fmt == "text":
+        rows = _plain_texts(rows, directories, field_delimiter or TEXT_DELIMITER, row_delimiter)
+    writer = rows.write.mode(mode).options(
+        **_writer_options(fmt, field_delimiter, row_delimiter, header, null_format, date_format, datetime_format)
+    )
     if fmt == "xml":
         writer = writer.options(rowTag=row_tag, rootTag=root_tag)
     if directories:

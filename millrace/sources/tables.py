@@ -5,9 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.envelope import TablePath, TableSet
+from millrace.envelope import TablePath, TableSet, quoted
 from millrace.sources.files import partition_predicate, scan_file
 
 
@@ -22,7 +22,7 @@ def scan_table(
     df = spark.table(name)
     if read_partitions:
         df = df.where(partition_predicate(df, read_partitions))
-    return df.select(*read_columns) if read_columns else df
+    return df.select(*[F.col(quoted(name)) for name in read_columns]) if read_columns else df
 
 
 def scan_tables(spark: SparkSession, pattern: str) -> TableSet:

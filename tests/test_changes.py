@@ -2,7 +2,7 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from millrace.envelope import EVENT_MS, KIND, SEQ, TABLE, TableSet
 from millrace.operators import changelog as c, evolve as e, messages as m
@@ -255,3 +255,27 @@ def test_evolution_rules(spark):
         e.evolve_tables(TableSet.of({"a": df}), [e.RenameTable("b", "c")])
     # Events become one projection.
     assert plan_of(done).count("Project") <= 1
+
+
+@pytest.mark.parametrize(
+    "decode, message",
+    [
+        (m.decode_debezium, '{"op":"c","after":{"k":"abc","v":1}}'),
+        (m.decode_ogg, '{"op_type":"I","table":"A.B","after":{"k":"abc","v":1}}'),
+        (m.decode_connect_json, '{"payload":{"k":"abc","v":1}}'),
+    ],
+)
+def test_a_value_of_the_wrong_type_is_an_error(spark, decode, message):
+    """It raises, or is NULL when errors are ignored; a number written as text is a number."""
+    df = spark.createDataFrame([(message,), (message.replace("abc", "7"),)], "value string")
+    schema = T.StructType().add("k", "long").add("v", "long")
+    with pytest.raises(Exception, match="abc"):
+        decode(df, schema=schema).collect()
+    assert [(r.k, r.v) for r in decode(df, schema=schema, ignore_errors=True).collect()] == [(None, 1), (7, 1)]
+
+
+def test_changes_without_a_kind_are_refused(spark):
+    df = spark.createDataFrame([(1, None, 1)], f"id int, {KIND} string, {SEQ} long")
+    for fold in (lambda: c.fold_changelog(df, keys=["id"]), lambda: c.fold_retractions(df)):
+        with pytest.raises(Exception, match="no __kind"):
+            fold().collect()

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.envelope import KIND, TableMeta, TablePath, TableSet
 from millrace.operators import fields, jsonpath, models, rowkind, tables
-from millrace.operators.sql import sql, sql_steps
+from millrace.operators.sql import QueryError, sql, sql_steps
 from tests.conftest import plan_of, rows
 
 
@@ -135,8 +135,8 @@ def test_json_path_values(documents):
             _column("$['a']", "obj", "string"),
         ],
     ).drop("id", "j")
-    # One match of a wildcard comes without brackets, as JSON text.
-    assert tuple(done.first()) == (1, [1, 2], None, 2, [{"k": "v"}], '"v"', '{"b":1}')
+    # What a wildcard selects is an array, for one match too.
+    assert tuple(done.first()) == (1, [1, 2], None, 2, [{"k": "v"}], '["v"]', '{"b":1}')
 
 
 def test_json_path_error_ways(documents):
@@ -290,3 +290,28 @@ def test_models(people):
 
     made = models.custom_rows(people, double, out_columns={"age": "bigint", "tag": "string"})
     assert made.columns == ["id", "name", "age", "tag"] and rows(made)[0] == (1, "Joy Ding", 40, "t")
+
+
+def test_sql_leaves_views_of_the_caller(spark):
+    spark.range(3).createOrReplaceTempView("mine")
+    df = spark.range(5)
+    assert sql(df, "select count(*) as n from mine", table_name="mine").first().n == 5
+    assert spark.table("mine").count() == 3
+    spark.catalog.dropTempView("mine")
+    assert not spark.catalog.tableExists("dual")
+
+
+@pytest.mark.parametrize(
+    "query", ["select distinct id from dual", "with x as (select id from dual) select id from x", "select id from dual union all select id from dual", "select id, count(*) from dual group by id"]
+)
+def test_envelope_needs_a_plain_select(spark, query):
+    df = spark.range(3).withColumn("__kind", F.lit("+I"))
+    with pytest.raises(QueryError):
+        sql(df, query, carry_envelope=True)
+    assert sql(df, "select id + 1 as i from dual where id > 0 order by id", carry_envelope=True).columns == ["i", "__kind"]
+
+
+def test_query_errors_are_named(spark):
+    for query in ("selec 1", "select nothing from dual", "select id from dual where id ="):
+        with pytest.raises(QueryError, match="in '"):
+            sql(spark.range(1), query)

@@ -146,15 +146,15 @@ def test_distances(spark):
 
 
 @pytest.mark.parametrize("metric", ["L2", "IP", "COSINE"])
-@pytest.mark.parametrize("slice_bytes", [None, 100])
-def test_topk_against_brute_force(spark, metric, slice_bytes):
+@pytest.mark.parametrize("block_rows", [vectors.BLOCK_ROWS, 3])
+def test_topk_against_brute_force(spark, metric, block_rows):
     rng = np.random.default_rng(0)
     corpus = rng.integers(-5, 6, (200, 3)).astype(float) + 0.5  # small integers make many ties
     corpus[:70] = corpus[0]  # a third of all rows is one vector
     wanted = rng.integers(-5, 6, (9, 3)).astype(float) + 0.5
     c = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(corpus)], "vec_id bigint, vector array<double>").repartition(5)
     q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(wanted)], "query_id bigint, vector array<double>")
-    got = vectors.vector_topk(q, c, metric=metric, k=4, slice_bytes=slice_bytes)
+    got = vectors.vector_topk(q, c, metric=metric, k=4, block_rows=block_rows)
     for i, query in enumerate(wanted):
         if metric == "L2":
             scores = np.sqrt(((corpus - query) ** 2).sum(1))
@@ -180,3 +180,15 @@ def test_bit_vectors_of_any_length(spark):
     assert [r["h"] for r in both.orderBy("i").collect()] == [9, 3, 0, None, 40]
     with pytest.raises(Exception, match="different lengths"):
         spark.sql("select X'00' as a, X'0000' as b").select(vectors.hamming_distance(F.col("a"), F.col("b"))).collect()
+
+
+def test_topk_refuses_ragged_vectors(spark):
+    schema = "id bigint, vector array<double>"
+    one = spark.createDataFrame([(1, [1.0, 2.0])], schema)
+    for other in ([(1, [1.0]), (2, [1.0, 2.0, 3.0])], [(1, [1.0, 2.0, 3.0])]):
+        corpus = spark.createDataFrame(other, schema)
+        with pytest.raises(Exception, match="different lengths"):
+            vectors.vector_topk(one.toDF("query_id", "vector"), corpus.toDF("vec_id", "vector")).collect()
+    nothing = spark.createDataFrame([(5, [0.0, 0.0]), (6, [1.0, 0.0])], schema).toDF("vec_id", "vector")
+    got = vectors.vector_topk(one.toDF("query_id", "vector"), nothing, metric="COSINE").collect()
+    assert [r.vec_id for r in got] == [6]

@@ -513,3 +513,42 @@ def test_column_comments_and_quotes(spark):
     found = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE commented").collect()}
     assert found["id"] == "the 'key'"
     spark.sql("DROP TABLE commented")
+
+
+def test_delimited_round_trips_keep_every_character(spark, tmp_path):
+    data = [(1, " blanks "), (2, "two\nlines"), (3, ""), (4, None), (5, 'a "quoted", value'), (6, "back\\slash"), (7, "tab\t")]
+    df = spark.createDataFrame(data, "id int, t string")
+    path = str(tmp_path / "csv")
+    fs.write_files(df, path, fmt="csv")
+    assert rows(files.scan_file(spark, path, fmt="csv", schema={"id": "int", "t": "string"}, multi_line=True)) == rows(df)
+    plain = df.where("id NOT IN (2, 3)")
+    fs.write_files(plain, str(tmp_path / "text"), fmt="text", null_format="\\N")
+    back = files.scan_file(spark, str(tmp_path / "text"), fmt="text", schema={"id": "int", "t": "string"}, null_format="\\N")
+    assert rows(back) == rows(plain)
+    fs.write_files(df.where("id = 3"), str(tmp_path / "empty"), fmt="text", null_format="\\N")
+    back = files.scan_file(spark, str(tmp_path / "empty"), fmt="text", schema={"id": "int", "t": "string"}, null_format="\\N")
+    assert rows(back) == [(3, None)]  # without quotes an empty value is a missing one
+    with pytest.raises(Exception, match="text files cannot"):
+        fs.write_files(df.where("id = 2"), str(tmp_path / "broken"), fmt="text")
+
+
+def test_partition_text_and_fractions(spark, tmp_path):
+    df = spark.sql("select 1 as id, timestamp_ntz'2024-01-02 03:04:05.123456' as at, '01' as part")
+    path, pattern = str(tmp_path / "json"), "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    fs.write_files(df, path, fmt="json", partition_by=["part"], datetime_format=pattern)
+    schema = {"id": "int", "at": "timestamp"}
+    back = files.scan_file(spark, path, fmt="json", schema=schema, datetime_format=pattern, partition_types={"part": "string"})
+    assert rows(back) == rows(df)
+    fs.write_files(df, str(tmp_path / "pq"), partition_by=["part"])
+    assert files.scan_file(spark, str(tmp_path / "pq"), partition_types={"part": "string"}).first().part == "01"
+
+
+def test_field_names_like_types(spark):
+    kind = spark_type("{time = int, name = string}")
+    assert [f.name for f in kind.fields] == ["time", "name"]
+
+
+def test_wide_generated_values(spark):
+    df = generate.generate_columns(spark.range(200), id_col="id", schema={"b": "bytes", "d": "decimal(30,2)"}, bytes__length=100)
+    got = df.selectExpr("min(octet_length(b)) as short", "max(octet_length(b)) as long", "max(d) as d").first()
+    assert got.short == got.long == 100 and got.d > 10**26
