@@ -57,14 +57,14 @@ class EvolvingTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self.spark, self.path, self.first_schema = spark, path.rstrip("/"), schema
 
-    def _events(self, before_batch: int | None = None) -> list[ColumnEvent]:
-        """Events in order (a handful of DDL statements over a table's life)."""
+    def _events(self, before_batch: int | None = None) -> list[tuple[int, ColumnEvent]]:
+        """Events and their places, in order (a handful of DDL statements over a table's life)."""
         if not list_paths(self.spark, f"{self.path}/events/batch=*/_SUCCESS"):
             return []
         stored = self.spark.read.schema(f"{SEQ} bigint, value string, batch bigint").json(f"{self.path}/events")
         if before_batch is not None:
             stored = stored.where(F.col("batch") < before_batch)
-        return [parse_event(row["value"]) for row in stored.orderBy("batch", SEQ).collect()]
+        return [(row[SEQ], parse_event(row["value"])) for row in stored.orderBy(SEQ).collect()]
 
     def _schemas(self, events: Sequence[ColumnEvent]) -> list[T.StructType]:
         schemas = [self.first_schema]
@@ -73,38 +73,47 @@ class EvolvingTable:
         return schemas
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Write one micro-batch of messages ``(value, __seq)``; safe to repeat."""
+        """Write one micro-batch of messages ``(value, __seq)``; safe to repeat.
+
+        A row belongs to the version in force at its place in the stream: that of the last event with a smaller
+        ``__seq``, also when it arrives in a later batch than that event. A message that is no row of its version raises.
+        """
         known = self._events(before_batch=batch_id)
         marked = batch.select("value", SEQ, is_event(F.col("value")).alias("is_event"))
         arrived = marked.where("is_event").orderBy(SEQ).select(SEQ, "value")
-        rows = arrived.collect()
-        if rows:
+        new = arrived.collect()
+        if new:
             arrived.coalesce(1).write.mode("overwrite").options(**MARK_FINISHED).json(f"{self.path}/events/batch={batch_id}")
-        cuts = [row[SEQ] for row in rows]
-        schemas = self._schemas([*known, *[parse_event(row["value"]) for row in rows]])
-        if not cuts:
-            self._write(marked.where(~F.col("is_event")), schemas[-1], len(known), batch_id)
-            return
-        # The micro-batch is read once, however many events cut it.
+        events = sorted([*known, *[(row[SEQ], parse_event(row["value"])) for row in new]], key=lambda e: e[0])
+        if new and known and new[0][SEQ] < known[-1][0]:
+            raise ValueError(f"a schema change at {new[0][SEQ]} arrived after the one at {known[-1][0]}")
+        schemas = self._schemas([event for _, event in events])
+        # An event takes effect behind the row that has its own number.
+        cuts = [seq for seq, _ in events]
+        # The micro-batch is read once, however many versions its rows have.
         data = marked.where(~F.col("is_event")).persist()
         try:
-            for i in range(len(cuts) + 1):
+            for version, schema in enumerate(schemas):
                 part = data
-                if i > 0:
-                    part = part.where(F.col(SEQ) > cuts[i - 1])
-                if i < len(cuts):
-                    part = part.where(F.col(SEQ) < cuts[i])
-                self._write(part, schemas[len(known) + i], len(known) + i, batch_id)
+                if version > 0:
+                    part = part.where(F.col(SEQ) > cuts[version - 1])
+                if version < len(cuts):
+                    part = part.where(F.col(SEQ) <= cuts[version])
+                if version >= len(known) or not part.isEmpty():
+                    self._write(part, schema, version, batch_id)
         finally:
             data.unpersist()
 
     def _write(self, rows: DataFrame, schema: T.StructType, version: int, batch_id: int) -> None:
-        parsed = rows.select(F.from_json("value", schema).alias("row"), SEQ).select("row.*", SEQ)
+        row = F.from_json("value", schema, {"mode": "FAILFAST"})
+        broken = F.raise_error(F.concat(F.lit("not a row: "), F.coalesce(F.col("value"), F.lit("NULL"))))
+        checked = F.when(F.json_object_keys("value").isNull(), broken).otherwise(F.col("value"))
+        parsed = rows.withColumn("value", checked).select(row.alias("row"), SEQ).select("row.*", SEQ)
         parsed.write.mode("overwrite").options(**MARK_FINISHED).parquet(f"{self.path}/rows/version={version}/batch={batch_id}")
 
     def read(self) -> DataFrame:
         """All rows under the newest schema."""
-        events = self._events()
+        events = [event for _, event in self._events()]
         parts = []
         for version, schema in enumerate(self._schemas(events)):
             folders = list_paths(self.spark, f"{self.path}/rows/version={version}/batch=*/_SUCCESS")

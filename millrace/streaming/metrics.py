@@ -5,8 +5,9 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from millrace.envelope import TablePath, TableSet, quoted
 
@@ -74,12 +75,46 @@ def job_counts(
     return spark.createDataFrame(counted, COUNTS_SCHEMA)
 
 
-def stream_counts(query: StreamingQuery) -> dict[str, float]:
-    """Totals and rates of a streaming query from its own progress reports."""
-    reports = query.recentProgress
-    return {
-        "batches": len(reports),
-        "source_received": sum(r["numInputRows"] for r in reports),
-        "source_received_qps": max((r.get("inputRowsPerSecond") or 0.0 for r in reports), default=0.0),
-        "sink_write_qps": max((r.get("processedRowsPerSecond") or 0.0 for r in reports), default=0.0),
-    }
+class StreamTotals(StreamingQueryListener):
+    """Adds up every progress report of every query of a session, however long it runs. Spark itself keeps the last
+    hundred."""
+
+    def __init__(self) -> None:
+        self.totals: dict[str, dict[str, float]] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        self.totals[str(event.runId)] = dict.fromkeys(("batches", "source_received", "source_received_qps", "sink_write_qps"), 0)
+
+    def onQueryProgress(self, event) -> None:
+        own, report = self.totals[str(event.progress.runId)], event.progress
+        own["batches"] += 1
+        own["source_received"] += report.numInputRows
+        own["source_received_qps"] = max(own["source_received_qps"], report.inputRowsPerSecond or 0.0)
+        own["sink_write_qps"] = max(own["sink_write_qps"], report.processedRowsPerSecond or 0.0)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+
+def count_streams(spark: SparkSession) -> StreamTotals:
+    """Start counting; queries started from now on are counted in full."""
+    totals = StreamTotals()
+    spark.streams.addListener(totals)
+    return totals
+
+
+def stream_counts(query: StreamingQuery, totals: StreamTotals, timeout_s: float = 30.0) -> dict[str, float]:
+    """Totals and rates of a streaming query since its start. For a query that has ended, all its reports are awaited."""
+    run = str(query.runId)
+    if run not in totals.totals:
+        raise ValueError("the query was started before count_streams")
+    deadline = time.monotonic() + timeout_s
+    while not query.isActive and run not in totals.ended:
+        if time.monotonic() > deadline:
+            raise TimeoutError("the last reports of the query have not come")
+        time.sleep(0.05)
+    return dict(totals.totals[run])

@@ -6,7 +6,7 @@ from millrace.operators import evolve as e
 from millrace.session import scratch_dir
 from millrace.sinks.keyed import KeyedTable
 from millrace.streaming.evolution import EvolvingTable, event_message, parse_event
-from millrace.streaming.metrics import stream_counts
+from millrace.streaming.metrics import count_streams, stream_counts
 from millrace.streaming.scan import rate_limit_options, scan_stream, topic_options
 from millrace.streaming.sinks import run_to_end, stream_apply_changelog, stream_to_files
 from tests.conftest import rows
@@ -26,8 +26,10 @@ def test_restart_adds_nothing(spark):
     def run():
         return run_to_end(stream_to_files(scan_stream(spark, source, schema=spark.range(1).schema), out, checkpoint))
 
+    totals = count_streams(spark)
     first = run()
-    assert stream_counts(first)["source_received"] == 10
+    assert stream_counts(first, totals)["source_received"] == 10
+    spark.streams.removeListener(totals)
     run()
     assert spark.read.parquet(out).count() == 10
     spark.range(10, 15).write.mode("append").parquet(source)
@@ -114,6 +116,34 @@ def test_schema_change_inside_a_batch(spark):
     assert rows(table.read().select("id", "name")) == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
 
 
+def test_rows_find_their_schema_version(spark):
+    """A row with an event's own number comes before it, a late row is read as of its place, a broken one raises."""
+    table = EvolvingTable(spark, scratch_dir(spark, "evolving"), T.StructType().add("id", "integer").add("v", "string"))
+
+    def batch(*messages):
+        return spark.createDataFrame(list(messages), f"value string, `{SEQ}` bigint")
+
+    table.apply(batch(('{"id":1,"v":"a"}', 5), (event_message(e.RenameColumn("v", "name")), 5), ('{"id":2,"name":"b"}', 6)), 0)
+    table.apply(batch(('{"id":3,"v":"late"}', 2), ('{"id":4,"name":"d"}', 9)), 1)
+    assert rows(table.read().select("id", "name")) == [(1, "a"), (2, "b"), (3, "late"), (4, "d")]
+    for broken in ('{"id":"x","name":"y"}', "not json", "[1]"):
+        with pytest.raises(Exception):
+            table.apply(batch((broken, 10)), 2)
+    assert table.read().count() == 4
+
+
+def test_totals_of_a_long_stream(spark):
+    """Spark keeps a hundred progress reports; the totals cover all of them."""
+    source = scratch_dir(spark, "in")
+    spark.range(0, 104, 1, 104).write.parquet(source)
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(source)
+    totals = count_streams(spark)
+    query = run_to_end(stream.writeStream.format("noop").option("checkpointLocation", scratch_dir(spark, "cp")).trigger(availableNow=True).start())
+    counts = stream_counts(query, totals)
+    spark.streams.removeListener(totals)
+    assert counts["source_received"] == 104 and counts["batches"] >= 104
+
+
 def test_stream_bounds(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     with pytest.raises(ValueError):
