@@ -66,6 +66,15 @@ def decode_debezium(spark, sf):
     return _shown(messages.decode_debezium(debezium_messages(spark, sf), schema=CUSTOMER))
 
 
+@query("decode_debezium_bad_types", DECODED_SQL)
+def decode_debezium_bad_types(spark, sf):
+    """Every message is followed by a copy with a key that is no number: with errors ignored its key is NULL."""
+    good = debezium_messages(spark, sf).select(F.col("value").cast("string").alias("value"))
+    bad = good.select(F.expr("regexp_replace(value, '\"c_custkey\":(\\\\d+)', '\"c_custkey\":\"no $1\"')").alias("value"))
+    decoded = messages.decode_debezium(good.unionByName(bad), schema=CUSTOMER, ignore_errors=True)
+    return _shown(decoded.where("c_custkey IS NOT NULL"))
+
+
 @query("decode_debezium_with_schema", DECODED_SQL)
 def decode_debezium_with_schema(spark, sf):
     """The same messages inside the schema/payload wrapper, with cut-off messages mixed in that are skipped."""
@@ -315,6 +324,23 @@ def stream_apply_changelog_query(spark, sf):
     return keyed.read()
 
 
+@query("stream_late_changes", APPLIED_SQL)
+def stream_late_changes(spark, sf):
+    """The newest changes arrive first and the oldest last, each restart passes the snapshot again, a finished batch is
+    handed in twice and the table is compacted in between: the order is that of the sequence numbers all the same."""
+    source, checkpoint = scratch_dir(spark, "changes"), scratch_dir(spark, "checkpoint")
+    changes = lineitem_changes(spark, sf)
+    target = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    keyed = KeyedTable(spark, scratch_dir(spark, "keyed"), keys=["o_orderkey"], schema=target.schema)
+    line = F.floor(F.col(SEQ) / 100_000_000_000_000)
+    for part in (line >= 5, line.between(3, 4), line <= 2):
+        changes.where(part).write.mode("append").parquet(source)
+        stream = scan_stream(spark, source, schema=changes.schema)
+        run_to_end(stream_apply_changelog(stream, keyed, checkpoint, snapshot=target, compact_every=2))
+    keyed.apply(changes, 1)
+    return keyed.read()
+
+
 @query(
     "evolve_schema",
     """SELECT c_custkey AS id, CAST(c_nationkey AS BIGINT) AS c_nationkey, 'yy' AS add_column1, 1.5::DOUBLE AS add_column3,

@@ -216,6 +216,31 @@ def json_path(spark, sf):
     ).withColumn("absent", F.col("absent").isNull())
 
 
+# A list of none, one or two objects for each order.
+_LISTS = """concat('{"l":[', CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN concat('{"k":', o_custkey, '}')
+            ELSE concat('{"k":', o_custkey, '},{"k":', o_orderkey, '}') END, ']}')"""
+
+
+@query(
+    "json_path_wildcard",
+    """SELECT o_orderkey, ks, ks AS ks_text_list, len(ks) = 0 AS none FROM (
+         SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN []::BIGINT[] WHEN 1 THEN [o_custkey::BIGINT]
+                ELSE [o_custkey::BIGINT, o_orderkey::BIGINT] END AS ks FROM orders)""",
+)
+def json_path_wildcard(spark, sf):
+    """None, one and many matches of a wildcard, under both ways to handle errors."""
+    df = table(spark, sf, "orders").select("o_orderkey", F.expr(_LISTS).alias("doc"))
+    column = {"src_field": "doc", "path": "$.l[*].k", "dest_type": "array<bigint>"}
+    read = jsonpath.json_path(
+        df,
+        columns=[
+            {**column, "dest_field": "ks", "column_error_handle_way": "FAIL"},
+            {**column, "dest_field": "ks_text_list", "column_error_handle_way": "SKIP"},
+        ],
+    )
+    return read.drop("doc").withColumn("none", F.size("ks") == 0)
+
+
 @query(
     "json_path_skip_row",
     """SELECT event_id, CAST(json_extract_string(props, '$.k') AS TINYINT) AS k

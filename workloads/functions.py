@@ -75,7 +75,46 @@ def fn_week(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", scalar.week(F.col("o_orderdate")).alias("week"))
 
 
-@query("fn_murmur64")
+def _murmur_sql() -> str:
+    """The published algorithm over 128-bit integers: blocks of 16 bytes as 32 hexadecimal digits, folded in order."""
+    m = "18446744073709551616::UHUGEINT"
+    mul = lambda a, c: f"((({a})::UHUGEINT * {c}::UHUGEINT) % {m})::UBIGINT"
+    add = lambda a, b: f"((({a})::UHUGEINT + ({b})::UHUGEINT) % {m})::UBIGINT"
+    rotl = lambda x, r: f"(((({x})::UHUGEINT * {2**r}::UHUGEINT) % {m}) + ({x})::UHUGEINT // {2 ** (64 - r)}::UHUGEINT)::UBIGINT"
+    c1, c2 = murmur._C1, murmur._C2
+    little = lambda x, o: "('0x' || " + " || ".join(f"substr({x}, {o + 2 * i}, 2)" for i in range(7, -1, -1)) + ")::UBIGINT"
+    k1 = lambda x: mul(rotl(mul(little(x, 1), c1), 31), c2)
+    k2 = lambda x: mul(rotl(mul(little(x, 17), c2), 33), c1)
+    h1 = add(mul(add(rotl("xor(h.a, k.a)", 27), "h.b"), 5), murmur._ADD1)
+    h2 = add(mul(add(rotl("xor(h.b, k.b)", 31), h1), 5), murmur._ADD2)
+
+    def mixed(x: str) -> str:
+        return f"(SELECT xor(z, z >> 33) FROM (SELECT {mul('xor(y, y >> 33)', murmur._MIX2)} AS z FROM (SELECT {mul(f'xor({x}, {x} >> 33)', murmur._MIX1)} AS y)))"
+
+    zero = "{'a': 0::UBIGINT, 'b': 0::UBIGINT}"
+    return f"""
+    WITH texts AS (
+      SELECT doc_id, 'text' AS which, text AS s FROM documents UNION ALL SELECT doc_id, 'source', source FROM documents),
+    cut AS (
+      SELECT doc_id, which, strlen(s)::UBIGINT AS n, regexp_extract_all(hex(s), '.{{32}}') AS blocks,
+             rpad(substr(hex(s), (strlen(s) // 16 * 32 + 1)::BIGINT), 32, '0') AS tail
+      FROM texts),
+    folded AS (
+      SELECT doc_id, which, n, tail,
+             list_reduce(list_prepend({zero}, list_transform(blocks, lambda x: {{'a': {k1("x")}, 'b': {k2("x")}}})),
+                         lambda h, k: {{'a': {h1}, 'b': {h2}}}) AS h
+      FROM cut),
+    ends AS (SELECT doc_id, which, xor(xor(h.a, {k1("tail")}), n) AS a, xor(xor(h.b, {k2("tail")}), n) AS b FROM folded),
+    sums AS (SELECT doc_id, which, a1, {add("a1", "b")} AS b1 FROM (SELECT *, {add("a", "b")} AS a1 FROM ends)),
+    hashes AS (SELECT doc_id, which, {add(mixed("a1"), mixed("b1"))}::HUGEINT AS u FROM sums),
+    signed AS (
+      SELECT doc_id, which, (CASE WHEN u >= 9223372036854775808 THEN u - 18446744073709551616 ELSE u END)::BIGINT AS v FROM hashes)
+    SELECT doc_id, max(v) FILTER (which = 'text') AS text_hash, max(v) FILTER (which = 'source') AS source_hash
+    FROM signed GROUP BY doc_id
+    """
+
+
+@query("fn_murmur64", _murmur_sql())
 def fn_murmur64(spark, sf):
     return sql(
         table(spark, sf, "documents"),

@@ -49,6 +49,15 @@ def scan_csv_roundtrip(spark, sf):
     return _round_trip(spark, sf, "orders", "csv", skip_header_row_number=1)
 
 
+@query("scan_csv_line_breaks", "SELECT *, ' ' || source || ' ' AS blanks, '' AS nothing FROM documents")
+def scan_csv_line_breaks(spark, sf):
+    """Texts with line breaks and quotes, values with blanks around them, and empty ones, which are not NULL."""
+    df = table(spark, sf, "documents").withColumns({"blanks": F.concat(F.lit(" "), "source", F.lit(" ")), "nothing": F.lit("")})
+    path = scratch_dir(spark, "line-breaks")
+    write_files(df, path, fmt="csv")
+    return files.scan_file(spark, path, fmt="csv", schema=df.schema, multi_line=True)
+
+
 @query("scan_text_roundtrip", "SELECT * FROM part")
 def scan_text_roundtrip(spark, sf):
     return _round_trip(spark, sf, "part", "text")
