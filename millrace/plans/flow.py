@@ -3,25 +3,41 @@
 A spec is a mapping with lists ``source``, ``transform`` and ``sink``. Each entry has a ``plugin_name``, its options,
 and names: ``plugin_output`` is what the entry makes, ``plugin_input`` what it reads. Without names an entry reads the
 output before it. One output may feed many entries. Building the DataFrames is lazy; each sink is one Spark action.
+
+``env`` may hold ``parallelism``, ``job.mode`` (``BATCH``, the default, or ``STREAMING``) and ``checkpoint.interval`` in
+milliseconds. A streaming job reads ``FileStream`` sources; its sinks need a ``checkpoint`` folder each. With an
+interval its queries run until they are stopped, without one they take what is there and end. ``DataValidator`` with
+``row_error_handle_way: ROUTE_TO_TABLE`` names its error rows by ``error_output``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators import fields, jsonpath, models, rowkind, sql, validate
+from millrace.operators import fields, jsonpath, messages, models, rowkind, sql, validate
+from millrace.options import single_choice
 from millrace.plans.variables import substitute
+from millrace.schema import schema_from_fields
 from millrace.sinks import files as file_sinks, payloads, tables as table_sinks
+from millrace.sinks.keyed import KeyedTable
 from millrace.sources import files, generate, tables
+from millrace.streaming.scan import scan_stream
+from millrace.streaming.sinks import run_to_end, stream_apply_changelog, stream_to_files
+
+def _file_stream(spark: SparkSession, path: str, schema: Mapping[str, Any], **options: Any) -> DataFrame:
+    return scan_stream(spark, path, schema=schema_from_fields(schema), **options)
+
 
 SOURCES: dict[str, Callable[..., DataFrame]] = {
     "File": files.scan_file,
     "Table": tables.scan_table,
     "Generate": generate.generate,
     "Rows": generate.literal_rows,
+    "FileStream": _file_stream,
 }
 TRANSFORMS: dict[str, Callable[..., DataFrame]] = {
     "Copy": fields.copy_fields,
@@ -41,6 +57,11 @@ TRANSFORMS: dict[str, Callable[..., DataFrame]] = {
     "LLM": models.infer_column,
     "Embedding": models.embed_columns,
     "DynamicCompile": models.custom_rows,
+    "DebeziumJson": messages.decode_debezium,
+    "CanalJson": messages.decode_canal,
+    "MaxwellJson": messages.decode_maxwell,
+    "OggJson": messages.decode_ogg,
+    "ConnectJson": messages.decode_connect_json,
 }
 
 
@@ -54,7 +75,23 @@ SINKS: dict[str, Callable[..., Any]] = {
     "Console": payloads.console,
     "Assert": _assert_sink,
 }
-_NAMES = ("plugin_name", "plugin_input", "plugin_output", "parallelism")
+
+
+def _keyed_table(df: DataFrame, path: str, keys: Sequence[str], schema: Mapping[str, Any]) -> KeyedTable:
+    return KeyedTable(df.sparkSession, path, keys=keys, schema=schema_from_fields(schema))
+
+
+# Sinks of streams: they start a query.
+STREAM_SINKS: dict[str, Callable[..., StreamingQuery]] = {
+    "File": lambda df, path, checkpoint, interval_ms=None, **options: stream_to_files(
+        df, path, checkpoint, interval_ms=interval_ms, **options
+    ),
+    "KeyedTable": lambda df, path, checkpoint, keys, schema, interval_ms=None, **options: stream_apply_changelog(
+        df, _keyed_table(df, path, keys, schema), checkpoint, interval_ms=interval_ms, **options
+    ),
+}
+JOB_MODES = ("BATCH", "STREAMING")
+_NAMES = ("plugin_name", "plugin_input", "plugin_output", "parallelism", "error_output")
 
 
 def _options(entry: Mapping[str, Any]) -> dict[str, Any]:
@@ -83,6 +120,18 @@ def _inputs(entry: Mapping[str, Any], datasets: Mapping[str, DataFrame], last: D
     return df
 
 
+def _transformed(entry: Mapping[str, Any], df: DataFrame, datasets: dict[str, DataFrame]) -> DataFrame:
+    options = _options(entry)
+    if entry["plugin_name"] == "DataValidator" and options.get("row_error_handle_way") == "ROUTE_TO_TABLE":
+        del options["row_error_handle_way"]
+        if "error_output" not in entry:
+            raise ValueError("DataValidator: ROUTE_TO_TABLE needs an error_output")
+        routed = validate.validate_route(df, **options)
+        datasets[entry["error_output"]] = routed.errors
+        return routed.valid
+    return _find(TRANSFORMS, entry)(df, **options)
+
+
 def _find(registry: Mapping[str, Callable], entry: Mapping[str, Any]) -> Callable:
     try:
         return registry[entry["plugin_name"]]
@@ -95,7 +144,10 @@ def build_flow(
 ) -> tuple[dict[str, DataFrame], list[Callable[[], Any]]]:
     """The named datasets and the (not yet run) sinks of a spec."""
     spec = substitute(spec, variables or {}, keep=frozenset(table_sinks.PLACEHOLDERS))
-    parallelism = (spec.get("env") or {}).get("parallelism")
+    env = spec.get("env") or {}
+    parallelism, mode = env.get("parallelism"), str(env.get("job.mode", "BATCH")).upper()
+    single_choice({"job.mode": mode}, "job.mode", JOB_MODES)
+    interval = env.get("checkpoint.interval")
     datasets: dict[str, DataFrame] = {}
     last: DataFrame | None = None
     for entry in spec.get("source", ()):
@@ -105,11 +157,18 @@ def build_flow(
             last = set_parallelism(last, int(wanted))
         datasets[entry.get("plugin_output", f"source{len(datasets)}")] = last
     for entry in spec.get("transform", ()):
-        last = _find(TRANSFORMS, entry)(_inputs(entry, datasets, last), **_options(entry))
+        last = _transformed(entry, _inputs(entry, datasets, last), datasets)
         datasets[entry.get("plugin_output", f"transform{len(datasets)}")] = last
     sinks = []
     for entry in spec.get("sink", ()):
-        df, write, options = _inputs(entry, datasets, last), _find(SINKS, entry), _options(entry)
+        df, options = _inputs(entry, datasets, last), _options(entry)
+        if df.isStreaming != (mode == "STREAMING"):
+            raise ValueError(f"{entry['plugin_name']}: a {mode} job cannot write {'a stream' if df.isStreaming else 'a table'}")
+        if df.isStreaming:
+            start = _find(STREAM_SINKS, entry)
+            sinks.append(lambda df=df, start=start, options=options: start(df, interval_ms=interval, **options))
+            continue
+        write = _find(SINKS, entry)
         sinks.append(lambda df=df, write=write, options=options: write(df, **options))
     return datasets, sinks
 
@@ -117,8 +176,11 @@ def build_flow(
 def run_flow(
     spark: SparkSession, spec: Mapping[str, Any], variables: Mapping[str, str] | None = None
 ) -> dict[str, DataFrame]:
-    """Build a spec, run its sinks in order and return the datasets."""
+    """Build a spec, run its sinks in order and return the datasets. The queries of a streaming job run side by side;
+    those without an interval are waited for."""
     datasets, sinks = build_flow(spark, spec, variables)
-    for sink in sinks:
-        sink()
+    queries = [started for started in [sink() for sink in sinks] if isinstance(started, StreamingQuery)]
+    if not (spec.get("env") or {}).get("checkpoint.interval"):
+        for query in queries:
+            run_to_end(query)
     return datasets

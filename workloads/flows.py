@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.plans.flow import run_flow, set_parallelism
-from millrace.schema import align_schema, cast_to_schema, schema_from_spec
+from millrace.schema import align_schema, cast_to_schema, schema_from_fields, schema_from_spec
 from millrace.session import scratch_dir
+from millrace.sinks.keyed import KeyedTable
 from millrace.sinks.tables import run_statements
 from workloads.registry import query, table
 
@@ -63,6 +64,56 @@ def sql_flow(spark, sf):
     return spark.read.parquet(path)
 
 
+@query(
+    "flow_stream_keyed",
+    """SELECT CAST(c_custkey AS BIGINT) AS k, c_name AS name, c_acctbal AS balance FROM customer WHERE c_mktsegment <> 'BUILDING'""",
+)
+def flow_stream_keyed(spark, sf):
+    """A streaming job: messages from a folder, decoded and folded into a keyed table. Customers of one segment are
+    deleted again."""
+    folder, path, checkpoint = (scratch_dir(spark, x) for x in ("messages", "keyed", "checkpoint"))
+    row = "named_struct('k', c_custkey, 'name', c_name, 'balance', c_acctbal)"
+    customers = table(spark, sf, "customer")
+    for seq, op, image, rows in ((0, "c", "after", customers), (1, "d", "before", customers.where("c_mktsegment = 'BUILDING'"))):
+        body = F.expr(f"to_json(named_struct('op', '{op}', '{image}', {row}))")
+        rows.select(body.alias("value"), F.lit(seq).cast("bigint").alias("__seq")).write.mode("append").parquet(folder)
+    kinds = {"k": "bigint", "name": "string", "balance": "double"}
+    spec = {
+        "env": {"job.mode": "STREAMING"},
+        "source": [{"plugin_name": "FileStream", "path": folder, "schema": {"value": "string", "__seq": "bigint"}}],
+        "transform": [{"plugin_name": "DebeziumJson", "schema": kinds}],
+        "sink": [{"plugin_name": "KeyedTable", "path": path, "checkpoint": checkpoint, "keys": ["k"], "schema": kinds}],
+    }
+    run_flow(spark, spec)
+    return KeyedTable(spark, path, keys=["k"], schema=schema_from_fields(kinds)).read()
+
+
+@query(
+    "flow_routed_errors",
+    """SELECT doc_id, 'kept' AS place FROM labels WHERE quality >= 1
+       UNION ALL SELECT doc_id, 'rejected' FROM labels WHERE NOT quality >= 1""",
+)
+def flow_routed_errors(spark, sf):
+    """A job whose rejected rows go to a table of their own."""
+    good, bad = scratch_dir(spark, "good"), scratch_dir(spark, "bad")
+    rules = [{"field_name": "quality", "rule_type": "RANGE", "min_value": 1}]
+    spec = {
+        "source": [{"plugin_name": "File", "path": f"{sf}/labels.parquet"}],
+        "transform": [
+            {"plugin_name": "DataValidator", "field_rules": rules, "row_error_handle_way": "ROUTE_TO_TABLE",
+             "table": "db.labels", "plugin_output": "valid", "error_output": "errors"}
+        ],
+        "sink": [
+            {"plugin_name": "File", "plugin_input": "valid", "path": good},
+            {"plugin_name": "File", "plugin_input": "errors", "path": bad},
+        ],
+    }
+    run_flow(spark, spec)
+    kept = spark.read.parquet(good).select("doc_id", F.lit("kept").alias("place"))
+    number = F.get_json_object("original_data", "$.doc_id").cast("bigint")
+    return kept.unionByName(spark.read.parquet(bad).select(number.alias("doc_id"), F.lit("rejected").alias("place")))
+
+
 @query("flow_variables", "SELECT o_orderkey, 'none' AS note FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 50000")
 def flow_variables(spark, sf):
     spec = {
