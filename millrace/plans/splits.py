@@ -5,12 +5,12 @@ Only aggregates reach the driver (minimum, maximum, count, one boundary per spli
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 from decimal import Decimal
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.envelope import quoted, require_columns
 
@@ -21,9 +21,8 @@ EVEN_UPPER_BOUND = 100.0
 SAMPLE_SHARDING_THRESHOLD = 1000
 INVERSE_SAMPLING_RATE = 1000
 
-# Every split is a Spark task and a query at the database, so their number is bounded; splits of a bigger table are
-# wider instead.
-MAX_SPLITS = 10_000
+# Keys looked at per planned range: enough for even ranges, and a bound on what is shuffled to find them.
+KEYS_PER_SPLIT = 100
 
 Bounds = list[tuple[Any, Any]]
 
@@ -42,20 +41,24 @@ def even_bounds(low: int, high: int, step: int) -> Bounds:
     return list(zip([None, *cuts], [*cuts, None]))
 
 
-# Keys looked at per planned range: enough for even ranges, and a bound on what is shuffled to find them.
-KEYS_PER_SPLIT = 100
+def bounds_of(firsts: Sequence[Any]) -> Bounds:
+    """Half-open ranges from the smallest key of each; equal ones are one range."""
+    cuts = sorted(set(firsts))[1:]
+    return list(zip([None, *cuts], [*cuts, None]))
 
 
-def sampled_bounds(df: DataFrame, column: str, splits: int, rows: int, fraction: float = 1.0) -> Bounds:
+def sampled_bounds(
+    df: DataFrame, column: str, splits: int, rows: int, fraction: float = 1.0, keys_per_split: int = KEYS_PER_SPLIT
+) -> Bounds:
     """Ranges of about equal row counts, for skewed or text keys.
 
-    At most about ``KEYS_PER_SPLIT`` keys per range are sampled, so finding the ranges stays small however large the
+    At most about ``keys_per_split`` keys per range are sampled, so finding the ranges stays small however large the
     table or its hottest key is. Spark's range partitioner orders the sample; only the smallest key of each range
     comes back. A key is never cut, so one hot key is one split.
     """
     key = F.col(quoted(column))
     keys = df.select(key.alias("k")).where(key.isNotNull())
-    fraction = min(fraction, KEYS_PER_SPLIT * splits / max(rows, 1))
+    fraction = min(fraction, keys_per_split * splits / max(rows, 1))
     if fraction < 1:
         keys = keys.sample(fraction=fraction, seed=7)
     firsts = (
@@ -65,8 +68,7 @@ def sampled_bounds(df: DataFrame, column: str, splits: int, rows: int, fraction:
         .orderBy("k")
         .collect()
     )
-    cuts = [row["k"] for row in firsts][1:]
-    return list(zip([None, *cuts], [*cuts, None]))
+    return bounds_of([row["k"] for row in firsts])
 
 
 def plan_splits(
@@ -78,26 +80,46 @@ def plan_splits(
     even_upper: float = EVEN_UPPER_BOUND,
     sample_sharding_threshold: int = SAMPLE_SHARDING_THRESHOLD,
     inverse_sampling_rate: int = INVERSE_SAMPLING_RATE,
-    max_splits: int = MAX_SPLITS,
+    max_splits: int | None = None,
+    keys_per_split: int = KEYS_PER_SPLIT,
 ) -> Bounds:
     """Key ranges holding about ``split_size`` rows each.
 
     The distribution factor is (max - min + 1) / rows. Integer keys whose factor lies between the two bounds are
     dense enough for ranges of one width, computed without touching the data again. Other keys (skewed, or text)
     take ranges of equal row counts; above ``sample_sharding_threshold`` splits these come from a sample of one in
-    ``inverse_sampling_rate`` rows. A table that would need more than ``max_splits`` gets wider ones.
+    ``inverse_sampling_rate`` rows, of ``keys_per_split`` keys for each range at most. With ``max_splits`` a table that
+    would need more gets wider ones.
     """
     low, high, rows = key_statistics(df, column)
-    split_size = max(split_size, -(-rows // max_splits))
+
+    def cuts(splits: int) -> Bounds:
+        fraction = 1 / inverse_sampling_rate if splits > sample_sharding_threshold else 1.0
+        return sampled_bounds(df, column, splits, rows, fraction, keys_per_split)
+
+    return ranges_of(low, high, rows, cuts, split_size, even_lower, even_upper, max_splits)
+
+
+def ranges_of(
+    low: Any,
+    high: Any,
+    rows: int,
+    cuts: Callable[[int], Bounds],
+    split_size: int = SPLIT_SIZE,
+    even_lower: float = EVEN_LOWER_BOUND,
+    even_upper: float = EVEN_UPPER_BOUND,
+    max_splits: int | None = None,
+) -> Bounds:
+    """The ranges for known key statistics; ``cuts`` finds ranges of equal row counts where even ones will not do."""
+    if max_splits:
+        split_size = max(split_size, -(-rows // max_splits))
     if rows <= split_size or low == high:
         return [(None, None)]
-    if isinstance(df.schema[column].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+    if isinstance(low, int) and not isinstance(low, bool):
         factor = (high - low + 1) / rows
         if even_lower <= factor <= even_upper:
             return even_bounds(low, high, max(1, int(factor * split_size)))
-    splits = -(-rows // split_size)
-    fraction = 1 / inverse_sampling_rate if splits > sample_sharding_threshold else 1.0
-    return sampled_bounds(df, column, splits, rows, fraction)
+    return cuts(-(-rows // split_size))
 
 
 def sql_literal(value: Any) -> str:

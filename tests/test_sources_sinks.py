@@ -552,3 +552,26 @@ def test_wide_generated_values(spark):
     df = generate.generate_columns(spark.range(200), id_col="id", schema={"b": "bytes", "d": "decimal(30,2)"}, bytes__length=100)
     got = df.selectExpr("min(octet_length(b)) as short", "max(octet_length(b)) as long", "max(d) as d").first()
     assert got.short == got.long == 100 and got.d > 10**26
+
+
+def test_remote_split_planning():
+    """The database is asked for statistics and quantiles, never for its keys. DuckDB stands in for it."""
+    import duckdb
+
+    db = duckdb.connect()
+    db.execute("create table t as select case when i < 400 then 'hot' else 'k' || lpad(i::varchar, 4, '0') end as k, i * i as n from range(1000) r(i)")
+    asked = []
+
+    def ask(remote):
+        asked.append(remote)
+        return db.execute(f"select * from {remote}").fetchall()
+
+    bounds = jdbc_source.remote_bounds(ask, "t", "k", 10)
+    assert asked == [jdbc_source.quantile_query("t", "k", 10)] and 5 <= len(bounds) <= 10
+    where = splits.split_predicates("k", bounds)
+    assert sum(db.execute(f"select count(*) from t where {w}").fetchall()[0][0] for w in where) == 1000
+    low, high, n = ask(jdbc_source.statistics_query("(select n from t) s", "n"))[0]
+    assert (low, high, n) == (0, 999 * 999, 1000)
+    even = splits.ranges_of(low, high, n, None, split_size=100, even_upper=2000.0)
+    assert len(even) > 1 and even[0][0] is None and even[-1][1] is None
+    assert len(splits.ranges_of(0, 10**9 - 1, 10**9, None, split_size=1000)) == 10**6
