@@ -63,9 +63,11 @@ def _small_tables(spark, sf) -> TableSet:
 
 
 def _counts(tables_: TableSet) -> DataFrame:
-    """One row per table: its path and row count."""
+    """One row per table: its path, row count and the sum of its key, the first column."""
     parts = [
-        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(str(path)).alias("table_path"), "n_rows")
+        df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(df.columns[0]).alias("key_sum")).select(
+            F.lit(str(path)).alias("table_path"), "n_rows", "key_sum"
+        )
         for path, df in tables_.items()
     ]
     out = parts[0]
@@ -76,11 +78,11 @@ def _counts(tables_: TableSet) -> DataFrame:
 
 @query(
     "rename_table",
-    """SELECT 'shop.ODS_NATIONS' AS table_path, count(*) AS n_rows FROM nation
-       UNION ALL SELECT 'shop.ODS_REGION', count(*) FROM region
-       UNION ALL SELECT 'shop.ODS_SUPPLIER', count(*) FROM supplier
-       UNION ALL SELECT 'shop.ODS_CUSTOMER', count(*) FROM customer
-       UNION ALL SELECT 'shop.ODS_PART', count(*) FROM part""",
+    """SELECT 'shop.ODS_NATIONS' AS table_path, count(*) AS n_rows, sum(n_nationkey)::BIGINT AS key_sum FROM nation
+       UNION ALL SELECT 'shop.ODS_REGION', count(*), sum(r_regionkey)::BIGINT FROM region
+       UNION ALL SELECT 'shop.ODS_SUPPLIER', count(*), sum(s_suppkey)::BIGINT FROM supplier
+       UNION ALL SELECT 'shop.ODS_CUSTOMER', count(*), sum(c_custkey)::BIGINT FROM customer
+       UNION ALL SELECT 'shop.ODS_PART', count(*), sum(p_partkey)::BIGINT FROM part""",
 )
 def rename_table(spark, sf):
     return _counts(
@@ -95,8 +97,8 @@ def rename_table(spark, sf):
 
 @query(
     "filter_tables",
-    """SELECT 'shop.nation' AS table_path, count(*) AS n_rows FROM nation
-       UNION ALL SELECT 'shop.region', count(*) FROM region""",
+    """SELECT 'shop.nation' AS table_path, count(*) AS n_rows, sum(n_nationkey)::BIGINT AS key_sum FROM nation
+       UNION ALL SELECT 'shop.region', count(*), sum(r_regionkey)::BIGINT FROM region""",
 )
 def filter_tables(spark, sf):
     return _counts(tables.filter_tables(_small_tables(spark, sf), database_pattern="shop", table_pattern=".*ion"))

@@ -157,9 +157,9 @@ def insert_partitioned_table(spark, sf):
 
 @query(
     "multi_table_sink",
-    """SELECT 'ods_shop.nation_v1' AS target, count(*) AS n_rows FROM nation
-       UNION ALL SELECT 'ods_none.part_v1', count(*) FROM part
-       UNION ALL SELECT 'ods_shop.customer_v1', count(*) FROM customer""",
+    """SELECT 'ods_shop.nation_v1' AS target, count(*) AS n_rows, sum(n_nationkey)::BIGINT AS key_sum FROM nation
+       UNION ALL SELECT 'ods_none.part_v1', count(*), sum(p_partkey)::BIGINT FROM part
+       UNION ALL SELECT 'ods_shop.customer_v1', count(*), sum(c_custkey)::BIGINT FROM customer""",
 )
 def multi_table_sink(spark, sf):
     tables = TableSet.of(
@@ -175,8 +175,9 @@ def multi_table_sink(spark, sf):
     )
     out = None
     for name in names.values():
-        one = spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("n_rows"))
-        one = one.select(F.lit(name).alias("target"), "n_rows")
+        rows = spark.read.parquet(f"{root}/{name}")
+        one = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(rows.columns[0]).alias("key_sum"))
+        one = one.select(F.lit(name).alias("target"), "n_rows", "key_sum")
         out = one if out is None else out.unionByName(one)
     return out
 
