@@ -1,4 +1,7 @@
-"""Mixing sources to target weights: repetition rates per source, whole copies plus one hash-seeded Bernoulli copy."""
+"""Mixing sources to target weights: repetition rates per source, whole copies plus one hash-seeded Bernoulli copy.
+
+A source is drawn with that one of a few numbered seeds whose words come nearest to its target: a draw over few or very
+uneven documents would else be far off. Which documents it takes is still decided row by row."""
 
 from __future__ import annotations
 
@@ -14,6 +17,7 @@ from millrace.session import written
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 SEED = "mix"
+DRAWS = 16
 
 
 @dataclass(frozen=True)
@@ -77,16 +81,42 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     return written(sources.select("source", "source_size", target.alias("target"), rate.alias("rate")), "mix-targets")
 
 
-def uniform(key: Column, seed: str = SEED) -> Column:
-    """A number from 0 up to, not including, 1 that depends on the key alone: 52 bits of an MD5."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("null"))).cast("binary"))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
+def uniform(key: Column, number: Column, seed: str = SEED) -> Column:
+    """A number from 0 up to, not including, 1 that depends on the key and the number of the draw: 52 bits of an MD5."""
+    text = F.concat(F.lit(f"{seed}:"), number.cast("string"), F.lit(":"), F.coalesce(key.cast("string"), F.lit("null")))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
 def _copies(rate: Column, u: Column) -> Column:
     return (F.floor(rate) + F.when(u < rate - F.floor(rate), 1).otherwise(0)).cast("long")
 
 
+def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    sized = docs.select(
+        F.col(f"`{id_col}`").alias("id"),
+        F.col(f"`{source_col}`").cast("string").alias("source"),
+        F.size(plain_words(F.col(f"`{text_col}`"))).cast("long").alias("size"),
+    )
+    return written(sized, "mix-sizes")
+
+
+def _with_draws(sized: DataFrame, targets: DataFrame, seed: str, draws: int) -> DataFrame:
+    """``targets`` with ``draw``, for each source the one of ``draws`` numbered draws whose words come nearest to its
+    target (the first of equals). One aggregate with a sum for each draw; a document's chance is the same in all."""
+    joined = sized.join(targets.withColumnRenamed("source", "of_source"), F.col("source").eqNullSafe(F.col("of_source")))
+    taken = [
+        F.sum(F.col("size") * _copies(F.col("rate"), uniform(F.col("id"), F.lit(k), seed))).alias(f"taken{k}")
+        for k in range(draws)
+    ]
+    sums = joined.groupBy("source").agg(F.first("target").alias("own"), *taken)
+    best = F.array_min(
+        F.array(*[F.struct(F.abs(F.col(f"taken{k}") - F.col("own")).alias("gap"), F.lit(k).alias("k")) for k in range(draws)])
+    )
+    chosen = sums.select(F.col("source").alias("of_source"), best["k"].alias("draw"))
+    found = targets.join(chosen, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
+    return written(found, "mix-draws")
+
+
 def mix_plan(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -95,23 +125,20 @@ def mix_plan(
     weights: tuple[int, ...] = WEIGHTS,
     max_repeats: int = MAX_REPEATS,
     seed: str = SEED,
+    draws: int = DRAWS,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``size`` (words), ``source_size``, ``target``, ``copies``, ``taken``.
 
     A null text has size 0; documents without a source are one source, last in order; a source without words has
-    target 0 and no copies. The copies of a document depend on its id and the seed only, so repeated ids take part
-    alike and reruns agree; a null id counts as one id. An empty table gives no rows. Texts are read once; only ids,
-    sources and sizes are written and joined. The join is Spark's choice by the written size of the source table.
+    target 0 and no copies. The extra copy of a document depends on its id and the draw of its source only, so repeated
+    ids take part alike and reruns agree; a null id counts as one id. An empty table gives no rows. Texts are read
+    once; only ids, sources and sizes are written and joined. The join is Spark's choice by the written size of the
+    source table.
     """
-    sized = docs.select(
-        F.col(f"`{id_col}`").alias("id"),
-        F.col(f"`{source_col}`").cast("string").alias("source"),
-        F.size(plain_words(F.col(f"`{text_col}`"))).cast("long").alias("size"),
-    )
-    sized = written(sized, "mix-sizes")
-    targets = source_targets(sized, weights, max_repeats).withColumnRenamed("source", "of_source")
-    joined = sized.join(targets, F.col("source").eqNullSafe(F.col("of_source")))
-    copies = _copies(F.col("rate"), uniform(F.col("id"), seed))
+    sized = _sizes(docs, id_col, text_col, source_col)
+    targets = _with_draws(sized, source_targets(sized, weights, max_repeats), seed, draws)
+    joined = sized.join(targets.withColumnRenamed("source", "of_source"), F.col("source").eqNullSafe(F.col("of_source")))
+    copies = _copies(F.col("rate"), uniform(F.col("id"), F.col("draw"), seed))
     return joined.select(
         F.col("id").alias(id_col),
         "size",
@@ -130,20 +157,18 @@ def mix(
     weights: tuple[int, ...] = WEIGHTS,
     max_repeats: int = MAX_REPEATS,
     seed: str = SEED,
+    draws: int = DRAWS,
 ) -> DataFrame:
     """The mixed documents: each row of ``docs`` as many times as ``mix_plan`` says, with its own columns.
 
-    Only the rates are joined to the texts: a map-side join as long as the source table is below Spark's broadcast
+    Only rates and draws are joined to the texts: a map-side join as long as the source table is below Spark's broadcast
     limit, else a join on the source whose large partitions Spark splits.
     """
-    sized = docs.select(
-        F.col(f"`{source_col}`").cast("string").alias("source"),
-        F.size(plain_words(F.col(f"`{text_col}`"))).cast("long").alias("size"),
-    )
-    targets = source_targets(sized, weights, max_repeats)
-    of, rate, copy = (unused(docs, n) for n in ("mix_source", "mix_rate", "mix_copy"))
-    rates = targets.select(F.col("source").alias(of), F.col("rate").alias(rate))
-    copies = _copies(F.col(rate), uniform(F.col(f"`{id_col}`"), seed))
+    sized = _sizes(docs, id_col, text_col, source_col)
+    targets = _with_draws(sized, source_targets(sized, weights, max_repeats), seed, draws)
+    of, rate, draw, copy = (unused(docs, n) for n in ("mix_source", "mix_rate", "mix_draw", "mix_copy"))
+    rates = targets.select(F.col("source").alias(of), F.col("rate").alias(rate), F.col("draw").alias(draw))
+    copies = _copies(F.col(rate), uniform(F.col(f"`{id_col}`"), F.col(draw), seed))
     return (
         docs.join(rates, F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col(of)))
         .withColumn(copy, F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from millrace.llm.chat import CLOSE, OPEN, Budget
 from millrace.llm.decontaminate import WINDOW
-from millrace.llm.mixing import MAX_REPEATS, SEED, WEIGHTS
+from millrace.llm.mixing import DRAWS, MAX_REPEATS, SEED, WEIGHTS
 from millrace.llm.quality import BASE_RULES, RULES, STOP_FORMS, SYMBOLS
 
 # The word patterns of the result contracts.
@@ -89,11 +89,18 @@ def mixing_sql(documents: str) -> str:
              least((w * num)::DOUBLE / den::DOUBLE, ({MAX_REPEATS} * source_size)::DOUBLE) AS target
       FROM m_weights, (SELECT max(num) AS num, max(den) AS den FROM m_level)),
     m_rates AS (
-      SELECT s.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-             ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 2.0 ** 52 AS u
+      SELECT s.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate
       FROM m_sizes s JOIN m_targets t ON s.source IS NOT DISTINCT FROM t.source),
+    m_draws AS (
+      SELECT *, (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies
+      FROM (SELECT *, ('0x' || substr(md5('{SEED}:' || draw || ':' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT
+                      / 2.0 ** 52 AS u
+            FROM m_rates, (SELECT unnest(range({DRAWS})) AS draw))),
+    m_best AS (
+      SELECT source, draw FROM m_draws GROUP BY source, draw
+      QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(sum(copies * size) - any_value(target)), draw) = 1),
     mixed AS (
-      SELECT *, (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies FROM m_rates)"""
+      SELECT d.* FROM m_draws d JOIN m_best b ON d.source IS NOT DISTINCT FROM b.source AND d.draw = b.draw)"""
 
 
 MIX_SOURCES = f"""
