@@ -16,9 +16,9 @@ def _quality_cases(rules) -> str:
     terms = []
     for r in rules:
         if r.low is not None:
-            terms.append(f"coalesce({r.metric} < {r.low}, false)")
+            terms.append(f"coalesce({r.metric} < {r.low}, false) AND n_words >= {r.min_words}")
         if r.high is not None:
-            terms.append(f"coalesce({r.metric} > {r.high}, false)")
+            terms.append(f"coalesce({r.metric} > {r.high}, false) AND n_words >= {r.min_words}")
     return " OR ".join(terms)
 
 

@@ -31,12 +31,14 @@ WINDOW = 5
 @dataclass(frozen=True)
 class Rule:
     """Keep a document only if ``low <= metric <= high``; a bound of None is open. ``metric`` names an entry of
-    ``metric_columns``. A metric that has no value (a ratio over nothing) passes."""
+    ``metric_columns``. A metric that has no value (a ratio over nothing) passes, and so does a text of fewer than
+    ``min_words`` words, where a share of words or lines says little."""
 
     name: str
     metric: str
     low: float | None = None
     high: float | None = None
+    min_words: int = 0
 
 
 # The base conditions: enough words, and not mainly repetition (percent of words in repeated windows).
@@ -49,8 +51,8 @@ BASE_RULES = (
 RULES = (
     Rule("word length", "mean_word_chars", low=1.5, high=15),
     Rule("few symbols", "symbols_per_word", high=0.1),
-    Rule("function words", "stop_word_ratio", low=0.01),
-    Rule("repeated lines", "dup_line_ratio", high=0.3),
+    Rule("function words", "stop_word_ratio", low=0.01, min_words=50),
+    Rule("repeated lines", "dup_line_ratio", high=0.5, min_words=50),
     Rule("cut-off lines", "ellipsis_line_ratio", high=0.3),
     Rule("list lines", "bullet_line_ratio", high=0.9),
     Rule("capitals", "upper_char_ratio", high=0.4),
@@ -182,6 +184,8 @@ def failing(rules: tuple[Rule, ...], prefix: str) -> Column:
             breaks = breaks | F.coalesce(value < F.lit(rule.low), F.lit(False))
         if rule.high is not None:
             breaks = breaks | F.coalesce(value > F.lit(rule.high), F.lit(False))
+        if rule.min_words:
+            breaks = breaks & (metrics["n_words"] >= rule.min_words)
         broken.append(F.when(breaks, F.lit(rule.name)))
     return F.filter(F.array(*broken), lambda x: x.isNotNull()) if broken else F.array().cast("array<string>")
 
