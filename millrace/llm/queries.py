@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import oracles
 from millrace.llm.chat import chat_report, format_chat
+from millrace.llm.cotrain import quality_scores
 from millrace.llm.decontaminate import contamination
 from millrace.llm.lm import score_report
 from millrace.llm.mixing import mix_plan
@@ -26,6 +27,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+@query("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op3_toxicity")
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, settings = table(spark, sf_dir, "documents"), Settings()
