@@ -259,13 +259,15 @@ def _cross_pairs(buckets: DataFrame, labels: DataFrame, tested: DataFrame) -> tu
     mixed = written(mixed.where("low <> high").select("key", "n"), "mixed")
     rest = written(named.join(mixed, "key"), "mixed-members")
     small = rest.where(F.col("n") <= SMALL_BUCKET).select("key", "node", "label")
-    other = small.select("key", F.col("node").alias("other"), F.col("label").alias("other_label"))
-    pairs = (
-        small.join(other, "key")
-        .where("node < other AND label <> other_label")
-        .select(F.col("node").alias("a"), F.col("other").alias("b"))
-        .distinct()
+    # Two nodes that share several of these buckets meet in the first one only.
+    own = small.groupBy("node").agg(F.collect_list("key").alias("keys"))
+    small = written(small.join(own, "node"), "small-buckets")
+    other = small.select(
+        "key", F.col("node").alias("other"), F.col("label").alias("other_label"), F.col("keys").alias("other_keys")
     )
+    meet = (F.col("label") != F.col("other_label")) & (F.col("key") == F.array_min(F.array_intersect("keys", "other_keys")))
+    met = small.join(other, "key").where((F.col("node") < F.col("other")) & meet)
+    pairs = met.select(F.col("node").alias("a"), F.col("other").alias("b"))
     return pairs.join(tested, ["a", "b"], "left_anti"), rest.where(F.col("n") > SMALL_BUCKET).select("key", "node")
 
 
