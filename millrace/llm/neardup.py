@@ -316,9 +316,13 @@ def _classes(texts: DataFrame, nodes: DataFrame, idf: Broadcast, settings: Setti
         members = large.join(nodes.select("node", F.explode("keys").alias("other")), "node").where("key <> other")
         halves = members.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "node").distinct()
         halves = written(halves, "half-buckets")
-        led = _leader_pairs(halves)
-        crossed, rest = _cross_pairs(halves, labels, pairs)
-        more = more.unionByName(led).unionByName(crossed).distinct().join(pairs, ["a", "b"], "left_anti")
+        # Leaders first: what they link needs no pairs among itself.
+        led = written(_leader_pairs(halves).join(pairs, ["a", "b"], "left_anti"), "half-pairs")
+        edges = written(edges.unionByName(_similar(led, sets, settings.threshold)), "half-similar")
+        labels, pairs = components(edges), pairs.unionByName(led)
+        small, _ = _cross_pairs(buckets, labels, pairs)
+        crossed, _ = _cross_pairs(halves, labels, pairs)
+        more = small.unionByName(crossed).distinct()
     more = written(more, "more-pairs")
     if not more.limit(1).count():
         return labels
