@@ -4,8 +4,9 @@ weighted Jaccard similarity, and closed to classes.
 Equal texts are one node of the graph from the start, so a group of exact copies costs one node. In each band bucket the
 nodes are compared with one leader, not with each other; what is linked is contracted to components, and only then are
 nodes of different components compared: all of them in buckets of up to ``SMALL_BUCKET`` nodes; larger buckets are cut
-by a second band (similar texts share several bands) and treated alike, again with leaders first. Links, components and
-signatures are tables; nothing of the corpus reaches the driver but counts and the fixed-size table of frequencies.
+by a second band (similar texts share several bands), where leaders link most of them, and then get more leaders in
+rounds until no pair of different components is untested. Links, components and signatures are tables; nothing of the
+corpus reaches the driver but counts and the fixed-size table of frequencies.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from millrace.session import written
 _WORD = re.compile(r"\w+")
 _MULTIPLIER = 0x9E3779B97F4A7C15
 SMALL_BUCKET = 64
+LEADER_GROWTH = 4
 MAX_BROADCAST_BYTES = 32 << 20
 
 
@@ -271,6 +273,43 @@ def _cross_pairs(buckets: DataFrame, labels: DataFrame, tested: DataFrame) -> tu
     return pairs.join(tested, ["a", "b"], "left_anti"), rest.where(F.col("n") > SMALL_BUCKET).select("key", "node")
 
 
+def _mixed_members(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets with more than one component, with the label of the largest component of the bucket
+    (``big``), how many nodes are in it (``inside``) and in other ones (``others``), and all such buckets of the node."""
+    named = written(large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "round-members")
+    sizes = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    per_key = sizes.groupBy("key").agg(
+        F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")
+    )
+    per_key = per_key.where("parts > 1").select(
+        "key", F.col("top.label").alias("big"), F.col("top.n").alias("inside"), (F.col("n") - F.col("top.n")).alias("others")
+    )
+    members = written(named.join(written(per_key, "mixed"), "key"), "mixed-members")
+    own = members.groupBy("node").agg(F.collect_list("key").alias("keys"))
+    return written(members.join(own, "node"), "mixed-buckets")
+
+
+def _round_pairs(mixed: DataFrame, leaders: int) -> DataFrame:
+    """Pairs of different components, one of them a leader: in each bucket about ``leaders`` nodes of its largest component
+    and as many of the others. When there are no more others than that, all of them lead and no pair is left."""
+    draw = F.pmod(F.xxhash64(F.lit("leader"), "node"), F.lit(1 << 30)) / float(1 << 30)
+    outside = F.col("label") != F.col("big")
+    leads = F.when(outside, draw * F.col("others") < leaders).otherwise(
+        (F.col("others") > leaders) & (draw * F.col("inside") < leaders)
+    )
+    first = mixed.where(leads).select("key", "node", "label", "keys")
+    second = mixed.select(
+        "key",
+        F.col("node").alias("other"),
+        F.col("label").alias("other_label"),
+        F.col("keys").alias("other_keys"),
+    )
+    # Two nodes that share several of these buckets meet in the first one only.
+    meet = (F.col("label") != F.col("other_label")) & (F.col("key") == F.array_min(F.array_intersect("keys", "other_keys")))
+    met = first.join(second, "key").where(meet)
+    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
@@ -316,18 +355,33 @@ def _classes(texts: DataFrame, nodes: DataFrame, idf: Broadcast, settings: Setti
         members = large.join(nodes.select("node", F.explode("keys").alias("other")), "node").where("key <> other")
         halves = members.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "node").distinct()
         halves = written(halves, "half-buckets")
-        # Leaders first: what they link needs no pairs among itself.
+        # Nodes that share two bands are the likeliest to be similar: what their leaders link needs no pairs among itself.
         led = written(_leader_pairs(halves).join(pairs, ["a", "b"], "left_anti"), "half-pairs")
         edges = written(edges.unionByName(_similar(led, sets, settings.threshold)), "half-similar")
         labels, pairs = components(edges), pairs.unionByName(led)
-        small, _ = _cross_pairs(buckets, labels, pairs)
-        crossed, _ = _cross_pairs(halves, labels, pairs)
-        more = small.unionByName(crossed).distinct()
+        more, _ = _cross_pairs(buckets, labels, pairs)
     more = written(more, "more-pairs")
-    if not more.limit(1).count():
-        return labels
-    found = written(_similar(more, sets, settings.threshold), "more-similar")
-    return components(edges.unionByName(found)) if found.limit(1).count() else labels
+    if more.limit(1).count():
+        found = written(_similar(more, sets, settings.threshold), "more-similar")
+        pairs = pairs.unionByName(more)
+        if found.limit(1).count():
+            edges = edges.unionByName(found)
+            labels = components(edges)
+    leaders = 1
+    while True:
+        mixed = _mixed_members(large, labels)
+        if not mixed.limit(1).count():
+            return labels
+        last = not mixed.where(F.col("others") > leaders).limit(1).count()
+        led = written(_round_pairs(mixed, leaders).join(pairs, ["a", "b"], "left_anti"), "round-pairs")
+        found = written(_similar(led, sets, settings.threshold), "round-similar")
+        pairs = pairs.unionByName(led)
+        if found.limit(1).count():
+            edges = edges.unionByName(found)
+            labels = components(edges)
+        if last:  # each node outside the largest component of its bucket has led
+            return labels
+        leaders *= LEADER_GROWTH
 
 
 def _sets_of(
