@@ -1,6 +1,6 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
-The model is an interpolated bigram model over all words of the training texts. Its levels are files in the shared
+The model is an interpolated n-gram model of order two or three over all words of the training texts. Its levels are files in the shared
 scratch folder, written by Spark tasks over sorted ranges and memory-mapped by the tasks that score:
 
 * words: their hashes (Elias-Fano) and exact counts; a word's number is its rank,
@@ -10,8 +10,11 @@ scratch folder, written by Spark tasks over sorted ranges and memory-mapped by t
 
 A child is found by a successor search relative to its context's base. ``p(w | v)`` is the discounted share of ``w``
 after ``v``, if that pair was seen ``min_count`` times, plus ``backoff(v) * p(w)``; ``p(w)`` is the smoothed share of
-``w`` among all tokens. Pairs are counted over all training texts; rarer ones are left to the backoff weight, which
-takes what they had, so the probabilities after a context sum to 1 up to quantisation.
+``w`` among all tokens. With order three, ``p(w | u v)`` is in the same way the discounted share of ``w`` after the pair
+``u v`` plus ``backoff(u v) * p(w | v)``; its levels are those of the pairs again, with the number of a stored pair as the
+context, and the first word of a text has the end before it as its only context. Counts cover all training texts; what
+is seen less than ``min_count`` times is left to the backoff weight, which takes what it had, so the probabilities after
+a context sum to 1 up to quantisation.
 """
 
 from __future__ import annotations
@@ -40,9 +43,11 @@ _SIGN = np.uint64(1 << 63)
 
 @dataclass(frozen=True)
 class Settings:
-    """``min_count`` is how often a pair must be seen to be stored, ``discount`` what each stored pair gives up."""
+    """``min_count`` is how often a pair or triple must be seen to be stored, ``discount`` what each stored one gives up.
+    ``order`` is the length of the longest n-grams, 2 or 3."""
 
-    min_count: int = 2
+    min_count: int = 1
+    order: int = 2
     discount: float = 0.75
     smoothing: float = 0.1
     words_per_shard: int = 500_000
@@ -265,18 +270,19 @@ def _restore(q: np.ndarray) -> np.ndarray:
     return 10.0 ** (q.astype(np.float64) * (_FLOOR / _QUANTA))
 
 
-class Trie:
-    """The whole model as a scoring task sees it."""
-
-    def __init__(self, words: str, children: str, backoffs: str, ends: int, settings: Settings) -> None:
-        self.words = Words(words, ends, settings)
-        self.children, self.backoffs = _Ranges(children), _Ranges(backoffs)
+class Children(_Ranges):
+    """A level of children: their shares, by keys of context and word. A child's number is its rank among the keys."""
 
-    def share(self, keys: np.ndarray) -> np.ndarray:
-        """The discounted share of ascending, distinct pair keys; 0 for pairs that are not stored."""
-        out, width = np.zeros(len(keys)), self.words.end + 1
-        for _, shard, part in self.children.deal(keys.astype(np.uint64)):
-            context, word = np.divmod(keys[part], width)
+    def __init__(self, path: str, width: int) -> None:
+        super().__init__(path)
+        self.width = width
+        self.offset = np.concatenate([[0], np.cumsum([s.meta["n"] for s in self.shards])]).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The discounted share and the number of ascending, distinct keys; 0 and -1 for those that are not stored."""
+        out, numbers = np.zeros(len(keys)), np.full(len(keys), -1, dtype=np.int64)
+        for k, shard, part in self.deal(keys.astype(np.uint64)):
+            context, word = np.divmod(keys[part], self.width)
             contexts, pointers, child = (shard.arrays[n] for n in ("context", "pointer", "child"))
             first = context - shard.meta["first_context"]
             n = np.full(len(first), contexts.n, dtype=np.int64)
@@ -285,15 +291,35 @@ class Trie:
             begin, end = pointers.access(at[of]).astype(np.int64), pointers.access(at[of] + 1).astype(np.int64)
             base = np.where(begin > 0, child.access(np.maximum(begin - 1, 0)), np.uint64(0))
             place, there = child.successor(word[of].astype(np.uint64) + base, begin, end)
-            found = np.zeros(len(first))
+            found, number = np.zeros(len(first)), np.full(len(first), -1, dtype=np.int64)
             found[of[there]] = _restore(shard.arrays["share"][place[there]])
-            out[part] = found
+            number[of[there]] = place[there] + self.offset[k]
+            out[part], numbers[part] = found, number
+        return out, numbers
+
+    def counts(self, numbers: np.ndarray) -> np.ndarray:
+        """How often the children of these numbers were seen after their context."""
+        out = np.zeros(len(numbers), dtype=np.int64)
+        shard = np.searchsorted(self.offset, numbers, side="right") - 1
+        for k, s in enumerate(self.shards):
+            of = shard == k
+            out[of] = s.arrays["count"][numbers[of] - self.offset[k]]
         return out
 
-    def backoff(self, contexts: np.ndarray) -> np.ndarray:
-        """The backoff weight of ascending, distinct contexts; 1 for those without children."""
+
+class Backoffs(_Ranges):
+    """A level of backoff weights."""
+
+    def weights(self, contexts: np.ndarray) -> np.ndarray:
+        """The backoff weight of contexts; 1 for those without children and for -1."""
+        numbers, back = np.unique(contexts, return_inverse=True)
+        out, known = np.ones(len(numbers)), numbers >= 0
+        out[known] = self._known(numbers[known])
+        return out[back]
+
+    def _known(self, contexts: np.ndarray) -> np.ndarray:
         out = np.ones(len(contexts))
-        for _, shard, part in self.backoffs.deal(contexts.astype(np.uint64)):
+        for _, shard, part in self.deal(contexts.astype(np.uint64)):
             keys = contexts[part].astype(np.uint64) - np.uint64(shard.meta["first"])
             n = np.full(len(keys), shard.meta["n"], dtype=np.int64)
             at, hit = shard.arrays["context"].successor(keys, np.zeros_like(n), n)
@@ -302,6 +328,32 @@ class Trie:
             out[part] = weight
         return out
 
+
+def _find(level: Children, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares and numbers of keys in any order; 0 and -1 for the key -1."""
+    distinct, of = np.unique(keys, return_inverse=True)
+    share, number, known = np.zeros(len(distinct)), np.full(len(distinct), -1, dtype=np.int64), distinct >= 0
+    share[known], number[known] = level.find(distinct[known])
+    return share[of], number[of]
+
+
+def _triples(words: Words, chain: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each token of a chain, given the number of its pair: the number of the pair before it and the key of the triple;
+    -1 where one is unknown, and for the first token of a text."""
+    inside = np.concatenate([[False], chain[:-1] != words.end])
+    context = np.where(inside, np.concatenate([[-1], numbers[:-1]]), -1)
+    return context, np.where((context >= 0) & (chain >= 0), context * (words.end + 1) + chain, -1)
+
+
+class Trie:
+    """The whole model as a scoring task sees it; the last two levels are those of triples."""
+
+    def __init__(self, words: str, levels: tuple[str, ...], ends: int, settings: Settings) -> None:
+        self.words = Words(words, ends, settings)
+        width = self.words.end + 1
+        self.children = [Children(p, width) for p in levels[::2]]
+        self.backoffs = [Backoffs(p) for p in levels[1::2]]
+
     def score(self, texts: list[str | None]) -> pd.DataFrame:
         """Token counts and log10 probabilities of texts."""
         chain, lengths = self.words.chain(texts)
@@ -309,20 +361,18 @@ class Trie:
         numbers, back = np.unique(chain, return_inverse=True)
         counts = self.words.counts(numbers)[back]
         alone = self.words.probability(counts)
-        keys, of = np.unique(self.words.pairs(chain), return_inverse=True)
-        stored = keys >= 0
-        share = np.zeros(len(keys))
-        share[stored] = self.share(keys[stored])
-        contexts, which = np.unique(before, return_inverse=True)
-        weight = np.ones(len(contexts))
-        weight[contexts >= 0] = self.backoff(contexts[contexts >= 0])
+        share, pair = _find(self.children[0], self.words.pairs(chain))
+        whole = share + self.backoffs[0].weights(before) * alone
+        if len(self.children) > 1:
+            context, keys = _triples(self.words, chain, pair)
+            whole = _find(self.children[1], keys)[0] + self.backoffs[1].weights(context) * whole
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         return pd.DataFrame(
             {
                 "n_tokens": lengths,
                 "n_known": np.add.reduceat((counts > 0).astype(np.int64), starts),
                 "base_score": np.add.reduceat(np.log10(alone), starts),
-                "score": np.add.reduceat(np.log10(share[of] + weight[which] * alone), starts),
+                "score": np.add.reduceat(np.log10(whole), starts),
             }
         )
 
@@ -333,8 +383,13 @@ def _words(path: str, ends: int, settings: Settings) -> Words:
 
 
 @lru_cache(maxsize=1)
-def _trie(words: str, children: str, backoffs: str, ends: int, settings: Settings) -> Trie:
-    return Trie(words, children, backoffs, ends, settings)
+def _children(path: str, width: int) -> Children:
+    return Children(path, width)
+
+
+@lru_cache(maxsize=1)
+def _trie(words: str, levels: tuple[str, ...], ends: int, settings: Settings) -> Trie:
+    return Trie(words, levels, ends, settings)
 
 
 def _chunks(texts: list[str | None], characters: int = 1_000_000) -> Iterator[list[str | None]]:
@@ -355,9 +410,10 @@ def _chunks(texts: list[str | None], characters: int = 1_000_000) -> Iterator[li
 
 @dataclass(frozen=True)
 class Model:
+    """``levels``: children and backoffs of pairs, and with order three those of triples."""
+
     words: str
-    children: str
-    backoffs: str
+    levels: tuple[str, ...]
     ends: int
     tokens: int
     settings: Settings
@@ -401,14 +457,19 @@ def train(texts: DataFrame, settings: Settings = Settings()) -> Model:
     parts = -(-size["words"] // settings.words_per_shard)
     write_level(_sorted_ranges(counted, "key", parts).mapInPandas(_word_files, "file binary"), words)
     here = published(spark, words)
-    pairs = written(_pairs(texts.select(text.alias("text")), here, ends, tokens, settings), "lm-pairs")
-    children, backoffs = _child_levels(spark, pairs, here, ends, size["words"] + 1, settings)
-    return Model(here, published(spark, children), published(spark, backoffs), ends, tokens, settings)
+    only, levels, width = texts.select(text.alias("text")), (), size["words"] + 1
+    for _ in range(settings.order - 1):
+        grams = written(_grams(only, here, levels[:1], ends, tokens, settings), "lm-grams")
+        made = _child_levels(spark, grams, here, levels[:1], ends, width, settings)
+        levels += tuple(published(spark, path) for path in made)
+    return Model(here, levels, ends, tokens, settings)
 
 
-def _pairs(texts: DataFrame, words: str, ends: int, tokens: int, settings: Settings) -> DataFrame:
-    """``key`` and ``n`` of the pairs seen ``min_count`` times. Tasks send sorted, packed blocks of what they have counted,
-    dealt by a hash of the pair, so no context meets in one task."""
+def _grams(
+    texts: DataFrame, words: str, pairs: tuple[str, ...], ends: int, tokens: int, settings: Settings
+) -> DataFrame:
+    """``key`` and ``n`` of the pairs, or of the triples if the level of pairs is given, seen ``min_count`` times. Tasks
+    send sorted, packed blocks of what they have counted, dealt by a hash of the key, so no context meets in one task."""
     shards = max(1, -(-tokens // settings.pairs_per_shard))
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -430,7 +491,10 @@ def _pairs(texts: DataFrame, words: str, ends: int, tokens: int, settings: Setti
 
         for batch in batches:
             for part in _chunks(batch["text"].tolist()):
-                keys = own.pairs(own.chain(part)[0])
+                chain = own.chain(part)[0]
+                keys = own.pairs(chain)
+                if pairs:
+                    keys = _triples(own, chain, _find(_children(*pairs, own.end + 1), keys)[1])[1]
                 waiting.append(keys[keys >= 0])
                 size += len(waiting[-1])
                 if size >= 3_000_000:
@@ -477,12 +541,21 @@ def _unpack_ascending(raw: bytes) -> np.ndarray:
 
 
 def _child_levels(
-    spark: SparkSession, pairs: DataFrame, words: str, ends: int, width: int, settings: Settings
+    spark: SparkSession,
+    grams: DataFrame,
+    words: str,
+    pairs: tuple[str, ...],
+    ends: int,
+    width: int,
+    settings: Settings,
 ) -> tuple[str, str]:
-    """The files of the child and the backoff level. Both are cut into ranges of keys, so a context with many children
+    """The files of the child and the backoff level of pairs, or of triples if the level of pairs is given. Both are cut into ranges of keys, so a context with many children
     may lie in several files."""
     discount = settings.discount
 
+    def totals(contexts: np.ndarray) -> np.ndarray:
+        return _children(*pairs, width).counts(contexts) if pairs else _words(words, ends, settings).counts(contexts)
+
     def child_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = _whole(batches)
         if rows is None:
@@ -494,7 +567,7 @@ def _child_levels(
         # Each context's words go on from the last value of the context before.
         lasts = np.cumsum(word[np.append(begins[1:], len(keys)) - 1])
         child = word + np.repeat(np.concatenate([[0], lasts[:-1]]), sizes)
-        total = np.repeat(_words(words, ends, settings).counts(context[begins]), sizes)
+        total = np.repeat(totals(context[begins]), sizes)
         share = _quantise(np.log10((n - discount) / total))
         parts = {
             "context": EliasFano.build((context[begins] - context[0]).astype(np.uint64)),
@@ -502,6 +575,8 @@ def _child_levels(
             "child": EliasFano.build(child.astype(np.uint64)),
             "share": share,
         }
+        if not pairs and settings.order > 2:  # what the triples after a pair are shares of
+            parts["count"] = n.astype(np.uint32 if n.max() < 1 << 32 else np.uint64)
         meta = {"first": int(keys[0]), "first_context": int(context[0]), "n": len(keys)}
         yield pd.DataFrame({"file": [pack(meta, parts)]})
 
@@ -510,17 +585,17 @@ def _child_levels(
         if rows is None:
             return
         context = rows["context"].to_numpy()
-        total = _words(words, ends, settings).counts(context)
+        total = totals(context)
         weight = np.maximum(1.0 - rows["kept"].to_numpy() / total, 1e-9)
         parts = {"context": EliasFano.build((context - context[0]).astype(np.uint64)), "weight": _quantise(np.log10(weight))}
         yield pd.DataFrame({"file": [pack({"first": int(context[0]), "n": len(context)}, parts)]})
 
     children, backoffs = scratch_dir(spark, "lm-children"), scratch_dir(spark, "lm-backoffs")
     write_level(
-        _sorted_ranges(pairs, "key", -(-pairs.count() // settings.words_per_shard)).mapInPandas(child_files, "file binary"),
+        _sorted_ranges(grams, "key", -(-grams.count() // settings.words_per_shard)).mapInPandas(child_files, "file binary"),
         children,
     )
-    kept = pairs.groupBy(F.expr(f"key div {width}").alias("context")).agg(F.sum(F.col("n") - F.lit(discount)).alias("kept"))
+    kept = grams.groupBy(F.expr(f"key div {width}").alias("context")).agg(F.sum(F.col("n") - F.lit(discount)).alias("kept"))
     kept = written(kept, "lm-kept")
     write_level(
         _sorted_ranges(kept, "context", -(-kept.count() // settings.words_per_shard)).mapInPandas(backoff_files, "file binary"),
@@ -537,7 +612,7 @@ def held_out(id_column: Column, folds: int = 10, fold: int = 0) -> Column:
 def with_scores(docs: DataFrame, model: Model) -> DataFrame:
     """``id`` and ``text`` scored whole: ``id``, ``n_tokens``, ``n_known``, ``base_score``, ``score``. Row-local; tasks map
     the model's files and hold one slice of a batch. A null or empty text is one end."""
-    levels = (model.words, model.children, model.backoffs, model.ends, model.settings)
+    levels = (model.words, model.levels, model.ends, model.settings)
     kind = docs.schema["id"].dataType.simpleString()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -9,6 +9,7 @@ from millrace.llm import oracles
 from millrace.llm.chat import chat_report, format_chat
 from millrace.llm.cotrain import quality_scores
 from millrace.llm.decontaminate import contamination
+from millrace.llm.lm import Settings as LmSettings
 from millrace.llm.lm import score_report
 from millrace.llm.mixing import mix_plan
 from millrace.llm.neardup import near_duplicates
@@ -49,7 +50,7 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_lm_scores")
 def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_report(table(spark, sf_dir, "documents"))
+    return score_report(table(spark, sf_dir, "documents"), settings=LmSettings(order=3))
 
 
 @query("op6_arc_to_warc", oracles.ARC_TO_WARC)
