@@ -190,6 +190,15 @@ def failing(rules: tuple[Rule, ...], prefix: str) -> Column:
     return F.filter(F.array(*broken), lambda x: x.isNotNull()) if broken else F.array().cast("array<string>")
 
 
+def _pinned(counted: DataFrame, prefix: str) -> DataFrame:
+    """``counted`` with its counts behind a projection Spark does not push conditions through. A condition on a count
+    would otherwise be rewritten into the expressions of the count, many times over."""
+    packed = F.struct(*[F.col(f"`{prefix}{n}`").alias(n) for n in COUNTS])
+    # A row number is never negative, and never known to the optimizer.
+    held = counted.select("id", F.when(F.monotonically_increasing_id() >= 0, packed).alias("counts"))
+    return held.select("id", *[F.col(f"counts.{n}").alias(f"{prefix}{n}") for n in COUNTS])
+
+
 def quality_report(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
@@ -200,7 +209,7 @@ def quality_report(
     """
     p = "q_"
     only = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    counted = with_counts(only, "text", p)
+    counted = _pinned(with_counts(only, "text", p), p)
     base, rest = failing(BASE_RULES, p), failing(rules, p)
     return counted.select(
         F.col("id").alias(id_col),
