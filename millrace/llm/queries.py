@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import oracles
+from millrace.llm.align import alignments, byte_fallback, with_links
 from millrace.llm.chat import chat_report, format_chat
 from millrace.llm.cotrain import quality_scores
 from millrace.llm.decontaminate import contamination
@@ -94,3 +95,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality_report(table(spark, sf_dir, "documents"))
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return report.select("doc_id", *columns, "base_failed", "kept")
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    aligned = alignments(table(spark, sf_dir, "documents"), *paths)
+    # The digest of a text's groups is all this report keeps of them.
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    width = len(byte_fallback(paths[1]).pieces)
+    linked = with_links(aligned.withColumn("groups_sha256", digest).drop("groups"), width)
+    return linked.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
