@@ -14,7 +14,9 @@ from millrace.llm.lm import Settings as LmSettings
 from millrace.llm.lm import score_report
 from millrace.llm.mixing import mix_plan
 from millrace.llm.neardup import near_duplicates
+from millrace.llm.packing import packed_pieces
 from millrace.llm.quality import quality_report
+from millrace.llm.repair import repair_report
 from millrace.llm.tokens import token_report
 from millrace.llm.toxicity import Settings, held_out, learning_rows, train, with_score
 from millrace.llm.warc import arc_archives, convert_arc, read_warc, with_revisits, write_warc
@@ -108,3 +110,38 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     width = len(byte_fallback(paths[1]).pieces)
     linked = with_links(aligned.withColumn("groups_sha256", digest).drop("groups"), width)
     return linked.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query("op12_repair_conversations")
+def op12_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows are damaged by a hash of their conversation and turn, then repaired."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    named = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in turns.columns}
+    damage = F.crc32(F.concat(named["conv_id"], F.lit(":"), named["turn"]).cast("binary")) % 20
+    text = F.when(damage == 1, "").when(damage == 2, F.regexp_replace(named["text"], "[.!?]", "")).otherwise(named["text"])
+    rows = turns.where(damage != 0).select(
+        "conv_id",
+        "turn",
+        F.when(damage == 4, "user").otherwise(named["role"]).alias("role"),
+        text.alias("text"),
+        F.explode(F.when(damage == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    )
+    report = repair_report(rows).withColumnRenamed("conv_id", "repaired")
+    every = turns.select("conv_id").distinct()
+    joined = every.join(report, F.col("conv_id").eqNullSafe(F.col("repaired")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        "conv_id",
+        *[F.coalesce(F.col(n), F.lit(0).cast("long")).alias(n) for n in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
+
+
+@query("op13_pack_sequences")
+def op13_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packed_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    digest = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", digest, "doc_tokens", "sequence_id", "offset")
