@@ -26,14 +26,14 @@ _PLACE = "__place"
 _COUNT = "__count"
 
 
-def _kind_order() -> Column:
+def kind_order() -> Column:
     """Order of kinds that share a sequence number: a delete comes before the row that replaces it."""
     return (
         F.when(F.col(KIND) == UPDATE_BEFORE, 0).when(F.col(KIND) == DELETE, 1).when(F.col(KIND) == INSERT, 2).otherwise(3)
     )
 
 
-def _known_kinds(changes: DataFrame) -> DataFrame:
+def known_kinds(changes: DataFrame) -> DataFrame:
     """A row without a kind is an error, not a row to leave out."""
     message = F.lit(f"a change has no {KIND}")
     return changes.withColumn(KIND, F.when(F.col(KIND).isNull(), F.raise_error(message)).otherwise(F.col(KIND)))
@@ -48,8 +48,8 @@ def latest_changes(changes: DataFrame, *, keys: Sequence[str], order_by: str | S
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     require_columns(changes, [*keys, *order, KIND], "latest_changes")
     newest_first = [F.col(quoted(name)).desc() for name in order]
-    place = Window.partitionBy(*[F.col(quoted(key)) for key in keys]).orderBy(*newest_first, _kind_order().desc())
-    ranked = _known_kinds(changes).where(F.col(KIND) != UPDATE_BEFORE).withColumn(_PLACE, F.row_number().over(place))
+    place = Window.partitionBy(*[F.col(quoted(key)) for key in keys]).orderBy(*newest_first, kind_order().desc())
+    ranked = known_kinds(changes).where(F.col(KIND) != UPDATE_BEFORE).withColumn(_PLACE, F.row_number().over(place))
     return ranked.where(F.col(_PLACE) == 1).drop(_PLACE)
 
 
@@ -72,7 +72,7 @@ def fold_retractions(changes: DataFrame) -> DataFrame:
     """
     columns = payload_columns(changes)
     sign = F.when(F.col(KIND).isin(INSERT, UPDATE_AFTER), F.lit(1)).otherwise(F.lit(-1))
-    counted = _known_kinds(changes).groupBy(*[F.col(quoted(name)) for name in columns]).agg(F.sum(sign).alias(_COUNT))
+    counted = known_kinds(changes).groupBy(*[F.col(quoted(name)) for name in columns]).agg(F.sum(sign).alias(_COUNT))
     short = F.raise_error(F.lit("a row is retracted more often than it was added"))
     counted = counted.withColumn(_COUNT, F.when(F.col(_COUNT) < 0, short).otherwise(F.col(_COUNT)))
     calls = F.ceil(F.col(_COUNT) / _COPIES_PER_CALL).cast("int")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from millrace.envelope import EVENT_MS, KIND, SEQ, TABLE, TableSet
 from millrace.operators import changelog, evolve, messages
@@ -11,6 +11,8 @@ from millrace.session import scratch_dir
 from millrace.sinks.files import write_files
 from millrace.sinks.keyed import KeyedTable
 from millrace.streaming.evolution import EvolvingTable, event_message
+from millrace.streaming.fold import stream_fold
+from millrace.streaming.handover import drain, scan_snapshot_then_changes
 from millrace.streaming.metrics import job_counts
 from millrace.streaming.scan import scan_stream
 from millrace.streaming.sinks import (
@@ -346,6 +348,127 @@ def stream_late_changes(spark, sf):
     return keyed.read()
 
 
+@query(
+    "stream_fold_changelog",
+    APPLIED_SQL[: APPLIED_SQL.index("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")]
+    + "SELECT l_orderkey AS o_orderkey, status AS o_orderstatus, price AS o_totalprice FROM last WHERE flag <> 'R'",
+)
+def stream_fold_changelog(spark, sf):
+    """Changes folded by keyed state inside the stream: the newest arrive first and the oldest last, with a restart after
+    each part, so late changes and late deletes meet what is remembered."""
+    source, out, checkpoint = (scratch_dir(spark, x) for x in ("changes", "folded", "checkpoint"))
+    changes, line = lineitem_changes(spark, sf), F.floor(F.col(SEQ) / 100_000_000_000_000)
+    for part in (line >= 5, line.between(3, 4), line <= 2):
+        changes.where(part).write.mode("append").parquet(source)
+        run_to_end(stream_fold(scan_stream(spark, source, schema=changes.schema), out, checkpoint, keys=["o_orderkey"]))
+    return changelog.fold_changelog(spark.read.schema(changes.schema).parquet(out), keys=["o_orderkey"])
+
+
+def _customer_log(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """A snapshot of the customers and changes of two segments: one is updated, the other deleted."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    changes = customers.where("c_mktsegment IN ('BUILDING', 'MACHINERY')").select(
+        "c_custkey",
+        "c_name",
+        F.expr("if(c_mktsegment = 'MACHINERY', c_acctbal + 1, c_acctbal)").alias("c_acctbal"),
+        F.expr("if(c_mktsegment = 'MACHINERY', '+U', '-D')").alias(KIND),
+        (F.col("c_custkey") + 1).cast("bigint").alias(SEQ),
+        (F.col("c_custkey") * 1000).cast("bigint").alias(EVENT_MS),
+    )
+    return customers.drop("c_mktsegment"), changes
+
+
+@query(
+    "stream_snapshot_handover",
+    """SELECT c_custkey, c_name, CASE c_mktsegment WHEN 'MACHINERY' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal
+       FROM customer WHERE c_mktsegment <> 'BUILDING'""",
+)
+def stream_snapshot_handover(spark, sf):
+    """One stream for snapshot and changes into a keyed table. It is killed when the first batch of changes comes, started
+    again, and once more after further changes have been written."""
+    snapshot, changes = _customer_log(spark, sf)
+    snapshot_path, changes_path, checkpoint = (scratch_dir(spark, x) for x in ("snapshot", "changes", "checkpoint"))
+    keyed = KeyedTable(spark, scratch_dir(spark, "keyed"), keys=["c_custkey"], schema=snapshot.schema)
+    snapshot.write.parquet(snapshot_path)
+    middle = changes.agg(F.percentile_approx(SEQ, 0.5)).first()[0]
+    changes.where(F.col(SEQ) <= middle).write.parquet(changes_path)
+    killed = []
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        if not killed and not batch.where(F.col(SEQ) > 0).isEmpty():
+            killed.append(batch_id)
+            raise RuntimeError("killed between the snapshot and the changes")
+        keyed.apply(batch, batch_id)
+
+    def run() -> None:
+        stream = scan_snapshot_then_changes(spark, snapshot_path, changes_path, schema=snapshot.schema)
+        drain(stream.writeStream.foreachBatch(take), checkpoint)
+
+    try:
+        run()
+    except Exception:
+        if not killed:
+            raise
+    run()
+    changes.where(F.col(SEQ) > middle).write.mode("append").parquet(changes_path)
+    run()
+    return keyed.read()
+
+
+@query(
+    "stream_rows_limited",
+    """SELECT 'snapshot' AS phase, count(*) AS n_rows, true AS within_limit, true AS in_order FROM customer
+       UNION ALL SELECT 'changes', count(*) FILTER (c_mktsegment IN ('BUILDING', 'MACHINERY')), true, true FROM customer""",
+)
+def stream_rows_limited(spark, sf):
+    """A rate in rows: no batch of either phase holds more than a seventh of the rows, and no batch of changes begins before
+    the one before it ends."""
+    snapshot, changes = _customer_log(spark, sf)
+    paths = [scratch_dir(spark, x) for x in ("snapshot", "changes", "batches")]
+    for df, path in ((snapshot, paths[0]), (changes, paths[1])):
+        df.write.parquet(path)
+    limit = snapshot.count() // 7 + 1
+    stream = scan_snapshot_then_changes(spark, *paths[:2], schema=snapshot.schema, rows_per_batch=limit)
+
+    def note(batch: DataFrame, batch_id: int) -> None:
+        sizes = batch.agg(F.count(F.lit(1)).alias("n"), F.min(SEQ).alias("low"), F.max(SEQ).alias("high"))
+        sizes.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{paths[2]}/{batch_id}")
+
+    drain(stream.writeStream.foreachBatch(note), scratch_dir(spark, "checkpoint"))
+    noted = spark.read.schema("n bigint, low bigint, high bigint, batch int").option("recursiveFileLookup", "true").parquet(paths[2])
+    before = F.lag("high").over(Window.partitionBy(F.col("high") > 0).orderBy("batch"))
+    marked = noted.where("n > 0").withColumn("after", F.coalesce((F.col("high") == 0) | (F.col("low") > before), F.lit(True)))
+    return marked.groupBy(F.when(F.col("high") == 0, "snapshot").otherwise("changes").alias("phase")).agg(
+        F.sum("n").alias("n_rows"), (F.max("n") <= limit).alias("within_limit"), F.every("after").alias("in_order")
+    )
+
+
+@query(
+    "keyed_table_levels",
+    """WITH n AS (SELECT count(*) AS n FROM orders)
+       SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 10 < 6 THEN o_totalprice + (o_orderkey % 10) ELSE o_totalprice END AS o_totalprice
+       FROM orders WHERE o_orderkey % 10 <> 9""",
+)
+def keyed_table_levels(spark, sf):
+    """Batches of changes that merge through several levels of small pieces: every batch changes the orders of one digit
+    and those of all later ones, the last deletes some, and a replay of an earlier batch changes nothing."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    keyed = KeyedTable(
+        spark, scratch_dir(spark, "keyed"), keys=["o_orderkey"], schema=orders.schema, fan=2, piece_bytes=64 << 10, retention_seconds=0
+    )
+    keyed.load(orders)
+    digit = F.col("o_orderkey") % 10
+    for batch in range(6):
+        part = orders.where(digit.between(batch, 5)).withColumns(
+            {"o_totalprice": F.col("o_totalprice") + batch, KIND: F.lit("+U"), SEQ: F.lit(batch + 1).cast("bigint")}
+        )
+        keyed.apply(part, batch)
+    gone = orders.where(digit == 9).withColumns({KIND: F.lit("-D"), SEQ: F.lit(9).cast("bigint")})
+    keyed.apply(gone, 6)
+    keyed.apply(gone.withColumn(KIND, F.lit("+U")), 2)
+    return keyed.read()
+
+
 @query(
     "evolve_schema",
     """SELECT c_custkey AS id, CAST(c_nationkey AS BIGINT) AS c_nationkey, 'yy' AS add_column1, 1.5::DOUBLE AS add_column3,
