@@ -12,16 +12,17 @@ only where its counted rows are few; beyond that Spark shuffles and, where a pai
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.bytelevel import byte_level_encoder, byte_letters
 from millrace.llm.text import unused
 from millrace.session import written
 
@@ -41,32 +42,18 @@ class Tokens:
     pieces: list[bytes]
 
 
-def byte_letters() -> dict[str, int]:
-    """The printable letters that byte-level vocabularies write for the 256 bytes: a printable Latin-1 byte is its own
-    letter, the others take the letters from 256 on, in order."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 @lru_cache(maxsize=2)
 def byte_level(path: str) -> Tokens:
     """A byte-level vocabulary (``.json``). It encodes a blank and the text; special strings are ordinary text."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    letters = byte_letters()
-    pieces = [b""] * tokenizer.get_vocab_size()
-    for entry, i in tokenizer.get_vocab().items():
+    entries, letters = Tokenizer.from_file(path).get_vocab(), byte_letters()
+    pieces = [b""] * (max(entries.values()) + 1)
+    for entry, i in entries.items():
         plain = all(c in letters for c in entry)
         pieces[i] = bytes(letters[c] for c in entry) if plain else entry.encode()
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
-
-    return Tokens(encode, pieces)
+    encode = byte_level_encoder(path, specials=False)
+    return Tokens(lambda texts: encode([f" {t}" for t in texts]), pieces)
 
 
 @lru_cache(maxsize=2)
@@ -135,7 +122,7 @@ class Aligner:
         ids, docs, starts, ends = [], [], [], []
         for side, lengths in zip((a, b), self.lengths):
             count = np.array([len(x) for x in side], dtype=np.int64)
-            own = np.fromiter((i for x in side for i in x), dtype=np.int64, count=int(count.sum()))
+            own = np.fromiter(chain.from_iterable(side), dtype=np.int64, count=int(count.sum()))
             end = np.cumsum(lengths[own])
             ids.append(own), docs.append(np.repeat(np.arange(n), count)), starts.append(end - lengths[own]), ends.append(end)
         n_a, n_b = (np.bincount(d, minlength=n) for d in docs)
