@@ -177,8 +177,10 @@ def pack_bits(flags: Column) -> Column:
 DISTANCES = {"L2": l2_distance, "IP": inner_product, "COSINE": cosine_distance}
 
 
-def _scores(queries: np.ndarray, block: np.ndarray, metric: str) -> np.ndarray:
+def _scores(queries: np.ndarray, block: np.ndarray, metric: str, k: int) -> np.ndarray:
     """Smaller is nearer for every metric; a vector without length has no cosine distance (NaN)."""
+    if metric == "L2":
+        return _l2_scores(queries, block, k)
     dots = queries @ block.T
     if metric == "IP":
         return -dots
@@ -186,8 +188,30 @@ def _scores(queries: np.ndarray, block: np.ndarray, metric: str) -> np.ndarray:
         norms = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(block, axis=1)[None, :]
         with np.errstate(invalid="ignore", divide="ignore"):
             return np.where(norms > 0, 1.0 - dots / norms, np.nan)
-    squares = (queries**2).sum(1)[:, None] + (block**2).sum(1)[None, :] - 2.0 * dots
-    return np.sqrt(np.maximum(squares, 0.0))
+    raise ValueError(f"unknown metric {metric!r}")
+
+
+# Pairs whose differences are taken at once.
+_EXACT_PAIRS = 65_536
+
+
+def _l2_scores(queries: np.ndarray, block: np.ndarray, k: int) -> np.ndarray:
+    """Distances of the pairs that can be among the nearest ``k`` of their query, infinity for the others.
+
+    Squared norms less twice the product are fast but cancel: they only preselect, with a bound on their rounding error.
+    The survivors' distances are those of the differences."""
+    norms = (queries**2).sum(1)[:, None] + (block**2).sum(1)[None, :]
+    squares = norms - 2.0 * (queries @ block.T)
+    error = 4 * np.finfo(np.float64).eps * (queries.shape[1] + 2) * norms
+    keep = min(k, block.shape[0])
+    worst = np.partition(squares + error, keep - 1, axis=1)[:, keep - 1 : keep]
+    # Numbers whose squares are no finite numbers tell nothing: those pairs are all taken.
+    q, c = np.nonzero(~(squares - error > worst))
+    out = np.full(squares.shape, np.inf)
+    for at in range(0, len(q), _EXACT_PAIRS):
+        part = slice(at, at + _EXACT_PAIRS)
+        out[q[part], c[part]] = np.sqrt(((queries[q[part]] - block[c[part]]) ** 2).sum(1))
+    return out
 
 
 # Rows of a packed block: a block of scores is the square of it in doubles, 8 MB.
@@ -204,7 +228,10 @@ def _packed(df: DataFrame, id_col: str, prefix: str, block_rows: int) -> DataFra
                 sizes = pc.list_value_length(part.column(1)).to_numpy(zero_copy_only=False)
                 if (sizes != sizes[0]).any():
                     raise ValueError("vectors of different lengths have no distance")
-                numbers = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                flat = part.column(1).flatten()
+                if flat.null_count or part.column(0).null_count:
+                    raise ValueError("a vector with a NULL element, or without an id, has no distance")
+                numbers = flat.to_numpy(zero_copy_only=False).astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([int(sizes[0])], pa.int32()),
@@ -233,6 +260,13 @@ def _nearest(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, n
     return best, near
 
 
+def refuse_repeated(queries: DataFrame) -> None:
+    """Queries are told apart by their ids."""
+    again = queries.where("vector is not null").groupBy("query_id").count().where("count > 1").first()
+    if again is not None:
+        raise ValueError(f"query id {again.query_id} is given {again['count']} times")
+
+
 def vector_topk(
     queries: DataFrame, corpus: DataFrame, *, metric: str = "L2", k: int = 10, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -242,9 +276,10 @@ def vector_topk(
     ``vec_id``. A stated set of queries meets the whole corpus in packed blocks: Spark sends the query blocks to the
     tasks when they are below its broadcast limit, else it pairs partitions of blocks. A task keeps a running best ``k``
     of each query it has met and sends no more than that; a block of scores is the most it computes at once. Vectors
-    without length have no cosine distance and are left out.
+    without length have no cosine distance and are left out. Two queries of one id, and vectors with NULL elements, raise.
     """
     single_choice({"metric": metric}, "metric", DISTANCES)
+    refuse_repeated(queries)
     # Written, so that their size is known and no pair of blocks packs them again.
     asked = written(_packed(queries, "query_id", "query", block_rows), "topk-queries")
     blocks = _packed(corpus, "vec_id", "corpus", block_rows)
@@ -257,7 +292,7 @@ def vector_topk(
                 if q_length != c_length:
                     raise ValueError("vectors of different lengths have no distance")
                 matrix = np.frombuffer(q_numbers, np.float64).reshape(-1, q_length)
-                scores = _scores(matrix, np.frombuffer(c_numbers, np.float64).reshape(-1, c_length), metric)
+                scores = _scores(matrix, np.frombuffer(c_numbers, np.float64).reshape(-1, c_length), metric, k)
                 ids = np.broadcast_to(np.frombuffer(c_ids, np.int64), scores.shape)
                 key = (q_ids, q_numbers)
                 if key in running:

@@ -13,7 +13,8 @@ from millrace.envelope import envelope_columns, quoted
 
 # Views have session-wide names: two threads of one session must not analyse at the same time.
 _VIEWS = threading.Lock()
-_SELECT = re.compile(r"\bselect\s", re.IGNORECASE)
+_COMMENT = re.compile(r"\s+|--[^\n]*(?:\n|\Z)")
+_SELECT = re.compile(r"select\b", re.IGNORECASE)
 
 
 def register_functions(spark, functions: Mapping[str, Callable]) -> None:
@@ -33,6 +34,31 @@ def _analysed(spark, query: str, args: Mapping[str, object] | None) -> DataFrame
         raise QueryError(f"{error.getCondition() or 'query error'} in {query!r}: {error}") from error
 
 
+def _start(query: str) -> int:
+    """Where a query begins, behind blanks and comments; bracketed comments may be nested."""
+    at = 0
+    while True:
+        blank = _COMMENT.match(query, at)
+        if blank:
+            at = blank.end()
+        elif query.startswith("/*", at):
+            depth, at = 1, at + 2
+            while depth and at < len(query):
+                opens, closes = query.startswith("/*", at), query.startswith("*/", at)
+                depth += opens - closes
+                at += 2 if opens or closes else 1
+        else:
+            return at
+
+
+def _carrying(query: str, columns: list[str]) -> str:
+    """A plain SELECT with more columns in front of its list."""
+    found = _SELECT.match(query, _start(query))
+    if not found:
+        raise QueryError(f"carry_envelope needs a query that begins with SELECT: {query!r}")
+    return f"{query[: found.end()]} {', '.join(quoted(name) for name in columns)}, {query[found.end() :]}"
+
+
 def _single_select(result: DataFrame) -> None:
     """Raise unless a query is one SELECT whose rows are input rows: elsewhere a row has no envelope of its own."""
     plan = result._jdf.queryExecution().analyzed()
@@ -73,8 +99,7 @@ def sql(
                 missing = [name for name in envelope_columns(df) if name not in result.columns]
                 if missing:
                     _single_select(result)
-                    carried = _SELECT.sub(f"SELECT {', '.join(missing)}, ", query, count=1)
-                    wide = _analysed(spark, carried, args)
+                    wide = _analysed(spark, _carrying(query, missing), args)
                     result = wide.select(*[F.col(quoted(name)) for name in result.columns + missing])
         finally:
             for name in names:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from millrace.envelope import TablePath, TableSet, payload_columns, quoted, require_columns
 from millrace.options import require, single_choice
 from millrace.schema import spark_type
+from millrace.session import scratch_dir
 
 # Fixed value: the address form the built-in EMAIL check accepts (local part and domain lengths are checked apart).
 EMAIL_PATTERN = r"^[a-zA-Z0-9_+&*-]+(?:\.[a-zA-Z0-9_+&*-]+)*@(?:[a-zA-Z0-9-]+\.)+[a-zA-Z]{2,7}$"
@@ -165,22 +166,55 @@ def validate_route(
     functions: Mapping[str, Callable[[Column], Column]] | None = None,
     fail_fast: bool = False,
     create_time: Column | None = None,
+    read_once: bool = False,
 ) -> Validated:
-    """ROUTE_TO_TABLE: valid rows keep their schema, each rejected row becomes one row of the fixed error table."""
+    """ROUTE_TO_TABLE: valid rows keep their schema, each rejected row becomes one row of the fixed error table.
+
+    The two are filters of one input, each of which reads it. With ``read_once`` it is judged in one pass, here and now, and
+    written by route to the scratch folder, from which both are read. For streams see :func:`route_each`."""
     path = TablePath.parse(table) if isinstance(table, str) else table
     rules = _rules(df, field_rules, functions)
     valid = _valid(rules)
     original = F.to_json(F.struct(*[F.col(quoted(n)) for n in payload_columns(df)]), {"ignoreNullFields": "false"})
     stamp = F.current_timestamp().cast("timestamp_ntz") if create_time is None else create_time
     # The messages are made for the rejected rows only.
-    rejected = df.where(~F.coalesce(valid, F.lit(False))).select(
+    error = [
         F.lit(str(path)).alias("source_table_id"),
         F.lit(str(path)).alias("source_table_path"),
         original.alias("original_data"),
         F.to_json(_errors(rules, fail_fast)).alias("validation_errors"),
         stamp.alias("create_time"),
+    ]
+    passes = F.coalesce(valid, F.lit(False))
+    if read_once:
+        return _routed_once(df, passes, F.struct(*error))
+    return Validated(df.where(valid), df.where(~passes).select(*error))
+
+
+def _routed_once(df: DataFrame, passes: Column, error: Column) -> Validated:
+    marked = df.select(
+        F.when(passes, F.struct(*[F.col(quoted(n)) for n in df.columns])).alias("row"),
+        F.when(~passes, error).alias("error"),
+        F.when(passes, "valid").otherwise("rejected").alias("route"),
     )
-    return Validated(df.where(valid), rejected)
+    path = scratch_dir(df.sparkSession, "routed")
+    marked.write.partitionBy("route").parquet(path)
+    stored = df.sparkSession.read.schema(marked.schema).parquet(path)
+    return Validated(stored.where("route = 'valid'").select("row.*"), stored.where("route = 'rejected'").select("error.*"))
+
+
+def route_each(
+    valid: Callable[[DataFrame, int], None], errors: Callable[[DataFrame, int], None], **options: Any
+) -> Callable[[DataFrame, int], None]:
+    """A handler of micro-batches that judges each batch once, by :func:`validate_route` with ``options``, and hands its
+    valid rows and its error rows on, with the batch's id. Both must accept the same id twice."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        routed = validate_route(batch, **options, read_once=True)
+        valid(routed.valid, batch_id)
+        errors(routed.errors, batch_id)
+
+    return handle
 
 
 def assert_table(

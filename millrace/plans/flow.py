@@ -7,7 +7,13 @@ output before it. One output may feed many entries. Building the DataFrames is l
 ``env`` may hold ``parallelism``, ``job.mode`` (``BATCH``, the default, or ``STREAMING``) and ``checkpoint.interval`` in
 milliseconds. A streaming job reads ``FileStream`` sources; its sinks need a ``checkpoint`` folder each. With an
 interval its queries run until they are stopped, without one they take what is there and end. ``DataValidator`` with
-``row_error_handle_way: ROUTE_TO_TABLE`` names its error rows by ``error_output``.
+``row_error_handle_way: ROUTE_TO_TABLE`` names its error rows by ``error_output``; with ``read_once`` its input is judged
+and written by route when the job is built, and both outputs read that.
+
+A dataset may be a set of tables: ``Tables`` (a list ``tables_configs``), ``CatalogTables`` (a ``pattern``) and
+``MessageTables`` (change messages of many tables, in both modes) give one. ``TableFilter``, ``TableRename`` and
+``TableMerge`` work on the set, any other transform on its tables (``table_match_regex``, ``table_transform``), and a sink
+writes each table with its placeholders (``${table_name}`` and others) filled in.
 """
 
 from __future__ import annotations
@@ -18,8 +24,11 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.envelope import TableSet
 from millrace.operators import fields, jsonpath, messages, models, rowkind, sql, validate
 from millrace.options import single_choice
+from millrace.plans import table_flows
+from millrace.plans.table_flows import StreamedTables
 from millrace.plans.variables import substitute
 from millrace.schema import schema_from_fields
 from millrace.sinks import files as file_sinks, payloads, tables as table_sinks
@@ -38,7 +47,11 @@ SOURCES: dict[str, Callable[..., DataFrame]] = {
     "Generate": generate.generate,
     "Rows": generate.literal_rows,
     "FileStream": _file_stream,
+    "Tables": tables.scan_many,
+    "CatalogTables": tables.scan_tables,
+    "MessageTables": table_flows.message_tables,
 }
+Dataset = DataFrame | TableSet | StreamedTables
 TRANSFORMS: dict[str, Callable[..., DataFrame]] = {
     "Copy": fields.copy_fields,
     "FieldMapper": fields.field_mapper,
@@ -104,7 +117,7 @@ def set_parallelism(df: DataFrame, n: int) -> DataFrame:
     return df.coalesce(n)
 
 
-def _inputs(entry: Mapping[str, Any], datasets: Mapping[str, DataFrame], last: DataFrame | None) -> DataFrame:
+def _inputs(entry: Mapping[str, Any], datasets: Mapping[str, Dataset], last: Dataset | None) -> Dataset:
     names = entry.get("plugin_input")
     if not names:
         if last is None:
@@ -116,12 +129,21 @@ def _inputs(entry: Mapping[str, Any], datasets: Mapping[str, DataFrame], last: D
         raise ValueError(f"{entry['plugin_name']}: no dataset named {unknown}")
     df = datasets[names[0]]
     for name in names[1:]:
+        if not isinstance(df, DataFrame) or not isinstance(datasets[name], DataFrame):
+            raise ValueError(f"{entry['plugin_name']}: sets of tables are not put together: {names}")
         df = df.unionByName(datasets[name])
     return df
 
 
-def _transformed(entry: Mapping[str, Any], df: DataFrame, datasets: dict[str, DataFrame]) -> DataFrame:
+def _transformed(entry: Mapping[str, Any], df: Dataset, datasets: dict[str, Dataset]) -> Dataset:
     options = _options(entry)
+    if entry["plugin_name"] in table_flows.TABLE_TRANSFORMS:
+        if isinstance(df, DataFrame):
+            raise ValueError(f"{entry['plugin_name']} takes a set of tables")
+        return table_flows.TABLE_TRANSFORMS[entry["plugin_name"]](df, **options)
+    if not isinstance(df, DataFrame):
+        transform = _find(TRANSFORMS, entry)
+        return table_flows.transform_tables(df, lambda own: lambda rows: transform(rows, **own), options)
     if entry["plugin_name"] == "DataValidator" and options.get("row_error_handle_way") == "ROUTE_TO_TABLE":
         del options["row_error_handle_way"]
         if "error_output" not in entry:
@@ -141,19 +163,20 @@ def _find(registry: Mapping[str, Callable], entry: Mapping[str, Any]) -> Callabl
 
 def build_flow(
     spark: SparkSession, spec: Mapping[str, Any], variables: Mapping[str, str] | None = None
-) -> tuple[dict[str, DataFrame], list[Callable[[], Any]]]:
+) -> tuple[dict[str, Dataset], list[Callable[[], Any]]]:
     """The named datasets and the (not yet run) sinks of a spec."""
     spec = substitute(spec, variables or {}, keep=frozenset(table_sinks.PLACEHOLDERS))
     env = spec.get("env") or {}
     parallelism, mode = env.get("parallelism"), str(env.get("job.mode", "BATCH")).upper()
     single_choice({"job.mode": mode}, "job.mode", JOB_MODES)
     interval = env.get("checkpoint.interval")
-    datasets: dict[str, DataFrame] = {}
-    last: DataFrame | None = None
+    datasets: dict[str, Dataset] = {}
+    last: Dataset | None = None
     for entry in spec.get("source", ()):
-        last = _find(SOURCES, entry)(spark, **_options(entry))
+        source, options = _find(SOURCES, entry), _options(entry)
+        last = source(spark, **options, streaming=mode == "STREAMING") if entry["plugin_name"] == "MessageTables" else source(spark, **options)
         wanted = entry.get("parallelism", parallelism)
-        if wanted:
+        if wanted and isinstance(last, DataFrame):
             last = set_parallelism(last, int(wanted))
         datasets[entry.get("plugin_output", f"source{len(datasets)}")] = last
     for entry in spec.get("transform", ()):
@@ -162,6 +185,15 @@ def build_flow(
     sinks = []
     for entry in spec.get("sink", ()):
         df, options = _inputs(entry, datasets, last), _options(entry)
+        if isinstance(df, StreamedTables):
+            if entry["plugin_name"] != "KeyedTable":
+                raise ValueError(f"{entry['plugin_name']}: streamed tables go into keyed tables")
+            sinks.append(lambda df=df, options=options: table_flows.start_keyed_tables(df, interval_ms=interval, **options))
+            continue
+        if isinstance(df, TableSet):
+            write = _find(SINKS, entry)
+            sinks.append(lambda df=df, write=write, options=options: table_flows.write_tables(df, write, options))
+            continue
         if df.isStreaming != (mode == "STREAMING"):
             raise ValueError(f"{entry['plugin_name']}: a {mode} job cannot write {'a stream' if df.isStreaming else 'a table'}")
         if df.isStreaming:
@@ -175,7 +207,7 @@ def build_flow(
 
 def run_flow(
     spark: SparkSession, spec: Mapping[str, Any], variables: Mapping[str, str] | None = None
-) -> dict[str, DataFrame]:
+) -> dict[str, Dataset]:
     """Build a spec, run its sinks in order and return the datasets. The queries of a streaming job run side by side;
     those without an interval are waited for."""
     datasets, sinks = build_flow(spark, spec, variables)

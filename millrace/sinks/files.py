@@ -95,7 +95,7 @@ def write_files(
 
     ``date_format`` and ``datetime_format`` are those of ``scan_file``; the default writes whole seconds, a pattern with
     ``SSSSSS`` keeps fractions. CSV quotes values with line breaks (``multi_line`` reads them); text files cannot hold a
-    delimiter or line break inside a value, so such a row is an error.
+    delimiter, line break or carriage return inside a value, so such a row is an error.
 
     A partition column leaves the file unless ``is_partition_field_write_in_file``; then the directory is named by a
     copy. An empty input still writes one file with the schema (delimited files need ``header`` for that). ``rebalance`` shuffles rows towards
@@ -112,7 +112,8 @@ def write_files(
     if rebalance:
         rows = rows.hint("rebalance", *directories)
     if fmt == "text":
-        rows = _plain_texts(rows, directories, field_delimiter or TEXT_DELIMITER, row_delimiter)
+        # A carriage return is no delimiter, but the writer puts such a value in quotes, of which there are none.
+        rows = _plain_texts(rows, directories, field_delimiter or TEXT_DELIMITER, row_delimiter, "\r", "\n")
     writer = rows.write.mode(mode).options(
         **_writer_options(fmt, field_delimiter, row_delimiter, header, null_format, date_format, datetime_format)
     )

@@ -32,11 +32,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from millrace.envelope import DELETE, INSERT, KIND, SEQ, quoted
 from millrace.operators.changelog import latest_changes
 from millrace.session import list_paths, written
-from millrace.storage import exists, modified_ms, read_text, remove, write_text
+from millrace.storage import CommitLog, modified_ms, read_text, remove, write_text
 
 _BATCH = "__batch"
 _RANGE = "__range"
-_KEPT_MANIFESTS = 16
 # Stretches of keys that a merge keeps apart; more would only make its expression longer.
 _MOST_RANGES = 64
 
@@ -193,21 +192,15 @@ class KeyedTable:
         self.order = [_BATCH, SEQ] if arrival_order else [SEQ, _BATCH]
         self.fan, self.piece_bytes, self.retention_seconds = fan, piece_bytes, retention_seconds
         self._measured = _measure(schema[self.keys[0]].dataType)
+        self.commits = CommitLog(spark, f"{self.path}/manifest")
 
     # -- the manifest
 
     def manifest(self) -> Manifest:
         """The newest commit."""
-        pointer = read_text(self.spark, f"{self.path}/manifest/current")
-        if pointer is None:  # a new table, or the moment in which the pointer is replaced
-            names = [p.rsplit("/", 1)[1] for p in list_paths(self.spark, f"{self.path}/manifest/*.json")]
-            pointer = max((int(name.removesuffix(".json")) for name in names), default=-1)
-        version = int(pointer)
-        while exists(self.spark, f"{self.path}/manifest/{version + 1}.json"):  # committed, pointer not yet moved
-            version += 1
-        if version < 0:
+        _, known = self.commits.newest()
+        if known is None:
             return Manifest()
-        known = json.loads(read_text(self.spark, f"{self.path}/manifest/{version}.json"))
         level0 = [self._run(r) for r in known.pop("level0")]
         out = Manifest(**known, levels=[level0])
         for name in out.lists[1:]:
@@ -238,9 +231,7 @@ class KeyedTable:
                 write_text(self.spark, f"{self.path}/{new.lists[level]}", json.dumps([self._json(r) for r in runs]))
         body = {k: v for k, v in vars(new).items() if k != "levels"}
         body["level0"] = [self._json(r) for r in new.levels[0]]
-        write_text(self.spark, f"{self.path}/manifest/{new.version}.json", json.dumps(body))
-        write_text(self.spark, f"{self.path}/manifest/current", str(new.version), replace=True)
-        remove(self.spark, f"{self.path}/manifest/{new.version - _KEPT_MANIFESTS}.json")
+        self.commits.commit(new.version, body)
 
     def _delete(self, paths: list[str], left: Manifest) -> None:
         folder = lambda path: "/".join(path.split("/")[:2])

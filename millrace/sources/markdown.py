@@ -1,8 +1,9 @@
 """Markdown documents to one row per element.
 
 Lines are split and classified on the JVM. A small Arrow function sees only the line classes (one small integer per
-line, never the text) and returns where each element starts and ends and which heading it belongs to; the text is cut
-on the JVM again. Everything is local to the document's row, so nothing is shuffled.
+line, never the text) of a whole batch and finds, by arithmetic on the boundaries of runs, where each element starts and
+ends and which heading it belongs to; the text is cut on the JVM again. Everything is local to the document's row, so
+nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -41,44 +42,111 @@ TYPES = ["Heading", "Paragraph", "ListItem", "CodeBlock", "Table"]
 _HEADING, _PARAGRAPH, _ITEM, _CODE, _TABLE_TYPE = range(len(TYPES))
 
 
-def outline(classes) -> list[tuple[int, int, int, int, int]]:
-    """Elements of one document from its line classes: (type, level or 0, first line counted from 1, line count,
-    position of the heading above or 0)."""
-    elements: list[tuple[int, int, int, int, int]] = []
-    opened: list[tuple[int, int]] = []  # headings above the current line: (level, position)
-
-    def add(kind: int, first: int, count: int, level: int = 0) -> None:
-        if level:
-            while opened and opened[-1][0] >= level:
-                opened.pop()
-        elements.append((kind, level, first, count, opened[-1][1] if opened else 0))
-        if level:
-            opened.append((level, len(elements)))
-
-    at, total = 0, len(classes)
-    while at < total:
-        kind, start = classes[at], at
-        at += 1
-        if 1 <= kind <= 6:
-            add(_HEADING, start + 1, 1, kind)
-        elif kind in (_FENCE, _TILDES):
-            while at < total and classes[at] != kind:
-                at += 1
-            add(_CODE, start + 2, at - start - 1)
-            at += 1
-        elif kind == _TABLE:
-            while at < total and classes[at] == _TABLE:
-                at += 1
-            add(_TABLE_TYPE, start + 1, at - start)
-        elif kind in (_LIST, _OTHER, _EQUALS):
-            while at < total and classes[at] == _OTHER:
-                at += 1
-            if kind != _LIST and at < total and classes[at] in (_EQUALS, _DASHES):
-                add(_HEADING, start + 1, at - start, 1 if classes[at] == _EQUALS else 2)
-                at += 1
-            else:
-                add(_ITEM if kind == _LIST else _PARAGRAPH, start + 1, at - start)
-    return elements
+# Stands for lines inside code, and for the line before a document and after it.
+_NONE = -1
+
+
+def _openings(kinds: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which fences open a block, and the fence that closes each (``len(kinds)`` where none does).
+
+    A fence that opens is closed by the next one of its kind in its document, and the next fence after that opens again. So
+    the opening ones are what is reached from each document's first by that step, found by doubling its length."""
+    n = len(kinds)
+    close, last = np.full(n + 1, n), docs * 2 + (kinds == _TILDES)
+    order = np.argsort(last, kind="stable")
+    same = last[order][1:] == last[order][:-1]
+    close[order[:-1][same]] = order[1:][same]
+    step = np.full(n + 1, n)
+    after = close[:n] + 1
+    ok = after < n
+    ok[ok] &= docs[after[ok]] == docs[np.flatnonzero(ok)]
+    step[:n][ok] = after[ok]
+    reached = np.zeros(n + 1, dtype=bool)
+    reached[:n] = np.append(True, docs[1:] != docs[:-1]) if n else False
+    while (step[:n] < n).any():
+        reached[step[reached]] = True
+        step = step[step]
+    return reached[:n], close[:n]
+
+
+def _run_starts(mask: np.ndarray, joined: np.ndarray) -> np.ndarray:
+    """The first place of the run each place of ``mask`` is in; ``joined`` tells which lines belong with the line before."""
+    first = mask & ~(joined & np.append(False, mask[:-1]))
+    return np.maximum.accumulate(np.where(first, np.arange(len(mask)), 0))
+
+
+def outlines(classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Elements of many documents from the classes of their lines, end to end: document, type, level or 0, first line counted
+    from 1, line count, and the position of the heading above or 0. Everything is found from the boundaries of runs."""
+    n = len(classes)
+    doc, begin = np.repeat(np.arange(len(sizes)), sizes), np.repeat(np.cumsum(sizes) - sizes, sizes)
+    line = classes.astype(np.int64)
+    # Code: from an opening fence to its closing one, or to the end of the document.
+    fence = np.flatnonzero((line == _FENCE) | (line == _TILDES))
+    opens, close = _openings(line[fence], doc[fence])
+    code = fence[opens]
+    end = (np.repeat(np.cumsum(sizes), sizes))[code] if n else code
+    closing = close[opens]
+    closed = closing < len(fence)
+    end[closed] = fence[closing[closed]]
+    inside = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(inside, code, 1)
+    np.add.at(inside, np.minimum(end + closed, n), -1)
+    line = np.where(np.cumsum(inside)[:n] > 0, _NONE, line)
+    # Each line beside its neighbours in the document.
+    joined = np.append(False, doc[1:] == doc[:-1])[:n]
+    before = np.where(joined, np.append(_NONE, line[:-1])[:n], _NONE)
+    other, equals = line == _OTHER, line == _EQUALS
+    # A run of plain lines behind a list item belongs to it, and what underlines has no paragraph to underline there.
+    text_start = _run_starts(other, joined)
+    of_list = other & (before[text_start] == _LIST)
+    text_before = np.append(False, (other & ~of_list)[:-1])[:n] & joined
+    # Lines of equals signs take turns: one that underlines what is above, one that begins a paragraph.
+    equals_start = _run_starts(equals, joined)
+    turn = (np.arange(n) - equals_start) % 2 == 0
+    underlines = equals & (turn == text_before[equals_start])
+    begins = equals & ~underlines
+    begun_before = np.append(False, begins[:-1])[:n] & joined
+    dashes = (line == _DASHES) & (text_before | begun_before)
+    # Where elements start.
+    heading = (line >= 1) & (line <= 6)
+    table = (line == _TABLE) & (before != _TABLE)
+    item = line == _LIST
+    paragraph = begins | (other & (before != _OTHER) & (before != _LIST) & ~begun_before)
+    at = np.concatenate([np.flatnonzero(m) for m in (heading, table, item, paragraph)] + [code])
+    kind = np.repeat([_HEADING, _TABLE_TYPE, _ITEM, _PARAGRAPH, _CODE], [heading.sum(), table.sum(), item.sum(), paragraph.sum(), len(code)])
+    # A run ends before the next line that does not go on with it.
+    goes_on = joined & ((other & ((before == _OTHER) | (before == _LIST) | begun_before)) | ((line == _TABLE) & (before == _TABLE)))
+    stops = np.append(np.flatnonzero(~goes_on), n)
+    count = stops[np.searchsorted(stops, at, side="right")] - at if n else at
+    first, level = at - begin[at] + 1, np.where(kind == _HEADING, line[at], 0)
+    of_code = kind == _CODE
+    first[of_code] += 1
+    count[of_code] = end - code - 1
+    # A paragraph with a line under it is a heading.
+    under = np.minimum(at + count, max(n - 1, 0))
+    drawn = (kind == _PARAGRAPH) & (at + count < n)
+    drawn[drawn] &= (underlines | dashes)[under[drawn]] & (doc[under[drawn]] == doc[at[drawn]])
+    level = np.where(drawn, np.where(equals[under] if n else False, 1, 2), level)
+    kind = np.where(drawn, _HEADING, kind)
+    order = np.argsort(at, kind="stable")
+    kind, level, first, count, owner = (x[order] for x in (kind, level, first, count, doc[at]))
+    return owner, kind, level, first, count, _parents(owner, level)
+
+
+def _parents(doc: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """The position in its document of the heading each element stands under, or 0: the last one before it, for a heading
+    the last one of a smaller level. One running maximum for each level."""
+    n, place = len(doc), np.arange(len(doc))
+    start = np.searchsorted(doc, doc)
+    parent = np.zeros(n, dtype=np.int64)
+    for own in range(7):
+        above = (level > 0) & (level < own) if own else level > 0
+        last = np.maximum.accumulate(np.where(above, place, -1))
+        last = np.append(-1, last[:-1])[:n]
+        mine = (level == own) & (last >= start)
+        parent[mine] = last[mine] - start[mine] + 1
+    return parent
 
 
 _FIELDS = ("type", "level", "first", "count", "parent")
@@ -92,9 +160,10 @@ _OUTLINE = T.ArrayType(
 
 @F.arrow_udf(_OUTLINE)
 def _outline(classes: pa.Array) -> pa.Array:
-    found = [outline(row or ()) for row in classes.to_pylist()]
-    flat = np.array([element for row in found for element in row], dtype=np.int32).reshape(-1, len(_FIELDS))
-    counts = np.array([len(row) for row in found])
+    sizes = np.asarray(classes.value_lengths().fill_null(0)).astype(np.int64)
+    owner, *columns = outlines(classes.flatten().to_numpy(zero_copy_only=False), sizes)
+    flat = np.stack(columns, axis=1).astype(np.int32)
+    counts = np.bincount(owner, minlength=len(sizes))
     ends = np.concatenate([[0], np.cumsum(counts)])
     starts = np.repeat(ends[:-1], counts)
     # Children grouped by their parent, in document order.

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from typing import Any
 
 from pyspark.sql import SparkSession
 
+from millrace.session import list_paths
+
 
 def _at(spark: SparkSession, path: str) -> tuple[Any, Any]:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -57,3 +60,30 @@ def modified_ms(spark: SparkSession, path: str) -> int:
     """When a file or folder was changed last, in milliseconds."""
     fs, where = _at(spark, path)
     return int(fs.getFileStatus(where).getModificationTime())
+
+
+class CommitLog:
+    """Numbered JSON commits in a folder, each seen whole or not at all. The newest one counts.
+
+    A pointer tells its number; it may lag by what was committed since, and is gone while it is replaced. Only then is the
+    folder listed. The last ``kept`` commits stay."""
+
+    def __init__(self, spark: SparkSession, folder: str, kept: int = 16) -> None:
+        self.spark, self.folder, self.kept = spark, folder, kept
+
+    def newest(self) -> tuple[int, Any]:
+        """The number and content of the newest commit, -1 and None where there is none."""
+        pointer = read_text(self.spark, f"{self.folder}/current")
+        if pointer is None:
+            names = [path.rsplit("/", 1)[1] for path in list_paths(self.spark, f"{self.folder}/*.json")]
+            pointer = max((int(name.removesuffix(".json")) for name in names), default=-1)
+        number = int(pointer)
+        while exists(self.spark, f"{self.folder}/{number + 1}.json"):  # committed, pointer not yet moved
+            number += 1
+        return number, json.loads(read_text(self.spark, f"{self.folder}/{number}.json")) if number >= 0 else None
+
+    def commit(self, number: int, content: Any) -> None:
+        """Write commit ``number``; an error if it is there already."""
+        write_text(self.spark, f"{self.folder}/{number}.json", json.dumps(content))
+        write_text(self.spark, f"{self.folder}/current", str(number), replace=True)
+        remove(self.spark, f"{self.folder}/{number - self.kept}.json")

@@ -168,3 +168,39 @@ def test_topic_options():
     assert rate_limit_options("files", bytes_per_second=10) == {"maxBytesPerTrigger": "10"}
     with pytest.raises(ValueError):
         rate_limit_options("files", rows_per_second=10)
+
+
+def test_evolving_table_keeps_numbers_and_compacts(spark):
+    """A name that is dropped and added again is another column; types on the way count; batches are one path a version."""
+    table = EvolvingTable(spark, scratch_dir(spark, "evolving"), T.StructType().add("id", "integer").add("v", "integer"))
+
+    def batch(*messages):
+        return spark.createDataFrame(list(messages), f"value string, `{SEQ}` bigint")
+
+    steps = [
+        ('{"id":1,"v":5}', 1),
+        (event_message(e.ModifyColumn("v", "bigint")), 2),
+        ('{"id":2,"v":6}', 3),
+        (event_message(e.DropColumn("v")), 4),
+        (event_message(e.AddColumn("v", "string", default="new", first=True)), 5),
+        ('{"id":3,"v":"x"}', 6),
+        (event_message(e.RenameColumn("id", "key")), 7),
+    ]
+    for i, step in enumerate(steps):
+        table.apply(batch(step), i)
+    want = [("new", 1), ("new", 2), ("x", 3)]
+    assert table.read().columns == ["v", "key", SEQ] and rows(table.read().select("v", "key")) == want
+    for i in range(len(steps), len(steps) + 3):
+        table.apply(batch((f'{{"key":{i},"v":null}}', 100 + i)), i)
+    want = sorted([*want, *[(None, i) for i in range(7, 10)]], key=repr)
+    # Half of a batch that was not finished is not read, and written anew when it comes again.
+    spark.createDataFrame([("lost", 99, 999)], f"c2 string, c0 int, `{SEQ}` bigint").write.parquet(f"{table.path}/rows/version=4/batch=10")
+    assert rows(table.read().select("v", "key")) == want
+    plan = table.read()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 5
+    for _ in range(2):
+        table.compact()
+        assert rows(table.read().select("v", "key")) == want
+    table.apply(batch((event_message(e.ModifyColumn("key", "bigint")), 200), ('{"key":20,"v":"late"}', 201)), 10)
+    assert rows(table.read().select("v", "key")) == sorted([*want, ("late", 20)], key=repr)
+    assert table.read().schema["key"].dataType == T.LongType()

@@ -360,6 +360,33 @@ def validate_route(spark, sf):
     return routed.errors.drop("create_time")
 
 
+@query(
+    "validate_route_once",
+    """SELECT doc_id, 'valid' AS route, CAST(0 AS INTEGER) AS n_errors FROM labels WHERE quality >= 1 AND toxic < 1
+       UNION ALL SELECT doc_id, 'rejected', CAST((NOT quality >= 1)::INTEGER + (NOT toxic < 1)::INTEGER AS INTEGER)
+       FROM labels WHERE NOT (quality >= 1 AND toxic < 1)""",
+)
+def validate_route_once(spark, sf):
+    """Both tables from one pass over the input."""
+    routed = checks.validate_route(table(spark, sf, "labels"), field_rules=_LABEL_RULES, table="db.labels", read_once=True)
+    valid = routed.valid.select("doc_id", F.lit("valid").alias("route"), F.lit(0).alias("n_errors"))
+    number = F.get_json_object("original_data", "$.doc_id").cast("bigint")
+    many = F.json_array_length("validation_errors").cast("int")
+    return valid.unionByName(routed.errors.select(number.alias("doc_id"), F.lit("rejected").alias("route"), many.alias("n_errors")))
+
+
+@query(
+    "sql_carry_envelope_comments",
+    """SELECT o_orderkey AS id, '+U' AS kind FROM orders WHERE o_orderstatus = 'F'""",
+)
+def sql_carry_envelope_comments(spark, sf):
+    """Comments before the query and inside it, some of which hold the word select."""
+    rows = table(spark, sf, "orders").withColumn(KIND, F.lit("+U"))
+    query_text = """-- select nothing
+        /* select all /* and select */ more */ SELECT /* select */ o_orderkey AS id FROM dual WHERE o_orderstatus = 'F'"""
+    return sql(rows, query_text, carry_envelope=True).withColumnRenamed(KIND, "kind")
+
+
 @query("validate_range", "SELECT * FROM lineitem WHERE l_quantity >= 5 AND l_quantity <= 45 AND l_discount < 0.08")
 def validate_range(spark, sf):
     rules = [

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.envelope import KIND, SEQ
+from millrace.operators.changelog import fold_changelog
 from millrace.plans.flow import run_flow, set_parallelism
 from millrace.schema import align_schema, cast_to_schema, schema_from_fields, schema_from_spec
 from millrace.session import scratch_dir
@@ -114,6 +117,73 @@ def flow_routed_errors(spark, sf):
     return kept.unionByName(spark.read.parquet(bad).select(number.alias("doc_id"), F.lit("rejected").alias("place")))
 
 
+_TWO_TABLES_SQL = """SELECT 'shop_CUSTOMERS' AS name, CAST(c_custkey AS BIGINT) AS k, c_name AS label FROM customer WHERE c_mktsegment <> 'BUILDING'
+    UNION ALL SELECT 'shop_SUPPLIER', CAST(s_suppkey AS BIGINT), s_name || '!' FROM supplier"""
+
+
+def _two_tables(spark, sf) -> tuple[str, dict]:
+    """Change messages of two tables and of a third one nobody asks for, in one folder; and a job's fields for the two."""
+    folder = scratch_dir(spark, "messages")
+    for seq, op, image, name, rows in (
+        (0, "c", "after", "customer", table(spark, sf, "customer").selectExpr("c_custkey AS k", "c_name AS label", "c_mktsegment AS s")),
+        (1, "d", "before", "customer", table(spark, sf, "customer").selectExpr("c_custkey AS k", "c_name AS label", "c_mktsegment AS s").where("s = 'BUILDING'")),
+        (0, "c", "after", "supplier", table(spark, sf, "supplier").selectExpr("s_suppkey AS k", "s_name AS label")),
+        (0, "c", "after", "other", table(spark, sf, "nation").selectExpr("n_nationkey AS k", "n_name AS label")),
+    ):
+        source = f"named_struct('db', 'shop', 'table', '{name}')"
+        body = F.expr(f"to_json(named_struct('op', '{op}', '{image}', named_struct('k', k, 'label', label), 'source', {source}))")
+        rows.select(body.alias("value"), F.lit(seq).cast("bigint").alias("__seq")).write.mode("append").parquet(folder)
+    fields = {"k": "bigint", "label": "string"}
+    return folder, {"shop.customer": fields, "shop.supplier": fields}
+
+
+def _two_tables_steps() -> list[dict]:
+    """Rules for one table, and a rename by pattern."""
+    rename = [{"replace_from": "^customer$", "replace_to": "customers"}]
+    return [
+        {"plugin_name": "Sql", "table_transform": [{"table_path": "shop.supplier", "query": "select k, concat(label, '!') as label from dual", "carry_envelope": True}]},
+        {"plugin_name": "TableRename", "replacements_with_regex": rename, "convert_case": "UPPER"},
+    ]
+
+
+@query("flow_table_set", _TWO_TABLES_SQL)
+def flow_table_set(spark, sf):
+    """A batch job over the tables of one message folder; each is written with its placeholders filled in and folded."""
+    folder, schemas = _two_tables(spark, sf)
+    out = scratch_dir(spark, "tables")
+    spec = {
+        "source": [{"plugin_name": "MessageTables", "path": folder, "schemas": schemas}],
+        "transform": _two_tables_steps(),
+        "sink": [{"plugin_name": "File", "path": f"{out}/${{database_name}}_${{table_name}}", "sink_columns": ["k", "label", KIND, SEQ]}],
+    }
+    run_flow(spark, spec)
+    parts = None
+    for name in ("shop_CUSTOMERS", "shop_SUPPLIER"):
+        one = fold_changelog(spark.read.parquet(f"{out}/{name}"), keys=["k"]).withColumn("name", F.lit(name))
+        parts = one if parts is None else parts.unionByName(one)
+    return parts
+
+
+@query("flow_table_set_stream", _TWO_TABLES_SQL)
+def flow_table_set_stream(spark, sf):
+    """The same job as a stream: one query, a keyed table for each table."""
+    folder, schemas = _two_tables(spark, sf)
+    out, keys = scratch_dir(spark, "tables"), {name: ["k"] for name in schemas}
+    spec = {
+        "env": {"job.mode": "STREAMING"},
+        "source": [{"plugin_name": "MessageTables", "path": folder, "schemas": schemas, "primary_keys": keys}],
+        "transform": _two_tables_steps(),
+        "sink": [{"plugin_name": "KeyedTable", "path": f"{out}/${{database_name}}_${{table_name}}", "checkpoint": scratch_dir(spark, "checkpoint")}],
+    }
+    run_flow(spark, spec)
+    parts = None
+    for name in ("shop_CUSTOMERS", "shop_SUPPLIER"):
+        stored = KeyedTable(spark, f"{out}/{name}", keys=["k"], schema=schema_from_fields({"k": "bigint", "label": "string"}))
+        one = stored.read().withColumn("name", F.lit(name))
+        parts = one if parts is None else parts.unionByName(one)
+    return parts
+
+
 @query("flow_variables", "SELECT o_orderkey, 'none' AS note FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 50000")
 def flow_variables(spark, sf):
     spec = {
@@ -167,16 +237,21 @@ def align_schema_query(spark, sf):
 
 @query(
     "parallelism_invariance",
-    """SELECT 'free' AS readers, count(*) AS n_rows, sum(l_orderkey)::BIGINT AS key_sum FROM lineitem
-       UNION ALL SELECT 'set', count(*), sum(l_orderkey)::BIGINT FROM lineitem""",
+    """SELECT 'free' AS readers, count(*) AS n_rows, sum(l_orderkey)::BIGINT AS key_sum, false AS bounded FROM lineitem
+       UNION ALL SELECT 'set', count(*), sum(l_orderkey)::BIGINT, true FROM lineitem""",
 )
 def parallelism_invariance(spark, sf):
-    """The same result with and without a bound on the number of readers."""
-    lineitem = table(spark, sf, "lineitem").select("l_orderkey")
-    bounded = set_parallelism(lineitem, spark.sparkContext.defaultParallelism)
+    """The same result with and without a bound on the number of readers, over a copy in eight files; the bound binds."""
+    path = scratch_dir(spark, "files")
+    table(spark, sf, "lineitem").select("l_orderkey").repartition(8).write.parquet(path)
+    parts = [spark.read.parquet(file) for file in sorted(spark.read.parquet(path).inputFiles())]
+    lineitem = reduce(DataFrame.unionAll, parts)  # a file a reader, whatever the session's split size
+    bounded = set_parallelism(lineitem, 3)
     out = None
     for name, rows in (("free", lineitem), ("set", bounded)):
-        one = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_orderkey").alias("key_sum"))
+        read = rows.withColumn("reader", F.spark_partition_id())
+        few = (F.countDistinct("reader") <= 3).alias("bounded")
+        one = read.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_orderkey").alias("key_sum"), few)
         one = one.withColumn("readers", F.lit(name))
         out = one if out is None else out.unionByName(one)
     return out

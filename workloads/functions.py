@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.functions import murmur, scalar, vectors
+from millrace.functions import ivf, murmur, scalar, vectors
 from millrace.operators.sql import sql
-from millrace.session import written
+from millrace.session import scratch_dir, written
 from workloads.registry import query, table
 
 
@@ -290,3 +290,64 @@ def vector_topk(spark, sf):
     queries = centers(spark, sf).select(F.col("label").cast("bigint").alias("query_id"), F.col("center").alias("vector"))
     corpus = table(spark, sf, "embeddings").select("vec_id", whole_numbers("embedding").alias("vector"))
     return vectors.vector_topk(queries, corpus, metric="L2", k=5)
+
+
+_FAR = "list_transform(embedding, lambda x: floor(x::DOUBLE * 1000) / 2 + 100000000)"
+
+
+@query(
+    "vector_topk_large",
+    f"""WITH far AS (SELECT vec_id, {_FAR} AS v FROM embeddings),
+        scored AS (SELECT q.vec_id AS query_id, c.vec_id,
+                          sqrt(list_sum(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS distance
+                   FROM far q, far c WHERE q.vec_id % 50 = 0)
+        SELECT query_id, vec_id, distance, CAST(rank AS INTEGER) AS rank FROM
+          (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM scored) WHERE rank <= 5""",
+)
+def vector_topk_large(spark, sf):
+    """Vectors far from the origin and close to each other: squared norms alone would tell them apart by rounding."""
+    moved = F.transform(whole_numbers("embedding"), lambda x: x / 2 + 100_000_000)
+    far = table(spark, sf, "embeddings").select("vec_id", moved.alias("vector"))
+    queries = far.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "vector")
+    return vectors.vector_topk(queries, far, metric="L2", k=5)
+
+
+def _embeddings(spark, sf) -> tuple[DataFrame, DataFrame]:
+    corpus = table(spark, sf, "embeddings").select("vec_id", whole_numbers("embedding").alias("vector"))
+    return corpus.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "vector"), corpus
+
+
+@query(
+    "vector_index_recall",
+    """SELECT count(*) AS n_listed, count(*) FILTER (vec_id % 50 = 0) AS n_queries, true AS recall_ok, true AS distances_ok FROM embeddings""",
+)
+def vector_index_recall(spark, sf):
+    """An inverted-list index over all vectors, searched for every fiftieth one: recall at ten against the exact search.
+    The given vectors are nearly random, so most lists must be visited."""
+    queries, corpus = _embeddings(spark, sf)
+    index = ivf.build_index(corpus, scratch_dir(spark, "ivf"), lists=16)
+    found = written(ivf.search(spark, index, queries, k=10, probes=13), "ivf-found").withColumnRenamed("distance", "found")
+    exact = vectors.vector_topk(queries, corpus, metric="L2", k=10).drop("rank")
+    met = exact.join(found.drop("rank"), ["query_id", "vec_id"], "left").agg(
+        F.countDistinct("query_id").alias("n_queries"),
+        (F.count("found") >= 0.9 * F.count(F.lit(1))).alias("recall_ok"),
+        F.coalesce(F.every(F.col("found") == F.col("distance")), F.lit(False)).alias("distances_ok"),
+    )
+    return met.withColumn("n_listed", F.lit(index.lists(spark).count()).cast("long"))
+
+
+@query(
+    "vector_index_all_lists",
+    f"""WITH v AS (SELECT vec_id, {_WHOLE} AS v FROM embeddings),
+        scored AS (SELECT q.vec_id AS query_id, c.vec_id,
+                          sqrt(list_sum(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS distance
+                   FROM v q, v c WHERE q.vec_id % 50 = 0)
+        SELECT query_id, vec_id, distance, CAST(rank AS INTEGER) AS rank FROM
+          (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM scored) WHERE rank <= 5""",
+)
+def vector_index_all_lists(spark, sf):
+    """A stored index, opened again and probed in all its lists: the exact result."""
+    queries, corpus = _embeddings(spark, sf)
+    path = scratch_dir(spark, "ivf")
+    ivf.build_index(corpus, path, lists=16, rows_per_file=100)
+    return ivf.search(spark, ivf.IvfIndex.open(spark, path), queries, k=5, probes=16)

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.envelope import TableMeta, TableSet
 from millrace.operators import validate
 from millrace.operators.sql import sql
-from millrace.session import scratch_dir
-from millrace.sinks import files, payloads, tables as sinks
+from millrace.session import list_paths, scratch_dir
+from millrace.sinks import files, outbox, payloads, tables as sinks
 from millrace.sources.files import scan_file
+from millrace.storage import remove
+from millrace.streaming.scan import scan_stream
+from millrace.streaming.sinks import run_to_end
 from workloads.registry import query, table
 
 
@@ -264,3 +267,20 @@ def console_sink(spark, sf):
     df = table(spark, sf, "customer")
     payloads.console(df, print_data=False)
     return df
+
+
+@query("stream_payload_outbox", "SELECT c_custkey, 1 AS times FROM customer")
+def stream_payload_outbox(spark, sf):
+    """Payload batches of a stream in two runs. Each run is killed after its payloads were committed and before Spark noted
+    that, so its last epoch comes again: every customer arrives once."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name")
+    source, path, checkpoint = (scratch_dir(spark, x) for x in ("customers", "outbox", "checkpoint"))
+    for half in (F.col("c_custkey") % 2 == 0, F.col("c_custkey") % 2 == 1):
+        customers.where(half).write.mode("append").parquet(source)
+        for _ in range(2):
+            bodies = payloads.pack_json_batches(scan_stream(spark, source, schema=customers.schema), batch_size=50, array_mode=True)
+            run_to_end(outbox.stream_to_outbox(bodies, path, checkpoint))
+            last = max(list_paths(spark, f"{checkpoint}/commits/*"), key=lambda p: int(p.rsplit("/", 1)[1]))
+            remove(spark, last)
+    sent = outbox.sent_payloads(spark, path).select(F.explode(F.from_json("body", "array<struct<c_custkey:bigint>>")).alias("row"))
+    return sent.groupBy(F.col("row.c_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).cast("int").alias("times"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.envelope import KIND, SEQ, TABLE
 from millrace.operators import changelog, tables
-from millrace.plans import splits
+from millrace.plans import sketches, splits
 from millrace.session import scratch_dir, written
 from millrace.sinks.files import write_files
 from millrace.sources import documents, files, generate, markdown
@@ -247,6 +247,31 @@ def split_sampled_ranges(spark, sf):
     )
 
 
+@query(
+    "split_sketched_ranges",
+    """SELECT count(*) AS n_rows, 1 AS selected_least, 1 AS selected_most, true AS even, true AS hot_key_cut FROM lineitem""",
+)
+def split_sketched_ranges(spark, sf):
+    """A third of the rows have one part number: the planned ranges select every row once, none holds more than its share
+    by more than the sketch's error, and that one part is cut by its orders."""
+    keyed = table(spark, sf, "lineitem").select(F.expr("if(l_orderkey % 3 = 0, 77, l_partkey)").alias("part"), F.col("l_orderkey").alias("ordered"))
+    planned, rows = 24, keyed.count()
+    ranges = sketches.sketch_ranges(keyed, "part", planned, second="ordered")
+    conditions = [F.coalesce(F.expr(c), F.lit(False)) for c in sketches.range_conditions(ranges, "part", "ordered")]
+    counted = keyed.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.count_if(c).alias(f"s{i}") for i, c in enumerate(conditions)],
+        F.min(sum(c.cast("int") for c in conditions)).alias("selected_least"),
+        F.max(sum(c.cast("int") for c in conditions)).alias("selected_most"),
+    )
+    # A key is not cut without a second one, so a range may hold one more of those that are not hot.
+    largest = keyed.where("part <> 77").groupBy("part").count().agg(F.max("count")).first()[0]
+    share = rows / planned * 1.15 + 2 * sketches.rank_error() * rows + largest
+    most = F.greatest(*[F.col(f"s{i}") for i in range(len(conditions))])
+    cut = sum(r.of_one_key for r in ranges) >= planned // 4
+    return counted.select("n_rows", "selected_least", "selected_most", (most <= share).alias("even"), F.lit(cut).alias("hot_key_cut"))
+
+
 @query(
     "incremental_between",
     """SELECT '-D' AS kind, c_custkey, c_acctbal FROM customer WHERE c_mktsegment = 'HOUSEHOLD'
