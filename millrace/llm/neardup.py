@@ -2,7 +2,8 @@
 weighted Jaccard similarity, and closed to classes.
 
 Equal texts are one node of the graph from the start, so a group of exact copies costs one node. In each band bucket the
-nodes are compared with one leader, not with each other; what is linked is contracted to components, and only then are
+nodes are compared with one leader, not with each other: the node that meets most others in its buckets, which is the text
+that a group was copied from, if it is there. What is linked is contracted to components, and only then are
 nodes of different components compared: all of them in buckets of up to ``SMALL_BUCKET`` nodes; larger buckets are cut
 by a second band (similar texts share several bands), where leaders link most of them, and then get more leaders in
 rounds until no pair of different components is untested. Links, components and signatures are tables; nothing of the
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +47,11 @@ class Settings:
     idf_strength: float = 0.25
     seed: int = 7
 
+    def agreeing(self) -> int:
+        """How many samples two texts must share to be compared: of similar ones fewer are equal in about one pair of 5,000."""
+        n, t = self.bands * self.rows, self.threshold
+        return max(1, int(n * t - 3.5 * (n * t * (1 - t)) ** 0.5))
+
 
 class Shingler:
     """Texts to distinct shingle hashes, ascending, and how often each occurs."""
@@ -72,6 +78,7 @@ def _cells(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 _BLOCK = 4096
+_TASKS_ADDED = 256
 
 
 def document_frequencies(texts: DataFrame, settings: Settings) -> tuple[np.ndarray, int]:
@@ -88,7 +95,8 @@ def document_frequencies(texts: DataFrame, settings: Settings) -> tuple[np.ndarr
                 counters[np.unique(_cells(hashes, bits))] += 1
             n += len(batch)
         if n:
-            salt = int(np.random.default_rng(int(counters.sum()) + n).integers(32))
+            # So many tasks are added in one group, and then the groups: no group has more arrays than either.
+            salt = TaskContext.get().partitionId() // _TASKS_ADDED
             blocks = counters.reshape(-1, min(_BLOCK, 1 << bits))
             for start in range(0, len(blocks), 64):
                 part = blocks[start : start + 64]
@@ -149,9 +157,18 @@ class Sampler:
             best, found = np.where(better, rank[first, columns], best), np.where(better, value, found)
         return found
 
+    def signature(self, hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of the bands, and 16 bits of each sample."""
+        samples = self.samples(hashes, weights)
+        prints = (samples * np.uint64(_MULTIPLIER)) >> np.uint64(48)
+        return self._keys(samples), prints.astype(np.uint16).view(np.int16)
+
     def keys(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """One key for each band: equal keys mean equal samples in the whole band."""
-        parts = self.samples(hashes, weights).reshape(self.bands, self.rows)
+        return self._keys(self.samples(hashes, weights))
+
+    def _keys(self, samples: np.ndarray) -> np.ndarray:
+        parts = samples.reshape(self.bands, self.rows)
         key = np.arange(1, self.bands + 1, dtype=np.uint64)
         for j in range(self.rows):
             key = (key ^ parts[:, j]) * np.uint64(_MULTIPLIER)
@@ -169,19 +186,26 @@ def text_node(text: Column) -> Column:
 
 
 def _signatures(texts: DataFrame, idf: Broadcast, settings: Settings) -> DataFrame:
-    """``node`` and ``keys`` of each text (``node``, ``text``); texts without words have no keys."""
+    """``node``, ``keys``, ``prints`` and the ``total`` weight of each text (``node``, ``text``); texts without words have no
+    keys."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, sampler, table = Shingler(settings.shingle), Sampler(settings), idf.value
         for batch in batches:
-            keys = []
+            found = []
             for text in batch["text"]:
                 hashes, counts = shingler(text)
                 weights = _weigh(hashes, counts, table, settings.df_bits)
-                keys.append(sampler.keys(hashes, weights) if len(hashes) else np.zeros(0, dtype=np.int64))
-            yield pd.DataFrame({"id": batch["id"], "node": batch["node"], "keys": keys})
+                signature = sampler.signature(hashes, weights) if len(hashes) else nothing
+                found.append((*signature, float(weights.sum(dtype=np.float64))))
+            keys, prints, total = zip(*found) if found else ((), (), ())
+            yield pd.DataFrame(
+                {"id": batch["id"], "node": batch["node"], "keys": keys, "prints": prints, "total": np.array(total, dtype=float)}
+            )
 
-    return texts.mapInPandas(sign, f"id {texts.schema['id'].dataType.simpleString()}, node binary, keys array<long>")
+    nothing = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int16)
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.mapInPandas(sign, f"id {kind}, node binary, keys array<long>, prints array<short>, total double")
 
 
 def _weighted(texts: DataFrame, idf: Broadcast, settings: Settings) -> DataFrame:
@@ -244,14 +268,35 @@ def components(edges: DataFrame) -> DataFrame:
         labels = labels.select("node", "label")
 
 
+def _company(buckets: DataFrame) -> DataFrame:
+    """``buckets`` with ``company``: how many nodes a node meets in all its buckets. The text that others were copied from
+    shares more samples with each copy than the copies share among themselves, so it has the most."""
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    met = buckets.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("company"))
+    return buckets.join(met, "node")
+
+
 def _leader_pairs(buckets: DataFrame) -> DataFrame:
-    """(leader, member) of each bucket (``key``, ``node``), the leader being its smallest node."""
-    leaders = buckets.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    leaders = written(leaders.select("key", "a"), "leaders")
+    """(leader, member) of each bucket (``key``, ``node``, ``company``), the leader being the node with the most company, the
+    greater one of equals."""
+    first = F.max(F.struct("company", "node"))
+    leaders = buckets.groupBy("key").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    leaders = written(leaders.select("key", F.col("first.node").alias("a")), "leaders")
     return buckets.join(leaders, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
 
 
-def _cross_pairs(buckets: DataFrame, labels: DataFrame, tested: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _may_be_similar(settings: Settings) -> Column:
+    """A condition of joins, so that no other pair is made: the lighter text weighs at least ``threshold`` of the other one,
+    which similar texts always do, and enough samples are equal."""
+    lighter, heavier = F.least("total", "other_total"), F.greatest("total", "other_total")
+    equal = F.zip_with("prints", "other_prints", lambda a, b: (a == b).cast("int"))
+    agree = F.aggregate(equal, F.lit(0), lambda n, x: n + x) >= settings.agreeing()
+    return (lighter >= heavier * (settings.threshold - 1e-5)) & agree
+
+
+def _cross_pairs(
+    buckets: DataFrame, labels: DataFrame, tested: DataFrame, nodes: DataFrame, settings: Settings
+) -> tuple[DataFrame, DataFrame]:
     """Untested pairs of different components in buckets of at most ``SMALL_BUCKET`` nodes; and the larger buckets with
     more than one component."""
     named = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -263,17 +308,22 @@ def _cross_pairs(buckets: DataFrame, labels: DataFrame, tested: DataFrame) -> tu
     small = rest.where(F.col("n") <= SMALL_BUCKET).select("key", "node", "label")
     # Two nodes that share several of these buckets meet in the first one only.
     own = small.groupBy("node").agg(F.collect_list("key").alias("keys"))
-    small = written(small.join(own, "node"), "small-buckets")
+    small = written(small.join(own, "node").join(nodes.select("node", "prints", "total"), "node"), "small-buckets")
     other = small.select(
-        "key", F.col("node").alias("other"), F.col("label").alias("other_label"), F.col("keys").alias("other_keys")
+        "key",
+        F.col("node").alias("other"),
+        F.col("label").alias("other_label"),
+        F.col("keys").alias("other_keys"),
+        F.col("prints").alias("other_prints"),
+        F.col("total").alias("other_total"),
     )
     meet = (F.col("label") != F.col("other_label")) & (F.col("key") == F.array_min(F.array_intersect("keys", "other_keys")))
-    met = small.join(other, "key").where((F.col("node") < F.col("other")) & meet)
+    met = small.join(other, "key").where((F.col("node") < F.col("other")) & meet & _may_be_similar(settings))
     pairs = met.select(F.col("node").alias("a"), F.col("other").alias("b"))
     return pairs.join(tested, ["a", "b"], "left_anti"), rest.where(F.col("n") > SMALL_BUCKET).select("key", "node")
 
 
-def _mixed_members(large: DataFrame, labels: DataFrame) -> DataFrame:
+def _mixed_members(large: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
     """The members of buckets with more than one component, with the label of the largest component of the bucket
     (``big``), how many nodes are in it (``inside``) and in other ones (``others``), and all such buckets of the node."""
     named = written(large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "round-members")
@@ -286,10 +336,10 @@ def _mixed_members(large: DataFrame, labels: DataFrame) -> DataFrame:
     )
     members = written(named.join(written(per_key, "mixed"), "key"), "mixed-members")
     own = members.groupBy("node").agg(F.collect_list("key").alias("keys"))
-    return written(members.join(own, "node"), "mixed-buckets")
+    return written(members.join(own, "node").join(nodes.select("node", "prints", "total"), "node"), "mixed-buckets")
 
 
-def _round_pairs(mixed: DataFrame, leaders: int) -> DataFrame:
+def _round_pairs(mixed: DataFrame, leaders: int, settings: Settings) -> DataFrame:
     """Pairs of different components, one of them a leader: in each bucket about ``leaders`` nodes of its largest component
     and as many of the others. When there are no more others than that, all of them lead and no pair is left."""
     draw = F.pmod(F.xxhash64(F.lit("leader"), "node"), F.lit(1 << 30)) / float(1 << 30)
@@ -297,16 +347,18 @@ def _round_pairs(mixed: DataFrame, leaders: int) -> DataFrame:
     leads = F.when(outside, draw * F.col("others") < leaders).otherwise(
         (F.col("others") > leaders) & (draw * F.col("inside") < leaders)
     )
-    first = mixed.where(leads).select("key", "node", "label", "keys")
+    first = mixed.where(leads).select("key", "node", "label", "keys", "prints", "total")
     second = mixed.select(
         "key",
         F.col("node").alias("other"),
         F.col("label").alias("other_label"),
         F.col("keys").alias("other_keys"),
+        F.col("prints").alias("other_prints"),
+        F.col("total").alias("other_total"),
     )
     # Two nodes that share several of these buckets meet in the first one only.
     meet = (F.col("label") != F.col("other_label")) & (F.col("key") == F.array_min(F.array_intersect("keys", "other_keys")))
-    met = first.join(second, "key").where(meet)
+    met = first.join(second, "key").where(meet & _may_be_similar(settings))
     return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
@@ -326,7 +378,9 @@ def near_duplicates(
     frequencies, n = document_frequencies(texts, settings)
     idf = spark.sparkContext.broadcast(idf_table(frequencies, n, settings.idf_strength))
     rows = written(_signatures(texts.withColumn("node", text_node(F.col("text"))), idf, settings), "signatures")
-    nodes = rows.where("node IS NOT NULL AND size(keys) > 0").groupBy("node").agg(F.first("keys").alias("keys"), F.min("id").alias("id"))
+    nodes = rows.where("node IS NOT NULL AND size(keys) > 0").groupBy("node").agg(
+        F.first("keys").alias("keys"), F.first("prints").alias("prints"), F.first("total").alias("total"), F.min("id").alias("id")
+    )
     nodes = written(nodes, "nodes")
     labels = _classes(texts, nodes, idf, settings)
     named = rows.join(labels, "node", "left").select("id", "node", F.coalesce("label", "node").alias("label"))
@@ -342,24 +396,26 @@ def _classes(texts: DataFrame, nodes: DataFrame, idf: Broadcast, settings: Setti
     buckets = nodes.select("node", F.explode("keys").alias("key"))
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     # Most keys occur once; what follows needs only the buckets that two nodes share.
-    buckets = written(buckets.join(written(shared, "shared-keys"), "key"), "buckets")
+    buckets = written(_company(written(buckets.join(written(shared, "shared-keys"), "key"), "shared-buckets")), "buckets")
     sets = _sets_of(buckets.select("node").distinct(), texts, nodes, idf, settings)
 
     pairs = written(_leader_pairs(buckets), "pairs")
     edges = written(_similar(pairs, sets, settings.threshold), "similar")
     labels = components(edges)
 
-    more, large = _cross_pairs(buckets, labels, pairs)
+    more, large = _cross_pairs(buckets.select("key", "node"), labels, pairs, nodes, settings)
     large = written(large, "large-buckets")
     if large.limit(1).count():
         members = large.join(nodes.select("node", F.explode("keys").alias("other")), "node").where("key <> other")
-        halves = members.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "node").distinct()
+        members = members.join(buckets.select("node", "company").distinct(), "node")
+        half = F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key")
+        halves = members.select(half, "node", "company").distinct()
         halves = written(halves, "half-buckets")
         # Nodes that share two bands are the likeliest to be similar: what their leaders link needs no pairs among itself.
         led = written(_leader_pairs(halves).join(pairs, ["a", "b"], "left_anti"), "half-pairs")
         edges = written(edges.unionByName(_similar(led, sets, settings.threshold)), "half-similar")
         labels, pairs = components(edges), pairs.unionByName(led)
-        more, _ = _cross_pairs(buckets, labels, pairs)
+        more, _ = _cross_pairs(buckets.select("key", "node"), labels, pairs, nodes, settings)
     more = written(more, "more-pairs")
     if more.limit(1).count():
         found = written(_similar(more, sets, settings.threshold), "more-similar")
@@ -369,11 +425,11 @@ def _classes(texts: DataFrame, nodes: DataFrame, idf: Broadcast, settings: Setti
             labels = components(edges)
     leaders = 1
     while True:
-        mixed = _mixed_members(large, labels)
+        mixed = _mixed_members(large, labels, nodes)
         if not mixed.limit(1).count():
             return labels
         last = not mixed.where(F.col("others") > leaders).limit(1).count()
-        led = written(_round_pairs(mixed, leaders).join(pairs, ["a", "b"], "left_anti"), "round-pairs")
+        led = written(_round_pairs(mixed, leaders, settings).join(pairs, ["a", "b"], "left_anti"), "round-pairs")
         found = written(_similar(led, sets, settings.threshold), "round-similar")
         pairs = pairs.unionByName(led)
         if found.limit(1).count():
@@ -384,13 +440,19 @@ def _classes(texts: DataFrame, nodes: DataFrame, idf: Broadcast, settings: Setti
         leaders *= LEADER_GROWTH
 
 
+def _bytes(rows: DataFrame) -> int:
+    """About what ``rows`` take in memory: their values as text, and some bytes for each row."""
+    size = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in rows.columns), F.lit(40))
+    return rows.agg(F.sum(size.cast("long"))).first()[0] or 0
+
+
 def _sets_of(
     wanted: DataFrame, texts: DataFrame, nodes: DataFrame, idf: Broadcast, settings: Settings
 ) -> DataFrame:
     """The weighted shingles of the nodes that share a bucket. Their ids are broadcast to the texts while they are below
     ``MAX_BROADCAST_BYTES``, else joined by a shuffle."""
     need = written(nodes.join(wanted, "node").select("node", F.col("id").alias("of")), "needed-nodes")
-    small = need.count() * 64 <= MAX_BROADCAST_BYTES
+    small = _bytes(need) <= MAX_BROADCAST_BYTES
     own = texts.withColumn("own", text_node(F.col("text")))
     picked = own.join(F.broadcast(need) if small else need, F.col("id").eqNullSafe(F.col("of")) & (F.col("own") == F.col("node")))
     # An id that is repeated with the same text gives the same set again.
@@ -410,7 +472,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     judged = groups.join(firsts.select(F.col("class_id").alias("c"), "first"), F.col("class_id").eqNullSafe(F.col("c")), "left")
     out = judged.withColumn("stays", F.col("id").eqNullSafe(F.col("class_id")) & F.col("node").eqNullSafe(F.col("first")))
     odd = written(out.where("NOT stays OR n > 1").select(F.col("id").alias(of), F.col("node").alias(own), "stays"), "not-kept")
-    if odd.count() * 64 <= MAX_BROADCAST_BYTES:
+    if _bytes(odd) <= MAX_BROADCAST_BYTES:
         odd = F.broadcast(odd)
     same = F.col(f"`{id_col}`").eqNullSafe(F.col(of)) & (F.col(key) == F.col(own))
     keyed = docs.withColumn(key, text_node(F.col(f"`{text_col}`").cast("string")))
