@@ -1,7 +1,7 @@
 """The stream that reads a snapshot and goes over to the changes: bounds, rates, kills in and between the phases."""
 
 import pytest
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Row, functions as F, types as T
 
 from millrace.envelope import EVENT_MS, KIND, SEQ
 from millrace.session import scratch_dir
@@ -167,3 +167,58 @@ def test_deleted_keys_are_forgotten(spark):
 def test_a_change_without_a_kind_is_an_error(spark):
     with pytest.raises(Exception):
         _folded(spark, [[(1, "a", None, 1)]])
+
+
+def test_fold_reads_state_once_for_many_keys():
+    """The state is called a few times for a bucket, however many keys it has."""
+    from types import SimpleNamespace
+
+    from millrace.streaming import fold
+
+    calls = []
+
+    class Value:
+        held = None
+
+        def get(self):
+            calls.append("get")
+            return self.held
+
+        def update(self, held):
+            calls.append("update")
+            self.held = held
+
+        def clear(self):
+            calls.append("clear")
+            self.held = None
+
+    processor = fold.FoldChanges(["id"], 1000)
+    processor.init(SimpleNamespace(getValueState=lambda name, schema, ttl=None: Value()))
+    row = Row("id", KIND, SEQ, "__place", "__rank", "__id")
+
+    def batch(kind, place, ids, now):
+        timer = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: now)
+        changes = iter([row(i, kind, place, place, 1 if kind == "-D" else 3, None if i is None else str(i)) for i in ids])
+        return sorted((tuple(r) for r in processor.handleInputRows(("b",), changes, timer)), key=repr)
+
+    ids = [*range(500), None]
+    assert {r[1] for r in batch("+U", 5, ids, 0)} == {"+I"}
+    assert {r[1] for r in batch("-D", 7, ids, 10)} == {"-D"}
+    assert batch("+U", 6, ids, 900) == []
+    assert batch("+U", 6, [None, 3], 1010) == [(3, "+I", 6), (None, "+I", 6)]
+    assert len(calls) <= 16
+
+
+def test_fold_with_keys_of_several_types(spark):
+    """Keys are told apart by all their values, in one bucket or many."""
+    source, out, checkpoint = (scratch_dir(spark, x) for x in ("in", "out", "cp"))
+    schema = "a string, b double, t timestamp, v string, __kind string, __seq bigint"
+    first = """VALUES ('x', 0.0D, timestamp'2024-01-01 00:00:00.000001', 'p', '+I', 1L), ('x', 1.0D, timestamp'2024-01-01', 'q', '+I', 1L),
+               ('x","1', 1.0D, timestamp'2024-01-01', 'r', '+I', 1L), ('x', 0.0D, timestamp'2024-01-01 00:00:00.000002', 's', '+I', 1L)"""
+    then = "VALUES ('x', -0.0D, timestamp'2024-01-01 00:00:00.000001', 'p2', '+U', 2L), ('x', 1.0D, timestamp'2024-01-01', 'q', '-D', 2L)"
+    for batch in (first, then):
+        spark.sql(batch).toDF("a", "b", "t", "v", KIND, SEQ).coalesce(1).write.mode("append").parquet(source)
+        stream = scan_stream(spark, source, schema=T._parse_datatype_string(schema))
+        run_to_end(stream_fold(stream, out, checkpoint, keys=["a", "b", "t"]))
+    found = spark.read.schema(schema).parquet(out).select("v", KIND)
+    assert rows(found) == [("p", "+I"), ("p2", "+U"), ("q", "+I"), ("q", "-D"), ("r", "+I"), ("s", "+I")]
