@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,7 @@ _MULTIPLIER = 0x9E3779B97F4A7C15
 SMALL_BUCKET = 64
 LEADER_GROWTH = 4
 MAX_BROADCAST_BYTES = 32 << 20
+SKETCH_WORDS = 16  # of 64 cells each
 
 
 @dataclass(frozen=True)
@@ -209,7 +211,7 @@ def _signatures(texts: DataFrame, idf: Broadcast, settings: Settings) -> DataFra
 
 
 def _weighted(texts: DataFrame, idf: Broadcast, settings: Settings) -> DataFrame:
-    """``node``, ``hashes`` and ``weights`` of each text (``node``, ``text``)."""
+    """``node``, ``hashes``, ``weights`` and the ``sketch`` of each text (``node``, ``text``)."""
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, table = Shingler(settings.shingle), idf.value
@@ -220,10 +222,19 @@ def _weighted(texts: DataFrame, idf: Broadcast, settings: Settings) -> DataFrame
                     "node": batch["node"],
                     "hashes": [h.view(np.int64) for h, _ in sets],
                     "weights": [_weigh(h, c, table, settings.df_bits).astype(np.float32) for h, c in sets],
+                    "sketch": [sketch(h) for h, _ in sets],
                 }
             )
 
-    return texts.mapInPandas(weigh, "node binary, hashes array<long>, weights array<float>")
+    return texts.mapInPandas(weigh, "node binary, hashes array<long>, weights array<float>, sketch array<long>")
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """One bit for each cell of hashes that a text has. A cell that only one of two texts has holds a shingle that the other
+    one lacks, and no shingle weighs less than one."""
+    cells = np.zeros(SKETCH_WORDS * 64, dtype=np.uint8)
+    cells[(hashes % np.uint64(len(cells))).astype(np.int64)] = 1
+    return np.packbits(cells, bitorder="little").view(np.int64)
 
 
 def weighted_jaccard(h1: np.ndarray, w1: np.ndarray, h2: np.ndarray, w2: np.ndarray) -> float:
@@ -286,12 +297,18 @@ def _leader_pairs(buckets: DataFrame) -> DataFrame:
 
 
 def _may_be_similar(settings: Settings) -> Column:
-    """A condition of joins, so that no other pair is made: the lighter text weighs at least ``threshold`` of the other one,
-    which similar texts always do, and enough samples are equal."""
+    """A condition of joins, so that no other pair is made: the lighter text weighs at least ``threshold`` of the other one
+    and their sketches differ in no more cells than their weights leave room for, as it always is with similar texts, and
+    enough samples are equal."""
     lighter, heavier = F.least("total", "other_total"), F.greatest("total", "other_total")
     equal = F.zip_with("prints", "other_prints", lambda a, b: (a == b).cast("int"))
     agree = F.aggregate(equal, F.lit(0), lambda n, x: n + x) >= settings.agreeing()
-    return (lighter >= heavier * (settings.threshold - 1e-5)) & agree
+    differ = reduce(
+        Column.__add__, (F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("other_sketch", F.lit(i)))) for i in range(SKETCH_WORDS))
+    )
+    # The differences of all weights add up to (1 - t) / (1 + t) of both texts' weights at similarity t.
+    room = differ * (1 + settings.threshold) <= (lighter + heavier) * (1 - settings.threshold + 1e-5)
+    return (lighter >= heavier * (settings.threshold - 1e-5)) & F.when(room, agree).otherwise(False)
 
 
 def _cross_pairs(
@@ -308,7 +325,7 @@ def _cross_pairs(
     small = rest.where(F.col("n") <= SMALL_BUCKET).select("key", "node", "label")
     # Two nodes that share several of these buckets meet in the first one only.
     own = small.groupBy("node").agg(F.collect_list("key").alias("keys"))
-    small = written(small.join(own, "node").join(nodes.select("node", "prints", "total"), "node"), "small-buckets")
+    small = written(small.join(own, "node").join(nodes.select("node", "prints", "total", "sketch"), "node"), "small-buckets")
     other = small.select(
         "key",
         F.col("node").alias("other"),
@@ -316,6 +333,7 @@ def _cross_pairs(
         F.col("keys").alias("other_keys"),
         F.col("prints").alias("other_prints"),
         F.col("total").alias("other_total"),
+        F.col("sketch").alias("other_sketch"),
     )
     meet = (F.col("label") != F.col("other_label")) & (F.col("key") == F.array_min(F.array_intersect("keys", "other_keys")))
     met = small.join(other, "key").where((F.col("node") < F.col("other")) & meet & _may_be_similar(settings))
@@ -336,7 +354,7 @@ def _mixed_members(large: DataFrame, labels: DataFrame, nodes: DataFrame) -> Dat
     )
     members = written(named.join(written(per_key, "mixed"), "key"), "mixed-members")
     own = members.groupBy("node").agg(F.collect_list("key").alias("keys"))
-    return written(members.join(own, "node").join(nodes.select("node", "prints", "total"), "node"), "mixed-buckets")
+    return written(members.join(own, "node").join(nodes.select("node", "prints", "total", "sketch"), "node"), "mixed-buckets")
 
 
 def _round_pairs(mixed: DataFrame, leaders: int, settings: Settings) -> DataFrame:
@@ -347,7 +365,7 @@ def _round_pairs(mixed: DataFrame, leaders: int, settings: Settings) -> DataFram
     leads = F.when(outside, draw * F.col("others") < leaders).otherwise(
         (F.col("others") > leaders) & (draw * F.col("inside") < leaders)
     )
-    first = mixed.where(leads).select("key", "node", "label", "keys", "prints", "total")
+    first = mixed.where(leads).select("key", "node", "label", "keys", "prints", "total", "sketch")
     second = mixed.select(
         "key",
         F.col("node").alias("other"),
@@ -355,6 +373,7 @@ def _round_pairs(mixed: DataFrame, leaders: int, settings: Settings) -> DataFram
         F.col("keys").alias("other_keys"),
         F.col("prints").alias("other_prints"),
         F.col("total").alias("other_total"),
+        F.col("sketch").alias("other_sketch"),
     )
     # Two nodes that share several of these buckets meet in the first one only.
     meet = (F.col("label") != F.col("other_label")) & (F.col("key") == F.array_min(F.array_intersect("keys", "other_keys")))
@@ -398,6 +417,7 @@ def _classes(texts: DataFrame, nodes: DataFrame, idf: Broadcast, settings: Setti
     # Most keys occur once; what follows needs only the buckets that two nodes share.
     buckets = written(_company(written(buckets.join(written(shared, "shared-keys"), "key"), "shared-buckets")), "buckets")
     sets = _sets_of(buckets.select("node").distinct(), texts, nodes, idf, settings)
+    nodes = written(nodes.join(sets.select("node", "sketch"), "node"), "sketched-nodes")
 
     pairs = written(_leader_pairs(buckets), "pairs")
     edges = written(_similar(pairs, sets, settings.threshold), "similar")

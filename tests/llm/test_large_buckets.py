@@ -47,3 +47,22 @@ def test_members_meet_in_large_buckets(spark, monkeypatch):
     expected = _expected(spark, docs, texts, settings)
     assert 10 < len(set(expected.values())) < 290
     assert {r.id: r.class_id for r in neardup.near_duplicates(docs).collect()} == expected
+
+
+def test_sketches_leave_out_pairs_that_cannot_be_similar(spark):
+    """No pair of similar texts is lost, and texts that agree in most samples but differ in too many shingles make no pair."""
+    texts, settings = _group(120), neardup.Settings()
+    shingler = neardup.Shingler(settings.shingle)
+    sets = [(h, (1.0 + neardup.np.log(c)) * 1.1) for h, c in map(shingler, texts)]
+    same = [0] * (settings.bands * settings.rows)
+    nodes = spark.createDataFrame(
+        [(i, same, float(w.sum()), neardup.sketch(h).tolist()) for i, (h, w) in enumerate(sets)],
+        "node long, prints array<short>, total double, sketch array<long>",
+    )
+    other = nodes.select(*[F.col(c).alias(f"other_{c}") for c in nodes.columns])
+    met = nodes.crossJoin(other).where("node < other_node").where(neardup._may_be_similar(settings))
+    found = {(r.node, r.other_node) for r in met.collect()}
+    pairs = list(itertools.combinations(range(len(texts)), 2))
+    similar = {(a, b) for a, b in pairs if neardup.weighted_jaccard(*sets[a], *sets[b]) >= settings.threshold}
+    assert similar and similar <= found
+    assert len(found) < len(pairs) / 2
