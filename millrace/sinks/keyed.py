@@ -38,6 +38,8 @@ _BATCH = "__batch"
 _RANGE = "__range"
 # Stretches of keys that a merge keeps apart; more would only make its expression longer.
 _MOST_RANGES = 64
+# What the rows of one range may take before they are packed into a file, about: packed ones may be a tenth of it.
+_TASK_BYTES = 128 << 20
 
 
 @dataclass(frozen=True)
@@ -312,16 +314,20 @@ class KeyedTable:
         starts = [self._measured.key(F.lit(low)).cast(kind) for low, _ in _stretches(runs)[1 : _MOST_RANGES + 1]]
         return F.size(F.filter(F.array(*starts), lambda start: start <= key)) if starts else F.lit(0)
 
-    def _pieces(self, rows: DataFrame, size: int, runs: Sequence[Run] = ()) -> list[Run]:
+    def _pieces(self, rows: DataFrame, size: int, count: int, runs: Sequence[Run] = ()) -> list[Run]:
         """The last change of each key of ``rows``, cut into key ranges, one file each. No key has more rows than there are
         ``runs``, so no range is heavier than others. The ranges are made first: one shuffle serves them and the fold."""
         by = [F.col(_RANGE), *(F.col(quoted(key)) for key in self.keys)]
-        many = max(1, -(-size // self.piece_bytes))
+        many = max(1, -(-size // self.piece_bytes), -(-count * self._row_bytes() // _TASK_BYTES))
         ranged = rows.withColumn(_RANGE, self._range(runs)).repartitionByRange(many, *by[1:])
         if runs:
             ranged = latest_changes(ranged, keys=self.keys, order_by=self.order)
         return self._runs(self._write(ranged.sortWithinPartitions(*by), [_RANGE]), one=False)
 
+    def _row_bytes(self) -> int:
+        """About what a row takes in memory: texts and nested values as twenty bytes, and what Spark keeps beside a row."""
+        return 16 + sum(8 if _measure(f.dataType) and not isinstance(f.dataType, (T.StringType, T.BinaryType)) else 28 for f in self._stored())
+
     # -- writing
 
     def load(self, snapshot: DataFrame) -> None:
@@ -338,7 +344,7 @@ class KeyedTable:
         size = int(str(snapshot._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         if size > 1 << 60:
             size = self.piece_bytes * int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        pieces = self._pieces(first, size)
+        pieces = self._pieces(first, size, snapshot.count())
         level = 1
         while sum(run.bytes for run in pieces) > self._room(level):
             level += 1
@@ -358,9 +364,18 @@ class KeyedTable:
         new.finish(batch_id)
         self._commit(new)
         if len(new.levels[0]) >= self.fan:
-            self._merge(new, 0, new.levels[0])
+            self._merge(new, 0, new.levels[0], self._target(new))
             self._level(new)
 
+    def _target(self, new: Manifest) -> int:
+        """The level that what is on level 0 goes to: a level is passed by, and merged along, if what comes is too much for
+        the one below it as well."""
+        level, size = 1, sum(run.bytes for run in new.levels[0])
+        while size > self._room(level + 1):
+            size += sum(run.bytes for run in new.levels[level]) if level < len(new.levels) else 0
+            level += 1
+        return level
+
     def _room(self, level: int) -> int:
         return self.piece_bytes * self.fan**level
 
@@ -380,16 +395,23 @@ class KeyedTable:
                 self._merge(new, level, given)
             level += 1
 
-    def _merge(self, new: Manifest, level: int, runs: list[Run]) -> None:
-        """Merge ``runs`` of a level into the next one and commit. Only overlapping pieces are read and replaced."""
-        below = new.levels[level + 1] if level + 1 < len(new.levels) else []
+    def _merge(self, new: Manifest, level: int, runs: list[Run], to: int | None = None) -> None:
+        """Merge ``runs`` of a level, and all of the levels between, into the next one or the one given, and commit. Only
+        overlapping pieces there are read and replaced."""
+        to = level + 1 if to is None else to
+        between = [run for levels in new.levels[level + 1 : to] for run in levels]
+        runs = [*runs, *between]
+        below = new.levels[to] if to < len(new.levels) else []
         met = overlapping(below, runs)
         # A piece that meets nothing moves as it is; folders of level 0 may overlap each other, so those are rewritten.
-        rewritten = overlapping(runs, met) if level else runs
+        rewritten = overlapping(runs, met) if level and not between else runs
         moved, read = _without(runs, rewritten), [*rewritten, *met]
-        pieces = self._pieces(self._open(read), sum(run.bytes for run in read), read) if read else []
-        new.put(level, _without(new.levels[level], runs))
-        new.put(level + 1, [*_without(below, met), *moved, *pieces])
+        size, count = sum(run.bytes for run in read), sum(run.rows for run in read)
+        pieces = self._pieces(self._open(read), size, count, read) if read else []
+        for i in range(level, min(to, len(new.levels))):
+            if i == level or new.levels[i]:
+                new.put(i, _without(new.levels[i], runs))
+        new.put(to, [*_without(below, met), *moved, *pieces])
         self._replace(new, [run.path for run in read])
         self._commit(new)
 

@@ -167,3 +167,25 @@ def test_overlapping_runs():
     assert [r.path for r in overlapping(runs, [run("x", 9, 12), run("y", 30, 40)])] == ["b", "c", "open"]
     assert [r.path for r in overlapping(runs, [run("x", 10, 19)])] == ["open"]
     assert overlapping(runs, []) == [] and overlapping(runs, [run("z", None, None)]) == runs
+
+
+def test_a_task_takes_so_many_rows_however_well_they_pack(spark, monkeypatch):
+    """Rows that take few bytes in a file are cut by what they take in memory, in the snapshot and in merges."""
+    monkeypatch.setattr(keyed, "_TASK_BYTES", 10_000)
+    table = _table(spark, fan=2)
+    table.load(spark.range(1000).select("id", F.lit("same").alias("v")))
+    assert len(_files(table)) > 5
+    for batch in range(2):
+        table.apply(spark.range(1000).select("id", F.lit("new").alias("v"), F.lit("+U").alias(KIND), F.lit(batch).cast("long").alias(SEQ)), batch)
+    assert len(_files(table)) > 5 and table.read().where("v = 'new'").count() == 1000
+
+
+def test_a_batch_too_large_for_the_upper_levels_is_merged_once(spark, monkeypatch):
+    table, merged = _table(spark, fan=2, piece_bytes=500), []
+    table.load(spark.range(2000).select("id", F.lit("old").alias("v")))
+    pieces = KeyedTable._pieces
+    monkeypatch.setattr(KeyedTable, "_pieces", lambda self, *given: merged.append(1) or pieces(self, *given))
+    for batch in range(2):
+        table.apply(spark.range(0, 2000, 2).select("id", F.lit("new").alias("v"), F.lit("+U").alias(KIND), F.lit(batch).cast("long").alias(SEQ)), batch)
+    assert len(merged) <= 2
+    assert {r.v: r["count"] for r in table.read().groupBy("v").count().collect()} == {"new": 1000, "old": 1000}
