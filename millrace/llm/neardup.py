@@ -19,17 +19,20 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import WordHasher, unused
+from millrace.llm.text import unused
 from millrace.session import written
 
 _WORD = re.compile(r"\w+")
+# What the pattern finds in an ASCII text in lower case, as bytes between blanks.
+_ASCII_WORDS = bytes(ord(chr(c).lower()) if c < 128 and _WORD.match(chr(c)) else 32 for c in range(256))
 _MULTIPLIER = 0x9E3779B97F4A7C15
 SMALL_BUCKET = 64
-LEADER_GROWTH = 4
+LEADER_GROWTH = 16
 MAX_BROADCAST_BYTES = 32 << 20
 SKETCH_WORDS = 16  # of 64 cells each
 
@@ -59,20 +62,43 @@ class Shingler:
     """Texts to distinct shingle hashes, ascending, and how often each occurs."""
 
     def __init__(self, size: int) -> None:
-        self.size, self.hasher = size, WordHasher()
+        self.size = size
         self.powers = [np.uint64(pow(_MULTIPLIER, 2 * j + 1, 1 << 64)) for j in range(size)]
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        h = self.hasher(_WORD.findall((text or "").lower()))
+        h = _hashes(_words(text or ""))
         k = min(self.size, len(h))  # a text of fewer words is one shingle
         if not k:
             return h, np.zeros(0, dtype=np.int64)
         n = len(h) - k + 1
         s = np.full(n, k, dtype=np.uint64)
         for j in range(k):
-            s = (s ^ h[j : j + n]) * self.powers[j]
+            s ^= h[j : j + n]
+            s *= self.powers[j]
             s ^= s >> np.uint64(29)
-        return np.unique(s, return_counts=True)
+        s.sort()
+        first = np.flatnonzero(_changes(s))
+        return s[first], np.diff(first, append=n)
+
+
+def _words(text: str) -> list[str] | list[bytes]:
+    """The words of a text in lower case; those of an ASCII text as bytes, which costs much less."""
+    return text.encode().translate(_ASCII_WORDS).split() if text.isascii() else _WORD.findall(text.lower())
+
+
+def _hashes(words: list[str] | list[bytes]) -> np.ndarray:
+    """64-bit hashes of words. Looking them up in a table of known words would cost more."""
+    try:
+        return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    except UnicodeEncodeError:
+        return _hashes([w.encode("utf-8", "surrogatepass") for w in words])
+
+
+def _changes(ascending: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before."""
+    out = np.ones(len(ascending), dtype=bool)
+    np.not_equal(ascending[1:], ascending[:-1], out=out[1:])
+    return out
 
 
 def _cells(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -93,8 +119,8 @@ def document_frequencies(texts: DataFrame, settings: Settings) -> tuple[np.ndarr
         counters, shingler, n = np.zeros(1 << bits, dtype=np.int64), Shingler(size), 0
         for batch in batches:
             for text in batch["text"]:
-                hashes, _ = shingler(text)
-                counters[np.unique(_cells(hashes, bits))] += 1
+                cells = _cells(shingler(text)[0], bits)  # ascending, as the hashes are
+                counters[cells[_changes(cells)]] += 1
             n += len(batch)
         if n:
             # So many tasks are added in one group, and then the groups: no group has more arrays than either.
@@ -133,7 +159,7 @@ class Sampler:
     """Consistent weighted samples: the same (shingle, level) is drawn from two weighted sets with the probability of
     their weighted Jaccard similarity. The random variates of a shingle come from tables that its hash points into."""
 
-    _TABLE, _CHUNK = 1 << 16, 2048
+    _TABLE, _CHUNK = 1 << 16, 1024
 
     def __init__(self, settings: Settings) -> None:
         rng = np.random.default_rng(settings.seed)
@@ -146,17 +172,25 @@ class Sampler:
 
     def samples(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
         best, found = np.full(len(self.odd), np.inf, dtype=np.float32), np.zeros(len(self.odd), dtype=np.uint64)
+        samples = np.arange(len(self.odd))
         for start in range(0, len(hashes), self._CHUNK):  # a long text needs no more memory than a chunk
             h, w = hashes[start : start + self._CHUNK], weights[start : start + self._CHUNK]
-            at = ((h[:, None] * self.odd) >> np.uint64(48)).astype(np.int32)
-            r, beta = self.r[at], self.beta[at]
-            level = np.floor(np.log(w, dtype=np.float32)[:, None] / r + beta)
-            rank = self.log_c[at] - r * (level - beta) - r
-            first = rank.argmin(axis=0)
-            columns = np.arange(len(self.odd))
-            value = h[first] * self.mix ^ level[first, columns].astype(np.int64).astype(np.uint64)
-            better = rank[first, columns] < best
-            best, found = np.where(better, rank[first, columns], best), np.where(better, value, found)
+            at = self.odd[:, None] * h  # a row for each sample
+            at >>= np.uint64(48)
+            at = at.view(np.int64)
+            r, beta = self.r.take(at, mode="clip"), self.beta.take(at, mode="clip")
+            level = np.log(w, dtype=np.float32) / r
+            level += beta
+            np.floor(level, out=level)
+            rank = np.subtract(level, beta, out=beta)
+            rank *= r
+            np.subtract(self.log_c.take(at, mode="clip"), rank, out=rank)
+            rank -= r
+            first = rank.argmin(axis=1)
+            value = h[first] * self.mix ^ level[samples, first].astype(np.int64).astype(np.uint64)
+            least = rank[samples, first]
+            better = least < best
+            best, found = np.where(better, least, best), np.where(better, value, found)
         return found
 
     def signature(self, hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -279,6 +313,20 @@ def components(edges: DataFrame) -> DataFrame:
         labels = labels.select("node", "label")
 
 
+def _merged(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """``labels`` after the links ``found`` (``a``, ``b``) between its components and nodes without a label.
+
+    Components are contracted to their labels, so the work grows with the new links; the old ones are not followed again."""
+    first = found.join(labels.select(F.col("node").alias("a"), F.col("label").alias("from")), "a", "left")
+    ends = first.join(labels.select(F.col("node").alias("b"), F.col("label").alias("to")), "b", "left").select(
+        F.coalesce("from", "a").alias("a"), F.coalesce("to", "b").alias("b")
+    )
+    moved = components(written(ends.where("a <> b").distinct(), "contracted"))
+    after = labels.join(moved.select(F.col("node").alias("label"), F.col("label").alias("new")), "label", "left")
+    fresh = moved.join(labels.select("node"), "node", "left_anti")
+    return written(after.select("node", F.coalesce("new", "label").alias("label")).unionByName(fresh), "merged")
+
+
 def _company(buckets: DataFrame) -> DataFrame:
     """``buckets`` with ``company``: how many nodes a node meets in all its buckets. The text that others were copied from
     shares more samples with each copy than the copies share among themselves, so it has the most."""
@@ -311,21 +359,26 @@ def _may_be_similar(settings: Settings) -> Column:
     return (lighter >= heavier * (settings.threshold - 1e-5)) & F.when(room, agree).otherwise(False)
 
 
-def _cross_pairs(
-    buckets: DataFrame, labels: DataFrame, tested: DataFrame, nodes: DataFrame, settings: Settings
-) -> tuple[DataFrame, DataFrame]:
-    """Untested pairs of different components in buckets of at most ``SMALL_BUCKET`` nodes; and the larger buckets with
-    more than one component."""
+def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members (``key``, ``node``, ``label``) of buckets with more than one component, and how many the bucket has (``n``)."""
     named = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = named.groupBy("key").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")
     )
     mixed = written(mixed.where("low <> high").select("key", "n"), "mixed")
-    rest = written(named.join(mixed, "key"), "mixed-members")
-    small = rest.where(F.col("n") <= SMALL_BUCKET).select("key", "node", "label")
+    return written(named.join(mixed, "key"), "mixed-members")
+
+
+def _with_nodes(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``members`` with all their buckets (``keys``) and what tells whether they may be similar."""
+    own = members.groupBy("node").agg(F.collect_list("key").alias("keys"))
+    return members.join(own, "node").join(nodes.select("node", "prints", "total", "sketch"), "node")
+
+
+def _cross_pairs(small: DataFrame, tested: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
+    """Untested pairs of different components in the buckets ``small`` (``key``, ``node``, ``label``)."""
     # Two nodes that share several of these buckets meet in the first one only.
-    own = small.groupBy("node").agg(F.collect_list("key").alias("keys"))
-    small = written(small.join(own, "node").join(nodes.select("node", "prints", "total", "sketch"), "node"), "small-buckets")
+    small = written(_with_nodes(small, nodes), "small-buckets")
     other = small.select(
         "key",
         F.col("node").alias("other"),
@@ -335,16 +388,17 @@ def _cross_pairs(
         F.col("total").alias("other_total"),
         F.col("sketch").alias("other_sketch"),
     )
-    meet = (F.col("label") != F.col("other_label")) & (F.col("key") == F.array_min(F.array_intersect("keys", "other_keys")))
-    met = small.join(other, "key").where((F.col("node") < F.col("other")) & meet & _may_be_similar(settings))
+    once = F.col("key") == F.array_min(F.array_intersect("keys", "other_keys"))
+    differ = (F.col("node") < F.col("other")) & (F.col("label") != F.col("other_label"))
+    met = small.join(other, "key").where(differ & _may_be_similar(settings) & once)
     pairs = met.select(F.col("node").alias("a"), F.col("other").alias("b"))
-    return pairs.join(tested, ["a", "b"], "left_anti"), rest.where(F.col("n") > SMALL_BUCKET).select("key", "node")
+    return pairs.join(tested, ["a", "b"], "left_anti")
 
 
-def _mixed_members(large: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The members of buckets with more than one component, with the label of the largest component of the bucket
-    (``big``), how many nodes are in it (``inside``) and in other ones (``others``), and all such buckets of the node."""
-    named = written(large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "round-members")
+def _mixed_members(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """Those members of large buckets whose bucket has more than one component, with the label of the largest component of
+    the bucket (``big``), how many nodes are in it (``inside``) and in other ones (``others``)."""
+    named = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     sizes = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     per_key = sizes.groupBy("key").agg(
         F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")
@@ -352,9 +406,7 @@ def _mixed_members(large: DataFrame, labels: DataFrame, nodes: DataFrame) -> Dat
     per_key = per_key.where("parts > 1").select(
         "key", F.col("top.label").alias("big"), F.col("top.n").alias("inside"), (F.col("n") - F.col("top.n")).alias("others")
     )
-    members = written(named.join(written(per_key, "mixed"), "key"), "mixed-members")
-    own = members.groupBy("node").agg(F.collect_list("key").alias("keys"))
-    return written(members.join(own, "node").join(nodes.select("node", "prints", "total", "sketch"), "node"), "mixed-buckets")
+    return written(named.join(written(per_key, "round-keys"), "key"), "round-members")
 
 
 def _round_pairs(mixed: DataFrame, leaders: int, settings: Settings) -> DataFrame:
@@ -375,9 +427,9 @@ def _round_pairs(mixed: DataFrame, leaders: int, settings: Settings) -> DataFram
         F.col("total").alias("other_total"),
         F.col("sketch").alias("other_sketch"),
     )
-    # Two nodes that share several of these buckets meet in the first one only.
-    meet = (F.col("label") != F.col("other_label")) & (F.col("key") == F.array_min(F.array_intersect("keys", "other_keys")))
-    met = first.join(second, "key").where(meet & _may_be_similar(settings))
+    # Two nodes that share several large buckets meet in the first one only; all that nodes of two components share are mixed.
+    once = F.col("key") == F.array_min(F.array_intersect("keys", "other_keys"))
+    met = first.join(second, "key").where((F.col("label") != F.col("other_label")) & _may_be_similar(settings) & once)
     return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
@@ -420,11 +472,11 @@ def _classes(texts: DataFrame, nodes: DataFrame, idf: Broadcast, settings: Setti
     nodes = written(nodes.join(sets.select("node", "sketch"), "node"), "sketched-nodes")
 
     pairs = written(_leader_pairs(buckets), "pairs")
-    edges = written(_similar(pairs, sets, settings.threshold), "similar")
-    labels = components(edges)
+    labels = components(written(_similar(pairs, sets, settings.threshold), "similar"))
 
-    more, large = _cross_pairs(buckets.select("key", "node"), labels, pairs, nodes, settings)
-    large = written(large, "large-buckets")
+    in_large = F.col("n") > SMALL_BUCKET
+    rest = _mixed(buckets.select("key", "node"), labels)
+    large = written(rest.where(in_large).select("key", "node"), "large-buckets")
     if large.limit(1).count():
         members = large.join(nodes.select("node", F.explode("keys").alias("other")), "node").where("key <> other")
         members = members.join(buckets.select("node", "company").distinct(), "node")
@@ -433,19 +485,21 @@ def _classes(texts: DataFrame, nodes: DataFrame, idf: Broadcast, settings: Setti
         halves = written(halves, "half-buckets")
         # Nodes that share two bands are the likeliest to be similar: what their leaders link needs no pairs among itself.
         led = written(_leader_pairs(halves).join(pairs, ["a", "b"], "left_anti"), "half-pairs")
-        edges = written(edges.unionByName(_similar(led, sets, settings.threshold)), "half-similar")
-        labels, pairs = components(edges), pairs.unionByName(led)
-        more, _ = _cross_pairs(buckets.select("key", "node"), labels, pairs, nodes, settings)
-    more = written(more, "more-pairs")
+        found = written(_similar(led, sets, settings.threshold), "half-similar")
+        labels, pairs = _merged(labels, found), pairs.unionByName(led)
+        rest = _mixed(buckets.select("key", "node"), labels)
+    small = rest.where(~in_large).select("key", "node", "label")
+    more = written(_cross_pairs(small, pairs, nodes, settings), "more-pairs")
     if more.limit(1).count():
         found = written(_similar(more, sets, settings.threshold), "more-similar")
         pairs = pairs.unionByName(more)
         if found.limit(1).count():
-            edges = edges.unionByName(found)
-            labels = components(edges)
-    leaders = 1
+            labels = _merged(labels, found)
+    if not large.limit(1).count():
+        return labels
+    large, leaders = written(_with_nodes(large, nodes), "large-members"), 1
     while True:
-        mixed = _mixed_members(large, labels, nodes)
+        mixed = _mixed_members(large, labels)
         if not mixed.limit(1).count():
             return labels
         last = not mixed.where(F.col("others") > leaders).limit(1).count()
@@ -453,8 +507,7 @@ def _classes(texts: DataFrame, nodes: DataFrame, idf: Broadcast, settings: Setti
         found = written(_similar(led, sets, settings.threshold), "round-similar")
         pairs = pairs.unionByName(led)
         if found.limit(1).count():
-            edges = edges.unionByName(found)
-            labels = components(edges)
+            labels = _merged(labels, found)
         if last:  # each node outside the largest component of its bucket has led
             return labels
         leaders *= LEADER_GROWTH

@@ -66,3 +66,26 @@ def test_sketches_leave_out_pairs_that_cannot_be_similar(spark):
     similar = {(a, b) for a, b in pairs if neardup.weighted_jaccard(*sets[a], *sets[b]) >= settings.threshold}
     assert similar and similar <= found
     assert len(found) < len(pairs) * 3 / 4
+
+
+def test_new_links_do_not_follow_old_ones_again(spark, monkeypatch):
+    """After each round only the new links are closed; the classes are those of all links together."""
+    monkeypatch.setattr(neardup, "SMALL_BUCKET", 4)
+    followed, whole = [], neardup.components
+
+    def counted(edges):
+        followed.append(edges.count())
+        return whole(edges)
+
+    monkeypatch.setattr(neardup, "components", counted)
+    texts, settings = _group(300), neardup.Settings()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.id: r.class_id for r in neardup.near_duplicates(docs).collect()} == _expected(spark, docs, texts, settings)
+    assert len(followed) > 2 and all(n < followed[0] for n in followed[1:])
+
+
+def test_merged_components(spark):
+    labels = spark.createDataFrame([("a", "a"), ("b", "a"), ("d", "d"), ("e", "d")], "node string, label string")
+    found = spark.createDataFrame([("b", "e"), ("e", "c"), ("x", "y"), ("a", "b")], "a string, b string")
+    got = {(r.node, r.label) for r in neardup._merged(labels, found).collect()}
+    assert got == {(n, "a") for n in "abcde"} | {("x", "x"), ("y", "x")}
