@@ -4,9 +4,9 @@ The model is an interpolated n-gram model of order two or three over all words o
 scratch folder, written by Spark tasks over sorted ranges and memory-mapped by the tasks that score:
 
 * words: their hashes (Elias-Fano) and exact counts; a word's number is its rank,
-* children: for each context (Elias-Fano) a pointer (Elias-Fano, monotone) to its words, whose numbers are made monotone
-  by adding the last value of the context before (Elias-Fano), and their quantised probabilities,
-* backoffs: the contexts that have children, and their quantised backoff weights.
+* children: for each context (Elias-Fano) its quantised backoff weight and a pointer (Elias-Fano, monotone) to its words,
+  whose numbers are made monotone by adding the last value of the context before (Elias-Fano), and their quantised
+  probabilities. A context that is cut by the end of a file has its weight from the heads of all files it is in.
 
 A child is found by a successor search relative to its context's base. ``p(w | v)`` is the discounted share of ``w``
 after ``v``, if that pair was seen ``min_count`` times, plus ``backoff(v) * p(w)``; ``p(w)`` is the smoothed share of
@@ -270,13 +270,26 @@ def _restore(q: np.ndarray) -> np.ndarray:
     return 10.0 ** (q.astype(np.float64) * (_FLOOR / _QUANTA))
 
 
+def _backoff(kept: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """The quantised backoff weights of contexts, of what their children keep and of how often the contexts were seen."""
+    return _quantise(np.log10(np.maximum(1.0 - kept / total, 1e-9)))
+
+
 class Children(_Ranges):
-    """A level of children: their shares, by keys of context and word. A child's number is its rank among the keys."""
+    """A level of children: their shares, by keys of context and word, and the backoff weights of the contexts. A child's
+    number is its rank among the keys."""
 
     def __init__(self, path: str, width: int) -> None:
         super().__init__(path)
         self.width = width
         self.offset = np.concatenate([[0], np.cumsum([s.meta["n"] for s in self.shards])]).astype(np.int64)
+        self.first_context = np.array([s.meta["first_context"] for s in self.shards], dtype=np.int64)
+        kept, totals = {}, {}
+        for shard in self.shards:
+            for context, part, total in shard.meta["edges"]:
+                kept[context], totals[context] = kept.get(context, 0.0) + part, total
+        self.edges = np.array(sorted(kept), dtype=np.int64)
+        self.edge_weights = _backoff(np.array([kept[c] for c in sorted(kept)]), np.array([totals[c] for c in sorted(kept)]))
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The discounted share and the number of ascending, distinct keys; 0 and -1 for those that are not stored."""
@@ -307,27 +320,27 @@ class Children(_Ranges):
         return out
 
 
-class Backoffs(_Ranges):
-    """A level of backoff weights."""
-
     def weights(self, contexts: np.ndarray) -> np.ndarray:
         """The backoff weight of contexts; 1 for those without children and for -1."""
-        numbers, back = np.unique(contexts, return_inverse=True)
-        out, known = np.ones(len(numbers)), numbers >= 0
-        out[known] = self._known(numbers[known])
+        distinct, back = np.unique(contexts, return_inverse=True)
+        out = np.ones(len(distinct))
+        cuts = np.append(np.searchsorted(distinct, self.first_context, side="left"), len(distinct))
+        for k, shard in enumerate(self.shards):
+            if cuts[k] < cuts[k + 1]:
+                part = slice(cuts[k], cuts[k + 1])
+                held = shard.arrays["context"]
+                n = np.full(part.stop - part.start, held.n, dtype=np.int64)
+                keys = (distinct[part] - self.first_context[k]).astype(np.uint64)
+                at, hit = held.successor(keys, np.zeros_like(n), n)
+                weight = np.ones(len(n))
+                weight[hit] = _restore(shard.arrays["weight"][at[hit]])
+                out[part] = weight
+        if len(self.edges):
+            at = np.minimum(np.searchsorted(self.edges, distinct), len(self.edges) - 1)
+            of = self.edges[at] == distinct
+            out[of] = _restore(self.edge_weights[at[of]])
         return out[back]
 
-    def _known(self, contexts: np.ndarray) -> np.ndarray:
-        out = np.ones(len(contexts))
-        for _, shard, part in self.deal(contexts.astype(np.uint64)):
-            keys = contexts[part].astype(np.uint64) - np.uint64(shard.meta["first"])
-            n = np.full(len(keys), shard.meta["n"], dtype=np.int64)
-            at, hit = shard.arrays["context"].successor(keys, np.zeros_like(n), n)
-            weight = np.ones(len(keys))
-            weight[hit] = _restore(shard.arrays["weight"][at[hit]])
-            out[part] = weight
-        return out
-
 
 def _find(level: Children, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Shares and numbers of keys in any order; 0 and -1 for the key -1."""
@@ -351,8 +364,7 @@ class Trie:
     def __init__(self, words: str, levels: tuple[str, ...], ends: int, settings: Settings) -> None:
         self.words = Words(words, ends, settings)
         width = self.words.end + 1
-        self.children = [Children(p, width) for p in levels[::2]]
-        self.backoffs = [Backoffs(p) for p in levels[1::2]]
+        self.children = [Children(p, width) for p in levels]
 
     def score(self, texts: list[str | None]) -> pd.DataFrame:
         """Token counts and log10 probabilities of texts."""
@@ -362,10 +374,10 @@ class Trie:
         counts = self.words.counts(numbers)[back]
         alone = self.words.probability(counts)
         share, pair = _find(self.children[0], self.words.pairs(chain))
-        whole = share + self.backoffs[0].weights(before) * alone
+        whole = share + self.children[0].weights(before) * alone
         if len(self.children) > 1:
             context, keys = _triples(self.words, chain, pair)
-            whole = _find(self.children[1], keys)[0] + self.backoffs[1].weights(context) * whole
+            whole = _find(self.children[1], keys)[0] + self.children[1].weights(context) * whole
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         return pd.DataFrame(
             {
@@ -410,7 +422,7 @@ def _chunks(texts: list[str | None], characters: int = 1_000_000) -> Iterator[li
 
 @dataclass(frozen=True)
 class Model:
-    """``levels``: children and backoffs of pairs, and with order three those of triples."""
+    """``levels``: the children of pairs, and with order three those of triples."""
 
     words: str
     levels: tuple[str, ...]
@@ -459,62 +471,113 @@ def train(texts: DataFrame, settings: Settings = Settings()) -> Model:
     here = published(spark, words)
     only, levels, width = texts.select(text.alias("text")), (), size["words"] + 1
     for _ in range(settings.order - 1):
-        grams = written(_grams(only, here, levels[:1], ends, tokens, settings), "lm-grams")
-        made = _child_levels(spark, grams, here, levels[:1], ends, width, settings)
-        levels += tuple(published(spark, path) for path in made)
+        path = scratch_dir(spark, "lm-children")
+        write_level(_child_files(only, here, levels[:1], ends, tokens, width, settings), path)
+        levels += (published(spark, path),)
     return Model(here, levels, ends, tokens, settings)
 
 
-def _grams(
-    texts: DataFrame, words: str, pairs: tuple[str, ...], ends: int, tokens: int, settings: Settings
+def _gram_keys(
+    batches: Iterator[pd.DataFrame], words: str, pairs: tuple[str, ...], ends: int, settings: Settings
+) -> Iterator[np.ndarray]:
+    """The keys of all pairs of the texts, or of all triples if the level of pairs is given, some millions at a time."""
+    own, waiting, size = _words(words, ends, settings), [], 0
+    for batch in batches:
+        for part in _chunks(batch["text"].tolist()):
+            chain = own.chain(part)[0]
+            keys = own.pairs(chain)
+            if pairs:
+                keys = _triples(own, chain, _find(_children(*pairs, own.end + 1), keys)[1])[1]
+            waiting.append(keys[keys >= 0])
+            size += len(waiting[-1])
+            if size >= 3_000_000:
+                yield np.concatenate(waiting)
+                waiting, size = [], 0
+    if size:
+        yield np.concatenate(waiting)
+
+
+def _cuts(
+    texts: DataFrame, words: str, pairs: tuple[str, ...], ends: int, shards: int, settings: Settings
+) -> np.ndarray:
+    """Where ranges of keys begin, after the first one: about ``shards`` ranges with as many keys each, by those of a part of
+    the texts. They say only which file a key is in; one number for each range comes back."""
+    share = min(16, shards // 4)
+    if share > 1:
+        texts = texts.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
+
+    def some(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for keys in _gram_keys(batches, words, pairs, ends, settings):
+            yield pd.DataFrame({"key": np.unique(keys)})
+
+    if shards < 2:
+        return np.zeros(0, dtype=np.int64)
+    at = F.array(*(F.lit(k / shards) for k in range(1, shards)))
+    found = texts.mapInPandas(some, "key long").agg(F.percentile_approx("key", at, max(10_000, 20 * shards))).first()[0]
+    return np.unique(np.array(found or [], dtype=np.int64))
+
+
+def _child_files(
+    texts: DataFrame, words: str, pairs: tuple[str, ...], ends: int, tokens: int, width: int, settings: Settings
 ) -> DataFrame:
-    """``key`` and ``n`` of the pairs, or of the triples if the level of pairs is given, seen ``min_count`` times. Tasks
-    send sorted, packed blocks of what they have counted, dealt by a hash of the key, so no context meets in one task."""
-    shards = max(1, -(-tokens // settings.pairs_per_shard))
+    """The files of the level of pairs, or of triples if the level of pairs is given, with what is seen ``min_count`` times.
+
+    Tasks send sorted, packed blocks of what they have counted, dealt by ranges of keys, and each range becomes a file, so
+    counts pass one shuffle and are not stored in between. A context with many children may lie in several files."""
+    shards, discount = max(1, -(-tokens // settings.pairs_per_shard)), settings.discount
+    cuts = _cuts(texts, words, pairs, ends, shards, settings)
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, waiting, size = _words(words, ends, settings), [], 0
-
-        def flush() -> pd.DataFrame:
-            keys, counts = np.unique(np.concatenate(waiting), return_counts=True)
-            dealt = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(shards)
-            order = np.argsort(dealt, kind="stable")
-            cuts = np.searchsorted(dealt[order], np.arange(shards + 1, dtype=np.uint64))
-            rows = [(s, order[cuts[s] : cuts[s + 1]]) for s in range(shards) if cuts[s] < cuts[s + 1]]
-            return pd.DataFrame(
+        for found in _gram_keys(batches, words, pairs, ends, settings):
+            keys, counts = np.unique(found, return_counts=True)
+            bounds = [0, *np.searchsorted(keys, cuts, side="left").tolist(), len(keys)]
+            rows = [(k, slice(a, b)) for k, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+            yield pd.DataFrame(
                 {
-                    "shard": [s for s, _ in rows],
+                    "shard": [k for k, _ in rows],
                     "keys": [_pack_ascending(keys[at]) for _, at in rows],
                     "counts": [_pack_planes(counts[at].astype(np.uint32)) for _, at in rows],
                 }
             )
 
-        for batch in batches:
-            for part in _chunks(batch["text"].tolist()):
-                chain = own.chain(part)[0]
-                keys = own.pairs(chain)
-                if pairs:
-                    keys = _triples(own, chain, _find(_children(*pairs, own.end + 1), keys)[1])[1]
-                waiting.append(keys[keys >= 0])
-                size += len(waiting[-1])
-                if size >= 3_000_000:
-                    yield flush()
-                    waiting, size = [], 0
-        if size:
-            yield flush()
-
-    def add(group: pd.DataFrame) -> pd.DataFrame:
+    def totals(contexts: np.ndarray) -> np.ndarray:
+        return _children(*pairs, width).counts(contexts) if pairs else _words(words, ends, settings).counts(contexts)
+
+    def file(group: pd.DataFrame) -> pd.DataFrame:
         keys = np.concatenate([_unpack_ascending(x) for x in group["keys"]])
         counts = np.concatenate([_unpack_planes(x) for x in group["counts"]]).astype(np.int64)
         order = np.argsort(keys, kind="stable")
         keys, counts = keys[order], counts[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        total = np.add.reduceat(counts, first)
-        keep = total >= settings.min_count
-        return pd.DataFrame({"key": keys[first][keep], "n": total[keep]})
+        n = np.add.reduceat(counts, first)
+        keep = n >= settings.min_count
+        keys, n = keys[first][keep], n[keep]
+        if not len(keys):
+            return pd.DataFrame({"file": []})
+        context, word = np.divmod(keys, width)
+        begins = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+        sizes = np.diff(np.append(begins, len(keys)))
+        # Each context's words go on from the last value of the context before.
+        lasts = np.cumsum(word[np.append(begins[1:], len(keys)) - 1])
+        child = word + np.repeat(np.concatenate([[0], lasts[:-1]]), sizes)
+        context, total = context[begins], totals(context[begins])
+        kept = np.add.reduceat(n - discount, begins)
+        parts = {
+            "context": EliasFano.build((context - context[0]).astype(np.uint64)),
+            "weight": _backoff(kept, total),
+            "pointer": EliasFano.build(np.append(begins, len(keys)).astype(np.uint64)),
+            "child": EliasFano.build(child.astype(np.uint64)),
+            "share": _quantise(np.log10((n - discount) / np.repeat(total, sizes))),
+        }
+        if not pairs and settings.order > 2:  # what the triples after a pair are shares of
+            parts["count"] = n.astype(np.uint32 if n.max() < 1 << 32 else np.uint64)
+        # The first and the last context may go on in other files.
+        edges = [(int(context[k]), float(kept[k]), int(total[k])) for k in {0, len(context) - 1}]
+        meta = {"first": int(keys[0]), "first_context": int(context[0]), "n": len(keys), "edges": edges}
+        return pd.DataFrame({"file": [pack(meta, parts)]})
 
     packed = texts.mapInPandas(blocks, "shard int, keys binary, counts binary")
-    return packed.groupBy("shard").applyInPandas(add, "key long, n long")
+    return packed.groupBy("shard").applyInPandas(file, "file binary")
 
 
 def _pack_planes(values: np.ndarray) -> bytes:
@@ -540,70 +603,6 @@ def _unpack_ascending(raw: bytes) -> np.ndarray:
     return np.cumsum(_unpack_planes(raw).astype(np.int64))
 
 
-def _child_levels(
-    spark: SparkSession,
-    grams: DataFrame,
-    words: str,
-    pairs: tuple[str, ...],
-    ends: int,
-    width: int,
-    settings: Settings,
-) -> tuple[str, str]:
-    """The files of the child and the backoff level of pairs, or of triples if the level of pairs is given. Both are cut into ranges of keys, so a context with many children
-    may lie in several files."""
-    discount = settings.discount
-
-    def totals(contexts: np.ndarray) -> np.ndarray:
-        return _children(*pairs, width).counts(contexts) if pairs else _words(words, ends, settings).counts(contexts)
-
-    def child_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = _whole(batches)
-        if rows is None:
-            return
-        keys, n = rows["key"].to_numpy(), rows["n"].to_numpy()
-        context, word = np.divmod(keys, width)
-        begins = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
-        sizes = np.diff(np.append(begins, len(keys)))
-        # Each context's words go on from the last value of the context before.
-        lasts = np.cumsum(word[np.append(begins[1:], len(keys)) - 1])
-        child = word + np.repeat(np.concatenate([[0], lasts[:-1]]), sizes)
-        total = np.repeat(totals(context[begins]), sizes)
-        share = _quantise(np.log10((n - discount) / total))
-        parts = {
-            "context": EliasFano.build((context[begins] - context[0]).astype(np.uint64)),
-            "pointer": EliasFano.build(np.append(begins, len(keys)).astype(np.uint64)),
-            "child": EliasFano.build(child.astype(np.uint64)),
-            "share": share,
-        }
-        if not pairs and settings.order > 2:  # what the triples after a pair are shares of
-            parts["count"] = n.astype(np.uint32 if n.max() < 1 << 32 else np.uint64)
-        meta = {"first": int(keys[0]), "first_context": int(context[0]), "n": len(keys)}
-        yield pd.DataFrame({"file": [pack(meta, parts)]})
-
-    def backoff_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = _whole(batches)
-        if rows is None:
-            return
-        context = rows["context"].to_numpy()
-        total = totals(context)
-        weight = np.maximum(1.0 - rows["kept"].to_numpy() / total, 1e-9)
-        parts = {"context": EliasFano.build((context - context[0]).astype(np.uint64)), "weight": _quantise(np.log10(weight))}
-        yield pd.DataFrame({"file": [pack({"first": int(context[0]), "n": len(context)}, parts)]})
-
-    children, backoffs = scratch_dir(spark, "lm-children"), scratch_dir(spark, "lm-backoffs")
-    write_level(
-        _sorted_ranges(grams, "key", -(-grams.count() // settings.words_per_shard)).mapInPandas(child_files, "file binary"),
-        children,
-    )
-    kept = grams.groupBy(F.expr(f"key div {width}").alias("context")).agg(F.sum(F.col("n") - F.lit(discount)).alias("kept"))
-    kept = written(kept, "lm-kept")
-    write_level(
-        _sorted_ranges(kept, "context", -(-kept.count() // settings.words_per_shard)).mapInPandas(backoff_files, "file binary"),
-        backoffs,
-    )
-    return children, backoffs
-
-
 def held_out(id_column: Column, folds: int = 10, fold: int = 0) -> Column:
     """Whether a row is kept from training, by the CRC-32 of its id as text (a null id: of the empty text)."""
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % folds == fold

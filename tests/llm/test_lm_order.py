@@ -2,11 +2,13 @@
 
 import collections
 import math
+import os
 import re
 import zlib
 
 import pytest
 
+from millrace import session
 from millrace.llm import lm
 from millrace.llm.queries import op5_lm_scores
 from workloads.registry import table
@@ -52,3 +54,19 @@ def test_triples_and_singletons(spark, sf_dir, small):
     expected = _expected(texts)
     for r in got.collect():
         assert abs(r.score - expected[r.doc_id]) <= 4e-4 * r.n_tokens
+
+
+def test_grams_pass_one_shuffle(spark, tmp_path, monkeypatch):
+    """What is stored besides the words is the level files alone, and contexts cut by their ends keep their weights."""
+    texts = {i: " ".join(f"a w{(i * j) % 97} b w{j}" for j in range(60)) for i in range(200)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path))
+    found = lm.score_report(docs, settings=lm.Settings(order=3, words_per_shard=50, pairs_per_shard=2000)).collect()
+    made = collections.Counter(n.rsplit("-", 1)[0] for n in os.listdir(tmp_path))
+    assert made == {"lm-counts": 1, "lm-words": 1, "lm-children": 2}
+    for level in (n for n in os.listdir(tmp_path) if n.startswith("lm-children")):
+        shards = lm._open(str(tmp_path / level))
+        assert len(shards) > 5
+    expected = _expected(texts)
+    for r in found:
+        assert abs(r.score - expected[r.doc_id]) <= 4e-4 * r.n_tokens
