@@ -18,6 +18,8 @@ WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 SEED = "mix"
 DRAWS = 16
+# Words times a weight or a number of repeats outgrow 32 bits in a few GB of text.
+BIG = "decimal(38,0)"
 
 
 @dataclass(frozen=True)
@@ -55,12 +57,11 @@ def _weight(weights: tuple[int, ...]) -> Column:
 def shares(sources: DataFrame, max_repeats: int) -> Shares:
     """Share all words by weight, sources above ``max_repeats`` times their size stop there and the excess is shared
     again, until none is above. Each round is one aggregate; only sums reach the driver. All sums are whole numbers."""
-    big = "decimal(38,0)"
     first = sources.agg(F.sum("source_size").alias("total"), F.sum("weight").alias("weight")).first()
     total, state, stopped = int(first["total"] or 0), Shares(int(first["total"] or 0), int(first["weight"] or 0)), -1
     while True:
-        cap = F.col("source_size").cast(big) * max_repeats
-        above = F.col("weight").cast(big) * F.lit(state.num).cast(big) > cap * F.lit(state.den).cast(big)
+        cap = F.col("source_size").cast(BIG) * max_repeats
+        above = F.col("weight").cast(BIG) * F.lit(state.num).cast(BIG) > cap * F.lit(state.den).cast(BIG)
         row = sources.agg(
             F.count_if(above).alias("n"),
             F.sum(F.when(above, cap).otherwise(0)).alias("capped"),
@@ -75,8 +76,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     """``source``, ``source_size``, ``target`` (words, double) and ``rate`` (target by size; 0 for an empty source)."""
     sources = written(ranked_sources(sizes).withColumn("weight", _weight(weights)), "mix-ranked")
     part = shares(sources, max_repeats)
-    shared = (F.col("weight") * F.lit(part.num)).cast("double") / F.lit(float(max(part.den, 1)))
-    target = F.least(shared, (F.col("source_size") * max_repeats).cast("double"))
+    shared = (F.col("weight").cast(BIG) * F.lit(part.num).cast(BIG)).cast("double") / F.lit(float(max(part.den, 1)))
+    target = F.least(shared, (F.col("source_size").cast(BIG) * max_repeats).cast("double"))
     rate = F.when(F.col("source_size") > 0, target / F.col("source_size")).otherwise(0.0)
     return written(sources.select("source", "source_size", target.alias("target"), rate.alias("rate")), "mix-targets")
 
