@@ -47,3 +47,11 @@ def test_mix_of_many_words(docs, grown):
     assert Counter(mixing.mix(docs).collect()) == few
     total = mixing._sizes(docs, "doc_id", "text", "source").agg({"size": "sum"}).first()[0]
     assert total < 2**31 <= total * max(mixing.WEIGHTS)
+
+
+def test_plan_of_many_words(docs, grown):
+    few = Counter((r.doc_id, r.copies, r["size"] * 2**20, r.target * 2**20) for r in mixing.mix_plan(docs).collect())
+    grown()
+    plan = mixing.mix_plan(docs).collect()
+    assert Counter((r.doc_id, r.copies, r["size"], r.target) for r in plan) == few
+    assert all(r.taken == r.copies * r["size"] for r in plan)
